@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from slotwise.schemas import DISTRICT_BOXES, Box
 
 
-def first_box(lat: Column, lon: Column, boxes: Sequence[Box] = DISTRICT_BOXES) -> Column:
+def first_box(lat: str, lon: str, boxes: Sequence[Box] = DISTRICT_BOXES) -> Column:
     """Name of the first box in order that holds the point, borders included; else null.
 
-    For a short list known when the plan is built: one chained ``when``, no join.
+    For a short list known when the plan is built: one ``CASE``, no join. ``lat`` and
+    ``lon`` are column names.
     """
-    name = F.lit(None).cast("string")
-    for box in reversed(boxes):
-        inside = lat.between(box.lat_min, box.lat_max) & lon.between(box.lon_min, box.lon_max)
-        name = F.when(inside, box.name).otherwise(name)
-    return name
+    arms = " ".join(
+        f"WHEN {lat} BETWEEN {b.lat_min}D AND {b.lat_max}D "
+        f"AND {lon} BETWEEN {b.lon_min}D AND {b.lon_max}D THEN '{b.name}'"
+        for b in boxes
+    )
+    return F.expr(f"CASE {arms} END") if boxes else F.lit(None).cast("string")

@@ -27,50 +27,52 @@ EASTER_DAYS = ((-3, "Holy Thursday"), (-2, "Good Friday"))
 FIRST_YEAR, LAST_YEAR = 2024, 2027
 
 
-def easter_sunday(year: Column) -> Column:
-    """Easter Sunday by Gauss' rule, which holds for 1900 to 2099."""
-    d = (year % 19 * 19 + 24) % 30
-    e = (year % 4 * 2 + year % 7 * 4 + d * 6 + 5) % 7
-    late = (e == 6) & ((d == 29) | ((d == 28) & (year % 19 > 10)))
-    offset = d + e - F.when(late, 7).otherwise(0)
-    return F.date_add(F.make_date(year, F.lit(3), F.lit(22)), offset)
+def _days_from_easter(day: str) -> str:
+    """SQL for the days from Easter Sunday by Gauss' rule, which holds for 1900 to 2099."""
+    y = f"year({day})"
+    d = f"({y} % 19 * 19 + 24) % 30"
+    e = f"({y} % 4 * 2 + {y} % 7 * 4 + {d} * 6 + 5) % 7"
+    late = f"({e}) = 6 AND (({d}) = 29 OR ({d}) = 28 AND {y} % 19 > 10)"
+    offset = f"({d}) + ({e}) - CASE WHEN {late} THEN 7 ELSE 0 END"
+    return f"datediff({day}, date_add(make_date({y}, 3, 22), {offset}))"
+
+
+def _checked(years: tuple[int, int]) -> tuple[int, int]:
+    if not 1900 <= years[0] <= years[1] <= 2099:
+        raise ValueError("the Easter rule covers the years 1900 to 2099")
+    return years
 
 
 def holiday_name(
-    day: Column,
+    day: str,
     years: tuple[int, int] = (FIRST_YEAR, LAST_YEAR),
     extra: Iterable[tuple[date, str]] = (),
 ) -> Column:
-    """The holiday's name, or null. ``extra`` holds one-off dates of single years."""
-    if not 1900 <= years[0] <= years[1] <= 2099:
-        raise ValueError("the Easter rule covers the years 1900 to 2099")
-    month_day = F.month(day) * 100 + F.dayofmonth(day)
-    from_easter = F.datediff(day, easter_sunday(F.year(day)))
-    name = F.lit(None).cast("string")
-    for when, text in extra:
-        name = F.when(day == F.lit(when), text).otherwise(name)
-    for offset, text in EASTER_DAYS:
-        name = F.when(from_easter == offset, text).otherwise(name)
-    for month, dom, text in FIXED_DAYS:
-        name = F.when(month_day == month * 100 + dom, text).otherwise(name)
-    return F.when(F.year(day).between(*years), name)
+    """The holiday's name, or null. ``day`` is the SQL of a date; ``extra`` holds one-off
+    dates of single years."""
+    first, last = _checked(years)
+    month_day = f"month({day}) * 100 + day({day})"
+    arms = [f"WHEN {month_day} = {m * 100 + d} THEN '{name}'" for m, d, name in FIXED_DAYS]
+    arms += [f"WHEN {_days_from_easter(day)} = {n} THEN '{name}'" for n, name in EASTER_DAYS]
+    arms += [f"WHEN {day} = DATE '{when}' THEN '{name}'" for when, name in extra]
+    outside = f"WHEN year({day}) NOT BETWEEN {first} AND {last} THEN NULL"
+    return F.expr(f"CASE {outside} {' '.join(arms)} END")
 
 
 def is_holiday(
-    day: Column,
+    day: str,
     years: tuple[int, int] = (FIRST_YEAR, LAST_YEAR),
     extra: Iterable[tuple[date, str]] = (),
 ) -> Column:
     """True on a holiday, false on any other day and outside ``years``; null for null."""
-    month_day = F.month(day) * 100 + F.dayofmonth(day)
-    from_easter = F.datediff(day, easter_sunday(F.year(day)))
-    rule = month_day.isin(*[m * 100 + d for m, d, _ in FIXED_DAYS]) | from_easter.isin(
-        *[offset for offset, _ in EASTER_DAYS]
-    )
-    one_off = [F.lit(when) for when, _ in extra]
-    if one_off:
-        rule = rule | day.isin(*one_off)
-    return F.year(day).between(*years) & rule
+    first, last = _checked(years)
+    fixed = ", ".join(str(m * 100 + d) for m, d, _ in FIXED_DAYS)
+    rules = [
+        f"month({day}) * 100 + day({day}) IN ({fixed})",
+        f"{_days_from_easter(day)} IN ({', '.join(str(n) for n, _ in EASTER_DAYS)})",
+        *[f"{day} = DATE '{when}'" for when, _ in extra],
+    ]
+    return F.expr(f"year({day}) BETWEEN {first} AND {last} AND ({' OR '.join(rules)})")
 
 
 def holiday_dim(
@@ -88,6 +90,6 @@ def holiday_dim(
             )
         ).alias("date")
     )
-    return days.select("date", holiday_name(F.col("date"), years, tuple(extra)).alias("name")).where(
+    return days.select("date", holiday_name("date", years, tuple(extra)).alias("name")).where(
         F.col("name").isNotNull()
     )

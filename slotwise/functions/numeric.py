@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -65,13 +66,13 @@ def chi2_sf(statistic: float, df: float) -> float:
     return min(scale * fraction, 1.0)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def ks_p_value(statistic: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
     """Runs on one row per feature."""
     return pd.Series([kolmogorov_sf(*row) for row in zip(statistic, n1, n2)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi2_p_value(statistic: pd.Series, df: pd.Series) -> pd.Series:
     """Runs on one row per feature."""
     return pd.Series([chi2_sf(*row) for row in zip(statistic, df)], dtype="float64")

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from slotwise.config import DEFAULTS
 from slotwise.functions.numeric import chi2_p_value, ks_p_value
+from slotwise.operators.rows import without_identifiers
+from slotwise.session import materialise
 
 BUCKETS = 256
 
@@ -52,11 +54,8 @@ def ks_statistic(counts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     statistic is exact. Both broadcast tables have at most ``buckets`` entries per feature.
     """
     shares = [i / buckets for i in range(1, buckets)]
-    # The condition is always true; it keeps r and c in this branch, which lets Spark
-    # share the counting shuffle with the other two branches.
-    seen = F.when(F.col("r") + F.col("c") > 0, F.col("value"))
     cuts = counts.groupBy("feature").agg(
-        F.array_distinct(F.percentile_approx(seen, shares, 10_000)).alias("_cuts")
+        F.array_distinct(F.percentile_approx("value", shares, 10_000)).alias("_cuts")
     )
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col("value")))
     placed = counts.join(F.broadcast(cuts), "feature").select(
@@ -96,9 +95,14 @@ def ks_statistic(counts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
 def ks_drift(
     reference: DataFrame, current: DataFrame, columns: list[str] | None = None
 ) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov test per numeric feature."""
+    """Two-sample Kolmogorov-Smirnov test per numeric feature.
+
+    The counts are written to the shared scratch folder: three branches read them, and
+    their input, the feature build of both windows, must run once.
+    """
     columns = columns or numeric_columns(current)
-    tested = ks_statistic(value_counts(reference, current, columns, "double"))
+    counts = materialise(value_counts(reference, current, columns, "double"), "value-counts")
+    tested = ks_statistic(counts)
     return tested.withColumn(
         "p_value",
         F.when(
@@ -158,8 +162,6 @@ def feature_drift(
     One rule decides for counts and names alike: a p-value strictly below ``threshold``. A
     feature without values on one side cannot be tested and counts as not drifted.
     """
-    from slotwise.operators.rows import without_identifiers
-
     reference, current = without_identifiers(reference), without_identifiers(current)
     columns = ["feature", "test", "statistic", "p_value"]
     ks = ks_drift(reference, current).withColumn("test", F.lit("ks")).select(columns)

@@ -85,9 +85,13 @@ def same_time_last_week(df: DataFrame, spec: SeriesSpec = SERIES) -> DataFrame:
     return df.withColumn("dock_bikes_same_time_1w", last_week_column(spec))
 
 
+def _local(spec: SeriesSpec, settings: Settings) -> str:
+    return f"from_utc_timestamp({spec.time}, '{settings.local_zone}')"
+
+
 def _local_hour(spec: SeriesSpec, settings: Settings) -> dict[str, Column]:
-    local = time.to_local(F.col(spec.time), settings.local_zone)
-    return {"hour_of_day": F.hour(local), "day_of_week": time.weekday(local)}
+    local = _local(spec, settings)
+    return {"hour_of_day": F.expr(f"hour({local})"), "day_of_week": F.expr(f"weekday({local})")}
 
 
 def _never_null(column: Column, filler: Column) -> Column:
@@ -103,16 +107,16 @@ def temporal_features(
     one_off_holidays: tuple = (),
 ) -> DataFrame:
     """The seven calendar features, all on local wall-clock time."""
-    local = time.to_local(F.col(spec.time), settings.local_zone)
-    dow = time.weekday(local)
-    minutes = time.minutes_since_midnight(local)
+    local = _local(spec, settings)
+    dow = F.expr(f"weekday({local})")
+    minutes = F.expr(f"hour({local}) * 60 + minute({local})")
     return df.withColumns(
         {
             **_local_hour(spec, settings),
             "is_weekend": dow >= 5,
-            "month": F.month(local),
+            "month": F.expr(f"month({local})"),
             "minutes_since_midnight": minutes,
-            "is_holiday": is_holiday(F.to_date(local), extra=one_off_holidays),
+            "is_holiday": is_holiday(f"to_date({local})", extra=one_off_holidays),
             "is_rush_hour": time.is_rush_hour(dow, minutes),
         }
     )
@@ -133,7 +137,7 @@ def weather_features(df: DataFrame) -> DataFrame:
 
 
 def station_features(df: DataFrame, boxes=geo.DISTRICT_BOXES) -> DataFrame:
-    return df.withColumn("distrito", geo.first_box(F.col("latitude"), F.col("longitude"), boxes))
+    return df.withColumn("distrito", geo.first_box("latitude", "longitude", boxes))
 
 
 def first_box_join(points: DataFrame, boxes: DataFrame, cell: float = 0.01) -> DataFrame:

@@ -15,48 +15,49 @@ TRAINING_START = "2024-01-10"
 TRAINING_END = "2024-01-20"
 REFERENCE_START, REFERENCE_END = "2024-01-08", "2024-01-14"
 
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+
 
 def snapshots_from_events(events: DataFrame) -> DataFrame:
     """One raw snapshot per event. Constants are exact in binary."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    s = F.col("user_id") % 8
-    base = events.select(
-        s.alias("station_id"),
-        F.col("ts").cast("timestamp").alias("raw_ts"),
-        F.col("event_id").alias("seq"),
-        (s * 2 + 16).cast("int").alias("total_bases"),
-        F.floor("value").cast("int").alias("_v"),
+    base = events.selectExpr(
+        "user_id % 8 AS station_id",
+        "CAST(ts AS TIMESTAMP) AS raw_ts",
+        "event_id AS seq",
+        "CAST(16 + 2 * (user_id % 8) AS INT) AS total_bases",
+        "CAST(floor(value) AS INT) AS v",
         "event_type",
-        k.alias("_k"),
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
     )
-    k = F.col("_k")
-    return base.select(
+    return base.selectExpr(
         "station_id",
-        F.col("station_id").cast("string").alias("station_number"),
-        F.concat(F.lit("Station "), F.col("station_id").cast("string")).alias("station_name"),
-        F.when((F.col("event_type") == "error") & (k < 10), 0).otherwise(1).alias("activate"),
-        F.when((F.col("event_type") == "signup") & (k < 10), 1).otherwise(0).alias("no_available"),
+        "CAST(station_id AS STRING) AS station_number",
+        "concat('Station ', CAST(station_id AS STRING)) AS station_name",
+        "CASE WHEN event_type = 'error' AND k < 10 THEN 0 ELSE 1 END AS activate",
+        "CASE WHEN event_type = 'signup' AND k < 10 THEN 1 ELSE 0 END AS no_available",
         "total_bases",
-        (F.col("_v") % (F.col("total_bases") + 1)).alias("dock_bikes"),
-        (F.col("total_bases") - F.col("_v") % (F.col("total_bases") + 1)).alias("free_bases"),
-        (F.col("station_id") * 0.015625 - 3.75).alias("longitude"),
-        (F.col("station_id") * 0.015625 + 40.375).alias("latitude"),
-        (k * 0.5 - 5.0).alias("temperature_2m"),
-        (k * 0.5 - 8.0).alias("apparent_temperature"),
-        (F.greatest(k - 80, F.lit(0)) * 0.25).alias("precipitation"),
-        (k * 1.0).alias("precipitation_probability"),
-        (k % 40 * 0.5).alias("wind_speed_10m"),
-        (k % 4).alias("weather_code"),
-        F.hour("raw_ts").between(7, 20).cast("int").alias("is_day"),
-        (k * 8.0).alias("direct_radiation"),
-        floor_slot(F.col("raw_ts")).alias("snapshot_timestamp"),
+        "v % (total_bases + 1) AS dock_bikes",
+        "total_bases - v % (total_bases + 1) AS free_bases",
+        "-3.75D + station_id * 0.015625D AS longitude",
+        "40.375D + station_id * 0.015625D AS latitude",
+        "k * 0.5D - 5.0D AS temperature_2m",
+        "k * 0.5D - 8.0D AS apparent_temperature",
+        "greatest(k - 80, 0) * 0.25D AS precipitation",
+        "k * 1.0D AS precipitation_probability",
+        "k % 40 * 0.5D AS wind_speed_10m",
+        "k % 4 AS weather_code",
+        "CAST(hour(raw_ts) BETWEEN 7 AND 20 AS INT) AS is_day",
+        "k * 8.0D AS direct_radiation",
         "raw_ts",
         "seq",
-    )
+    ).withColumn("snapshot_timestamp", floor_slot(F.col("raw_ts")))
 
 
 def raw_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshots_from_events(tune(spark).read.parquet(f"{sf_dir}/events.parquet"))
+    events = tune(spark).read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return snapshots_from_events(events)
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:

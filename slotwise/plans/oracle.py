@@ -614,10 +614,12 @@ ORACLE: dict[str, str] = {
         round(mae, 6) AS mae, round(rmse, 6) AS rmse FROM cycles""",
     # Only windows the watermark has closed are emitted.
     "stream_error_windows": f"""{MONITOR}
-        SELECT date_trunc('day', cycle_timestamp)::TIMESTAMP AS window_start,
-          (date_trunc('day', cycle_timestamp) + INTERVAL '1 day')::TIMESTAMP AS window_end,
-          count(*) AS n_cycles, round(avg(mae), 6) AS avg_mae
-        FROM cycles GROUP BY ALL HAVING window_end <= {CLOSED}""",
+        SELECT * FROM (
+          SELECT date_trunc('day', cycle_timestamp)::TIMESTAMP AS window_start,
+            (date_trunc('day', cycle_timestamp) + INTERVAL '1 day')::TIMESTAMP AS window_end,
+            count(*) AS n_cycles, round(avg(mae), 6) AS avg_mae
+          FROM cycles GROUP BY 1, 2)
+        WHERE window_end <= {CLOSED}""",
     "stream_sliding_mae": f"""{MONITOR}, ends AS (
           SELECT DISTINCT cycle_timestamp + i * INTERVAL '15 minutes' AS window_end
           FROM cycles, range(1, 97) AS r(i)

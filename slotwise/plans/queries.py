@@ -560,6 +560,11 @@ def contract_rejects(spark, sf_dir):
     )
 
 
+def _each(array: str, field: str):
+    """One field of every struct in an array."""
+    return F.col(f"{array}.{field}")
+
+
 @register
 def forecast_current_hour(spark, sf_dir):
     """Hourly forecasts per (station, day) and their noon row, else the last one."""
@@ -576,10 +581,7 @@ def forecast_current_hour(spark, sf_dir):
         "day",
         F.struct(
             F.transform("h", lambda x: F.date_format(x["_hour"], "yyyy-MM-dd'T'HH:00")).alias("time"),
-            *[
-                F.transform("h", lambda x, c=c: x["w"][c]).alias(c)
-                for c in schemas.WEATHER_COLUMNS
-            ],
+            *[_each("h", f"w.{c}").alias(c) for c in schemas.WEATHER_COLUMNS],
         ).alias("hourly"),
     )
     noon = F.col("day").cast("timestamp") + F.expr("INTERVAL '12:34' HOUR TO MINUTE")
@@ -597,7 +599,7 @@ def forecast_hours(spark, sf_dir):
         "station_id",
         F.struct(
             F.transform("r", lambda x: x["snapshot_timestamp"].cast("string")).alias("time"),
-            *[F.transform("r", lambda x, c=c: x[c]).alias(c) for c in schemas.WEATHER_COLUMNS],
+            *[_each("r", c).alias(c) for c in schemas.WEATHER_COLUMNS],
         ).alias("hourly"),
     )
     df = weather.forecast_rows(documents)
@@ -777,15 +779,10 @@ def stream_ingest(spark, sf_dir):
     return spark.read.parquet(table).drop("dt", "seq")
 
 
-EVENTS = (
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-)
-
-
 @register
 def stream_dedup(spark, sf_dir):
     """(station, slot) pairs the stream keeps of the events."""
-    events = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    events = spark.readStream.schema(canonical.EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     stream = cycle.dedup_stream(canonical.snapshots_from_events(events))
     table, checkpoint = scratch_dir(spark, "deduplicated"), scratch_dir(spark, "checkpoint")
     _finish(cycle.start_table(stream, table, checkpoint))
