@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -25,54 +23,45 @@ def rounded_count(prediction: Column) -> Column:
     return F.greatest(F.bround(prediction.cast("double"), 0), F.lit(0.0))
 
 
-def kolmogorov_sf(statistic: float, n1: float, n2: float) -> float:
-    """Asymptotic p-value of the two-sample Kolmogorov-Smirnov statistic."""
-    x = statistic * math.sqrt(n1 * n2 / (n1 + n2))
-    if x < 0.2:
-        return 1.0
-    total = sum((-1) ** (k - 1) * math.exp(-2.0 * k * k * x * x) for k in range(1, 101))
-    return min(max(2.0 * total, 0.0), 1.0)
-
-
-def chi2_sf(statistic: float, df: float) -> float:
-    """Upper tail of the chi-square distribution: the regularised incomplete gamma function."""
-    if df <= 0 or statistic <= 0:
-        return 1.0
-    a, x = df / 2.0, statistic / 2.0
-    scale = math.exp(a * math.log(x) - x - math.lgamma(a))
-    if x < a + 1.0:
-        term = total = 1.0 / a
-        n = a
-        while abs(term) > abs(total) * 1e-16:
-            n += 1.0
-            term *= x / n
-            total += term
-        return max(1.0 - total * scale, 0.0)
-    tiny = 1e-300
-    b = x + 1.0 - a
-    c = 1.0 / tiny
-    d = 1.0 / b
-    fraction = d
-    for i in range(1, 10_000):
-        step = -i * (i - a)
-        b += 2.0
-        d = step * d + b
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = b + step / c
-        c = c if abs(c) > tiny else tiny
-        fraction *= d * c
-        if abs(d * c - 1.0) < 1e-15:
-            break
-    return min(scale * fraction, 1.0)
-
-
-@F.pandas_udf(T.DoubleType())
-def ks_p_value(statistic: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
-    """Runs on one row per feature."""
-    return pd.Series([kolmogorov_sf(*row) for row in zip(statistic, n1, n2)], dtype="float64")
-
-
-@F.pandas_udf(T.DoubleType())
-def chi2_p_value(statistic: pd.Series, df: pd.Series) -> pd.Series:
-    """Runs on one row per feature."""
-    return pd.Series([chi2_sf(*row) for row in zip(statistic, df)], dtype="float64")
+def ks_p_value(statistic: Column, n1: Column, n2: Column) -> Column:
+    """Asymptotic p-value of the two-sample Kolmogorov-Smirnov statistic: the first 100
+    terms of the alternating series, which is 1 to double precision below 0.2."""
+    x = statistic * F.sqrt(n1.cast("double") * n2 / (n1.cast("double") + n2))
+
+    def term(total: Column, k: Column) -> Column:
+        return total + F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * k * k * x * x)
+
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0), term)
+    return F.when(x < 0.2, 1.0).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
+
+
+def _log_series(first: Column, step, n: Column) -> Column:
+    """Sum of ``n`` terms given by the log of the first and the log ratio ``step(k)``."""
+    start = F.struct(first.alias("log"), F.exp(first).alias("sum"))
+
+    def add(acc: Column, k: Column) -> Column:
+        log = acc["log"] + step(k)
+        return F.struct(log.alias("log"), (acc["sum"] + F.exp(log)).alias("sum"))
+
+    total = F.aggregate(F.sequence(F.lit(1), n - 1), start, add, lambda acc: acc["sum"])
+    return F.when(n < 1, 0.0).when(n == 1, F.exp(first)).otherwise(total)
+
+
+def chi2_p_value(statistic: Column, df: Column) -> Column:
+    """Upper tail of the chi-square distribution, by its closed form for whole ``df``.
+
+    A sum of df/2 terms, plus the complementary error function when df is odd. Terms are
+    kept as logs, so large statistics do not underflow to a wrong 1.
+    """
+    x = statistic / 2.0
+    log_x = F.ln(x)
+    half = F.floor(df / 2).cast("int")
+    even = _log_series(-x, lambda k: log_x - F.ln(k.cast("double")), half)
+    log_root = 0.5 * log_x - F.lit(math.lgamma(1.5)) - x
+    odd = _log_series(log_root, lambda k: log_x - F.ln(k + 0.5), half)
+    # erf by its series of positive terms; beyond 40 the complement is below 1e-18.
+    log_erf = 0.5 * log_x - x + F.lit(math.log(2.0 / math.sqrt(math.pi)))
+    erf = _log_series(log_erf, lambda k: log_x - F.ln(k + 0.5), F.lit(200))
+    erfc = F.when(x > 40.0, 0.0).otherwise(F.greatest(1.0 - erf, F.lit(0.0)))
+    tail = F.when(df % 2 == 0, even).otherwise(erfc + odd)
+    return F.when((df <= 0) | (statistic <= 0), 1.0).otherwise(F.least(tail, F.lit(1.0)))

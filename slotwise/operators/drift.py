@@ -103,17 +103,8 @@ def ks_drift(
     columns = columns or numeric_columns(current)
     counts = materialise(value_counts(reference, current, columns, "double"), "value-counts")
     tested = ks_statistic(counts)
-    return tested.withColumn(
-        "p_value",
-        F.when(
-            F.col("statistic").isNotNull(),
-            ks_p_value(
-                F.coalesce("statistic", F.lit(0.0)),
-                F.col("n_reference").cast("double"),
-                F.col("n_current").cast("double"),
-            ),
-        ),
-    )
+    p_value = ks_p_value(F.col("statistic"), F.col("n_reference"), F.col("n_current"))
+    return tested.withColumn("p_value", F.when(F.col("statistic").isNotNull(), p_value))
 
 
 def chi2_statistic(counts: DataFrame) -> DataFrame:
@@ -145,13 +136,8 @@ def chi2_drift(
     """Chi-square test of equal category shares per text or boolean feature."""
     columns = columns or categorical_columns(current)
     tested = chi2_statistic(value_counts(reference, current, columns, "string"))
-    return tested.withColumn(
-        "p_value",
-        F.when(
-            F.col("statistic").isNotNull(),
-            chi2_p_value(F.coalesce("statistic", F.lit(0.0)), F.col("df").cast("double")),
-        ),
-    )
+    p_value = chi2_p_value(F.col("statistic"), F.col("df"))
+    return tested.withColumn("p_value", F.when(F.col("statistic").isNotNull(), p_value))
 
 
 def feature_drift(

@@ -10,10 +10,13 @@ from pyspark.sql import SparkSession
 
 # Settings every plan here relies on; adaptive execution and ANSI mode stay at their Spark 4
 # defaults (on). The second one lets a join whose keys include the station reuse data
-# already hashed by station instead of moving it again.
+# already hashed by station instead of moving it again. The third one gives up generated
+# code for a stage whose method is too long for the JVM to compile; run as bytecode it is
+# two to four times slower (the full feature projection is that long).
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
