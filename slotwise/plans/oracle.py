@@ -157,10 +157,10 @@ def features(source: str, prefix: str = "") -> str:
     l.apparent_temperature < 8 AS feels_cold, l.apparent_temperature > 30 AS feels_hot,
     l.direct_radiation > 400 AS high_solar_radiation, s.distrito,
     l.dock_bikes_lag_15m, l.dock_bikes_lag_30m, l.dock_bikes_lag_1h, l.delta_dock_15m,
-    round({p}h.avg_dock_same_hour_7d, 6) AS avg_dock_same_hour_7d,
-    round({p}h.std_dock_same_hour_7d, 6) AS std_dock_same_hour_7d,
-    round({p}wd.avg_dock_same_weekday, 6) AS avg_dock_same_weekday,
-    round({p}t.station_daily_turnover, 6) AS station_daily_turnover,
+    round({p}h.avg_dock_same_hour_7d, 9) AS avg_dock_same_hour_7d,
+    round({p}h.std_dock_same_hour_7d, 9) AS std_dock_same_hour_7d,
+    round({p}wd.avg_dock_same_weekday, 9) AS avg_dock_same_weekday,
+    round({p}t.station_daily_turnover, 9) AS station_daily_turnover,
     w.v AS dock_bikes_same_time_1w, l.target_dock_bikes_1h, l.d, l.loc::DATE AS local_date
   FROM {p}lagged l
   LEFT JOIN {p}h ON {p}h.station_id = l.station_id AND {p}h.d = l.d
@@ -201,8 +201,8 @@ cycles AS (
 )
 """
 MONITOR = f"WITH {RAW}, {ERRORS}"
-CYCLE_COLUMNS = f"""cycle_timestamp, model_version, n_predictions, round(mae, 6) AS mae,
-  round(rmse, 6) AS rmse, p50_error, p90_error, worst_station_id, worst_station_error,
+CYCLE_COLUMNS = f"""cycle_timestamp, model_version, n_predictions, round(mae, 9) AS mae,
+  round(rmse, 9) AS rmse, p50_error, p90_error, worst_station_id, worst_station_error,
   TIMESTAMP '{AS_OF}' AS reconciled_at"""
 
 LIVE = """
@@ -305,7 +305,7 @@ tested AS (
 ),
 summary AS (
   SELECT DATE '{TARGET_DATE}' AS date, count(*) FILTER (p < 0.05) AS n_drifted_features,
-    round(count(*) FILTER (p < 0.05) / 42::DOUBLE, 6) AS share_drifted,
+    round(count(*) FILTER (p < 0.05) / 42::DOUBLE, 9) AS share_drifted,
     string_agg(feature, ',' ORDER BY feature) FILTER (p < 0.05) AS drifted_feature_names,
     (SELECT count(*) FROM ref) AS n_reference_rows, (SELECT count(*) FROM cur) AS n_current_rows
   FROM tested
@@ -349,7 +349,7 @@ DAILY = """daily AS (
     avg(abs(e)) AS daily_mae, sqrt(avg(e * e)) AS daily_rmse
   FROM pairs GROUP BY ALL
 )"""
-DAILY_COLUMNS = "round(daily_mae, 6) AS daily_mae, round(daily_rmse, 6) AS daily_rmse"
+DAILY_COLUMNS = "round(daily_mae, 9) AS daily_mae, round(daily_rmse, 9) AS daily_rmse"
 TOTALS = f"""{MONITOR}, totals AS (
   SELECT target_time::DATE AS date, model_version, count(DISTINCT station_id) AS n_stations,
     count(*) AS n_cycles, avg(abs(e)) AS daily_mae, sqrt(avg(e * e)) AS daily_rmse
@@ -396,7 +396,7 @@ ORACLE: dict[str, str] = {
     + " UNION ALL ".join(
         [
             _range_violation("hour_of_day", 0, 23),
-            _range_violation("day_of_week", 0, 6),
+            _range_violation("day_of_week", 0, 9),
             _range_violation("month", 1, 12),
             _range_violation("minutes_since_midnight", 0, 1439),
         ]
@@ -429,12 +429,12 @@ ORACLE: dict[str, str] = {
         FROM snap s LEFT JOIN sites t USING (latitude, longitude)""",
     "district_box_join": f"WITH {RAW}, {BOXES} SELECT * FROM sites",
     "hour_stats_7d": f"""{FEATURES} SELECT station_id, d AS utc_date, hour_of_day,
-        round(avg_dock_same_hour_7d, 6) AS avg_dock_same_hour_7d,
-        round(std_dock_same_hour_7d, 6) AS std_dock_same_hour_7d FROM h""",
+        round(avg_dock_same_hour_7d, 9) AS avg_dock_same_hour_7d,
+        round(std_dock_same_hour_7d, 9) AS std_dock_same_hour_7d FROM h""",
     "weekday_expanding_mean": f"""{FEATURES} SELECT station_id, d AS utc_date, day_of_week,
-        hour_of_day, round(avg_dock_same_weekday, 6) AS avg_dock_same_weekday FROM wd""",
+        hour_of_day, round(avg_dock_same_weekday, 9) AS avg_dock_same_weekday FROM wd""",
     "daily_turnover": f"""{FEATURES} SELECT station_id, d AS utc_date,
-        round(station_daily_turnover, 6) AS station_daily_turnover FROM t""",
+        round(station_daily_turnover, 9) AS station_daily_turnover FROM t""",
     "same_time_last_week": f"""{BASE} SELECT a.station_id, a.snapshot_timestamp,
         b.dock_bikes::DOUBLE AS dock_bikes_same_time_1w
         FROM snap a LEFT JOIN snap b ON a.station_id = b.station_id
@@ -458,32 +458,32 @@ ORACLE: dict[str, str] = {
           max(snapshot_timestamp) AS last_slot
         FROM snap, cut GROUP BY 1""",
     "naive_baseline": f"""{FEATURES} SELECT count(*) AS n,
-        round(avg(abs(dock_bikes_now - target_dock_bikes_1h)), 6) AS mae,
-        round(sqrt(avg((dock_bikes_now - target_dock_bikes_1h) ** 2)), 6) AS rmse
+        round(avg(abs(dock_bikes_now - target_dock_bikes_1h)), 9) AS mae,
+        round(sqrt(avg((dock_bikes_now - target_dock_bikes_1h) ** 2)), 9) AS rmse
         FROM feat WHERE target_dock_bikes_1h IS NOT NULL""",
     "naive_baseline_by_station": f"""{FEATURES} SELECT station_id, count(*) AS n,
-        round(avg(abs(dock_bikes_now - target_dock_bikes_1h)), 6) AS mae,
-        round(sqrt(avg((dock_bikes_now - target_dock_bikes_1h) ** 2)), 6) AS rmse
+        round(avg(abs(dock_bikes_now - target_dock_bikes_1h)), 9) AS mae,
+        round(sqrt(avg((dock_bikes_now - target_dock_bikes_1h) ** 2)), 9) AS rmse
         FROM feat WHERE target_dock_bikes_1h IS NOT NULL GROUP BY station_id""",
     "evaluate_metrics": f"""{RULE}, m AS (SELECT avg(y) AS my FROM scored)
-        SELECT round(avg(abs(p - y)), 6) AS mae, round(sqrt(avg((p - y) ** 2)), 6) AS rmse,
-          round(avg(abs(p - y)) / avg(y), 6) AS mae_normalized,
-          round(1 - sum((p - y) ** 2) / sum((y - my) ** 2), 6) AS r2,
-          round(avg(abs(dock_bikes_now - y)), 6) AS baseline_mae,
-          round(sqrt(avg((dock_bikes_now - y) ** 2)), 6) AS baseline_rmse,
+        SELECT round(avg(abs(p - y)), 9) AS mae, round(sqrt(avg((p - y) ** 2)), 9) AS rmse,
+          round(avg(abs(p - y)) / avg(y), 9) AS mae_normalized,
+          round(1 - sum((p - y) ** 2) / sum((y - my) ** 2), 9) AS r2,
+          round(avg(abs(dock_bikes_now - y)), 9) AS baseline_mae,
+          round(sqrt(avg((dock_bikes_now - y) ** 2)), 9) AS baseline_rmse,
           round((avg(abs(dock_bikes_now - y)) - avg(abs(p - y)))
-                / avg(abs(dock_bikes_now - y)) * 100, 6) AS improvement_pct,
+                / avg(abs(dock_bikes_now - y)) * 100, 9) AS improvement_pct,
           count(*)::DOUBLE AS n_rows
         FROM scored, m""",
     "critical_states": f"""{RULE}
         SELECT round(coalesce(count(*) FILTER (y < 2 AND p < 2)
-                 / nullif(count(*) FILTER (p < 2), 0)::DOUBLE, 0), 6) AS empty_precision,
+                 / nullif(count(*) FILTER (p < 2), 0)::DOUBLE, 0), 9) AS empty_precision,
           round(coalesce(count(*) FILTER (y < 2 AND p < 2)
-                 / nullif(count(*) FILTER (y < 2), 0)::DOUBLE, 0), 6) AS empty_recall,
+                 / nullif(count(*) FILTER (y < 2), 0)::DOUBLE, 0), 9) AS empty_recall,
           round(coalesce(count(*) FILTER (y > total_bases - 2 AND p > total_bases - 2)
-                 / nullif(count(*) FILTER (p > total_bases - 2), 0)::DOUBLE, 0), 6) AS full_precision,
+                 / nullif(count(*) FILTER (p > total_bases - 2), 0)::DOUBLE, 0), 9) AS full_precision,
           round(coalesce(count(*) FILTER (y > total_bases - 2 AND p > total_bases - 2)
-                 / nullif(count(*) FILTER (y > total_bases - 2), 0)::DOUBLE, 0), 6) AS full_recall,
+                 / nullif(count(*) FILTER (y > total_bases - 2), 0)::DOUBLE, 0), 9) AS full_recall,
           (count(*) FILTER (y < 2))::DOUBLE AS n_empty_actual,
           (count(*) FILTER (y > total_bases - 2))::DOUBLE AS n_full_actual
         FROM scored""",
@@ -501,8 +501,8 @@ ORACLE: dict[str, str] = {
         SELECT date, station_id, model_version, n_cycles, {DAILY_COLUMNS} FROM daily""",
     "station_daily_metrics_raw": f"""{MONITOR}
         SELECT p.target_time::DATE AS date, p.station_id, p.model_version, count(*) AS n_cycles,
-          round(avg(abs(p.predicted_dock_bikes - r.dock_bikes)), 6) AS daily_mae,
-          round(sqrt(avg((p.predicted_dock_bikes - r.dock_bikes) ** 2)), 6) AS daily_rmse
+          round(avg(abs(p.predicted_dock_bikes - r.dock_bikes)), 9) AS daily_mae,
+          round(sqrt(avg((p.predicted_dock_bikes - r.dock_bikes) ** 2)), 9) AS daily_rmse
         FROM pred p JOIN raw r ON p.station_id = r.station_id
           AND p.target_time = r.snapshot_timestamp
         GROUP BY ALL""",
@@ -514,13 +514,13 @@ ORACLE: dict[str, str] = {
         ORDER BY date DESC LIMIT 3""",
     "online_mae_view": f"""{MONITOR} SELECT cycle_timestamp::DATE AS prediction_date, model_version,
           count(*) AS n_cycles, sum(n_predictions)::BIGINT AS total_predictions,
-          round(sum(mae * n_predictions) / sum(n_predictions), 6) AS mae,
-          round(sqrt(sum(rmse * rmse * n_predictions) / sum(n_predictions)), 6) AS rmse,
-          round(avg(p50_error), 6) AS avg_p50_error, max(p90_error) AS max_p90_error,
+          round(sum(mae * n_predictions) / sum(n_predictions), 9) AS mae,
+          round(sqrt(sum(rmse * rmse * n_predictions) / sum(n_predictions)), 9) AS rmse,
+          round(avg(p50_error), 9) AS avg_p50_error, max(p90_error) AS max_p90_error,
           max(worst_station_error) AS max_station_error
         FROM cycles GROUP BY ALL""",
     "cycle_mae_by_day": f"""{MONITOR} SELECT cycle_timestamp::DATE AS day,
-          round(avg(mae), 6) AS avg_mae
+          round(avg(mae), 9) AS avg_mae
         FROM cycles WHERE cycle_timestamp BETWEEN TIMESTAMP '{AS_OF}' - INTERVAL '7 days'
           AND TIMESTAMP '{AS_OF}' GROUP BY ALL""",
     "top10_worst_stations": f"""{MONITOR}, {DAILY}
@@ -534,8 +534,8 @@ ORACLE: dict[str, str] = {
                 (SELECT avg(mae) FROM cycles
                  WHERE cycle_timestamp BETWEEN TIMESTAMP '{AS_OF}' - INTERVAL '24 hours'
                    AND TIMESTAMP '{AS_OF}') AS online_mae)
-        SELECT round(online_mae, 6) AS online_mae, round(training_mae, 6) AS training_mae,
-          round(training_mae * 1.2::DOUBLE, 6) AS threshold,
+        SELECT round(online_mae, 9) AS online_mae, round(training_mae, 9) AS training_mae,
+          round(training_mae * 1.2::DOUBLE, 9) AS threshold,
           coalesce(training_mae > 0 AND online_mae > training_mae * 1.2::DOUBLE, false) AS fired
         FROM a""",
     "table_freshness": f"""{MONITOR} SELECT count(*) AS n_rows, max(prediction_made_at) AS latest
@@ -602,22 +602,22 @@ ORACLE: dict[str, str] = {
           CASE WHEN date >= DATE '{TARGET_DATE}' THEN n_cycles * 10 ELSE n_cycles END AS n_cycles,
           {DAILY_COLUMNS} FROM daily""",
     "ks_drift": f"""{DRIFT}, {KS}
-        SELECT feature, round(statistic, 6) AS statistic, n_reference, n_current FROM ks""",
+        SELECT feature, round(statistic, 9) AS statistic, n_reference, n_current FROM ks""",
     "chi2_drift": f"""{DRIFT}, {CHI2}
-        SELECT feature, round(statistic, 6) AS statistic, df, n_reference, n_current FROM chi2""",
+        SELECT feature, round(statistic, 9) AS statistic, df, n_reference, n_current FROM chi2""",
     "drift_summary": f"{SUMMARY} SELECT * FROM summary",
     "drift_alert": f"""{SUMMARY} SELECT date, n_drifted_features, share_drifted FROM summary
         WHERE share_drifted > 0.10""",
     "stream_ingest": DOC_ROWS,
     "stream_dedup": f"{BASE} SELECT DISTINCT station_id, snapshot_timestamp FROM raw",
     "stream_reconcile": f"""{MONITOR} SELECT cycle_timestamp AS target_time, n_predictions,
-        round(mae, 6) AS mae, round(rmse, 6) AS rmse FROM cycles""",
+        round(mae, 9) AS mae, round(rmse, 9) AS rmse FROM cycles""",
     # Only windows the watermark has closed are emitted.
     "stream_error_windows": f"""{MONITOR}
         SELECT * FROM (
           SELECT date_trunc('day', cycle_timestamp)::TIMESTAMP AS window_start,
             (date_trunc('day', cycle_timestamp) + INTERVAL '1 day')::TIMESTAMP AS window_end,
-            count(*) AS n_cycles, round(avg(mae), 6) AS avg_mae
+            count(*) AS n_cycles, round(avg(mae), 9) AS avg_mae
           FROM cycles GROUP BY 1, 2)
         WHERE window_end <= {CLOSED}""",
     "stream_sliding_mae": f"""{MONITOR}, ends AS (
@@ -625,7 +625,7 @@ ORACLE: dict[str, str] = {
           FROM cycles, range(1, 97) AS r(i)
         )
         SELECT w.window_end - INTERVAL '24 hours' AS window_start, w.window_end,
-          count(*) AS n_cycles, round(avg(c.mae), 6) AS avg_mae
+          count(*) AS n_cycles, round(avg(c.mae), 9) AS avg_mae
         FROM ends w JOIN cycles c ON c.cycle_timestamp >= w.window_end - INTERVAL '24 hours'
           AND c.cycle_timestamp < w.window_end
         WHERE w.window_end <= {CLOSED} GROUP BY ALL""",

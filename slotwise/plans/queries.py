@@ -57,8 +57,9 @@ def register(query: Query) -> Query:
     return query
 
 
-def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    """Sums of fractions depend on their order; rounding makes them comparable."""
+def rounded(df: DataFrame, *columns: str, digits: int = 9) -> DataFrame:
+    """Sums of fractions depend on their order; rounding makes them comparable. Nine digits,
+    because the means here can end in a five at the seventh."""
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
