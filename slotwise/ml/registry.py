@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +13,12 @@ from slotwise.schemas import MODEL_RUNS, PROMOTIONS
 from slotwise.sources.tables import read_table
 
 
+def _utc(at: datetime) -> datetime:
+    return at if at.tzinfo else at.replace(tzinfo=UTC)
+
+
 def version_of(saved_at: datetime) -> str:
-    return saved_at.strftime("v%Y%m%d_%H%M%S")
+    return _utc(saved_at).astimezone(UTC).strftime("v%Y%m%d_%H%M%S")
 
 
 def run_row(
@@ -26,7 +30,7 @@ def run_row(
     top: list[tuple[str, float]] = (),
 ) -> DataFrame:
     """One row of the model-run table."""
-    row = (version_of(saved_at), saved_at, feature_names, num_trees, metrics, list(top))
+    row = (version_of(saved_at), _utc(saved_at), feature_names, num_trees, metrics, list(top))
     return spark.createDataFrame([row], MODEL_RUNS)
 
 
@@ -67,7 +71,7 @@ def champion_metric(runs: DataFrame, promotions: DataFrame, name: str = "mae"):
 
 
 def promote(spark: SparkSession, path: str, version: str, at: datetime) -> None:
-    row = spark.createDataFrame([(version, at)], PROMOTIONS)
+    row = spark.createDataFrame([(version, _utc(at))], PROMOTIONS)
     row.coalesce(1).write.mode("append").parquet(path)
 
 

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotwise.config import DEFAULTS
+from slotwise.config import DEFAULTS, SERIES
 from slotwise.functions.time import days_before, floor_slot
 from slotwise.operators.rows import instant, on_date, trailing
 
@@ -15,7 +15,9 @@ LATEST_KEYS = ("station_id", "prediction_made_at", "target_time", "predicted_doc
 
 
 def latest_observed(snapshots: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
-    """One observation per (id, ingestion time): the last by ``order``, then by value."""
+    """One observation per (id, ingestion time): the last by ``order``, else by the arrival
+    columns it has, then by value."""
+    order = order or tuple(c for c in SERIES.arrival if c in snapshots.columns)
     w = Window.partitionBy("id", "ingestion_timestamp").orderBy(
         *[F.col(c).desc_nulls_last() for c in (*order, "dock_bikes")]
     )

@@ -19,6 +19,12 @@ def instant(value: str | date | datetime) -> Column:
     return F.to_timestamp(F.lit(str(value)))
 
 
+def utc(column: Column) -> Column:
+    """An instant as UTC wall-clock time, which reaches Python unchanged whatever the time
+    zone of the driver's machine."""
+    return column.cast("timestamp_ntz")
+
+
 def keep_last(
     df: DataFrame,
     spec: SeriesSpec = SERIES,

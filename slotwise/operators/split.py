@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from slotwise.config import DEFAULTS, SERIES, SeriesSpec
 from slotwise.functions.time import days_before
-from slotwise.operators.rows import instant
+from slotwise.operators.rows import instant, utc
 
 
 def label_split(
@@ -44,7 +44,7 @@ def temporal_split(
     sizes = {
         row["split"]: row
         for row in labelled.groupBy("split")
-        .agg(F.count("*").alias("n"), F.min(spec.time).alias("lo"), F.max(spec.time).alias("hi"))
+        .agg(F.count("*").alias("n"), utc(F.min(spec.time)).alias("lo"), utc(F.max(spec.time)).alias("hi"))
         .collect()
     }
     if not sizes or all(row["hi"] is None for row in sizes.values()):
@@ -52,7 +52,7 @@ def temporal_split(
     for part, days in (("val", val_days + test_days + 1), ("test", test_days + 1)):
         if part not in sizes:
             raise ValueError(f"{part} split is empty; at least {days} days of data are needed")
-    latest = instant(sizes["test"]["hi"].strftime("%Y-%m-%d %H:%M:%S.%f"))
+    latest = instant(sizes["test"]["hi"])
     test_from = days_before(latest, test_days)
     val_from = days_before(latest, test_days + val_days)
     time = F.col(spec.time)

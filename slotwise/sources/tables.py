@@ -32,12 +32,13 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def predictions_for(predictions: DataFrame, target_time: datetime) -> DataFrame:
-    """Predictions of exactly one target time."""
+    """Predictions of exactly one target time (UTC unless it has an offset)."""
     columns = ", ".join(PREDICTIONS.fieldNames())
     return query(
         predictions.sparkSession,
-        f"SELECT {columns} FROM {{predictions}} WHERE target_time = :target_time",
-        {"target_time": target_time},
+        f"SELECT {columns} FROM {{predictions}} "
+        "WHERE target_time = CAST(:target_time AS TIMESTAMP)",
+        {"target_time": str(target_time)},
         predictions=predictions,
     )
 

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from slotwise.config import DEFAULTS, SERIES, Settings
 from slotwise.ml.scoring import score_slots
+from slotwise.operators.rows import utc
 from slotwise.schemas import SNAPSHOT_DOCUMENT
 from slotwise.sources.snapshots import flatten_documents, snapshots_between
 
@@ -82,7 +83,8 @@ def start_scoring(
     The batch number in the file path makes a repeated batch replace its own output.
     """
     def score_batch(batch: DataFrame, batch_id: int) -> None:
-        span = batch.agg(F.min(SERIES.time).alias("lo"), F.max(SERIES.time).alias("hi")).first()
+        lo, hi = F.min(SERIES.time), F.max(SERIES.time)
+        span = batch.agg(utc(lo).alias("lo"), utc(hi).alias("hi")).first()
         if span["lo"] is None:
             return
         first = (span["lo"] - timedelta(days=settings.history_days)).date()
