@@ -27,3 +27,13 @@ def parts_for(docs: DataFrame, mb: float) -> int:
 
 def shuffle_parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them until no column of ``df`` is called so."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotwise.llm import substring
+from slotwise.llm import mixing, simhash, substring
+from slotwise.llm.frames import original_id
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +17,19 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", "kept_sha256", "removed")
 
 
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mix(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"), "source", "times")
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.simhash_groups(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return rows.select(original_id(), digits, original_id("component_id"))
+
+
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op9_source_mixing": op9_source_mixing,
+    "op10_simhash": op10_simhash,
 }
