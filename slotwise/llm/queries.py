@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotwise.llm import mixing, simhash, substring
+from slotwise.llm import decontaminate, lengths, mixing, simhash, substring, tokens
 from slotwise.llm.frames import original_id
 
 
@@ -17,6 +17,18 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", "kept_sha256", "removed")
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_digests(table(spark, sf_dir, "documents"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op8_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lengths.limits(lengths.length_histogram(table(spark, sf_dir, "documents")))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mix(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"), "source", "times")
@@ -30,6 +42,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_token_files": op3_token_files,
+    "op6_decontamination": op6_decontamination,
+    "op8_length_histogram": op8_length_histogram,
     "op9_source_mixing": op9_source_mixing,
     "op10_simhash": op10_simhash,
 }
