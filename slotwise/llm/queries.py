@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotwise.llm import decontaminate, lengths, mixing, simhash, substring, tokens
+from slotwise.llm import decontaminate, lengths, mixing, ngram, simhash, substring, tokens
 from slotwise.llm.frames import original_id
 
 
@@ -21,6 +21,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_digests(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram.train_and_score(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -43,6 +47,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_token_files": op3_token_files,
+    "op5_ngram_scores": op5_ngram_scores,
     "op6_decontamination": op6_decontamination,
     "op8_length_histogram": op8_length_histogram,
     "op9_source_mixing": op9_source_mixing,
