@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotwise.llm import decontaminate, lengths, mixing, ngram, simhash, substring, tokens
+from slotwise.llm import decontaminate, lengths, mixing, ngram, simhash, substring, tokens, toxicity
 from slotwise.llm.frames import original_id
 
 
@@ -21,6 +21,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_digests(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(toxicity.fold_of(F.col("doc_id")) == 1, F.lit(False)).alias("held_out")
+    return rows.select("doc_id", held_out, "score", "predicted", "spans")
+
+
 def op5_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram.train_and_score(table(spark, sf_dir, "documents"))
 
@@ -47,6 +53,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_token_files": op3_token_files,
+    "op4_toxicity": op4_toxicity,
     "op5_ngram_scores": op5_ngram_scores,
     "op6_decontamination": op6_decontamination,
     "op8_length_histogram": op8_length_histogram,
