@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotwise.llm import decontaminate, lengths, mixing, ngram, simhash, substring, tokens, toxicity
+from slotwise.llm import decontaminate, language, lengths, mixing, ngram, simhash, sketches, substring, tokens, toxicity
 from slotwise.llm.frames import original_id
 
 
@@ -17,6 +17,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", "kept_sha256", "removed")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_digests(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op7_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.page_languages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op8_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.limits(lengths.length_histogram(table(spark, sf_dir, "documents")))
 
@@ -52,10 +60,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_fingerprints": op2_fingerprints,
     "op3_token_files": op3_token_files,
     "op4_toxicity": op4_toxicity,
     "op5_ngram_scores": op5_ngram_scores,
     "op6_decontamination": op6_decontamination,
+    "op7_page_language": op7_page_language,
     "op8_length_histogram": op8_length_histogram,
     "op9_source_mixing": op9_source_mixing,
     "op10_simhash": op10_simhash,

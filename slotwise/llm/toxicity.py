@@ -279,6 +279,11 @@ def _evidence(buffer: np.ndarray, offsets: np.ndarray, model: dict):
         yield (float(np.log1p(sum(q * q for q in best.values()))), max(p)), list(zip(begin[mine].tolist(), end[mine].tolist())), p
 
 
+def chance(evidence: tuple[float, float], curve: tuple[float, ...]) -> float:
+    z = curve[0] + sum(a * b for a, b in zip(curve[1:], evidence))
+    return 1 / (1 + float(np.exp(-min(max(z, -30), 30))))
+
+
 _OUT = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -289,14 +294,12 @@ _OUT = pa.schema(
 
 
 def _score(batches, model: dict):
-    w = model["curve"]
     for batch in batches:
         for piece in slices(batch, "text"):
             buffer, offsets = text_bytes(piece.column("text"))
             scores, spans = [], []
             for d, (x, where, p) in enumerate(_evidence(buffer, offsets, model)):
-                z = w[0] + sum(a * b for a, b in zip(w[1:], x))
-                scores.append(1 / (1 + float(np.exp(-min(max(z, -30), 30)))))
+                scores.append(chance(x, model["curve"]))
                 found = []
                 for (a, b), q in zip(where, p):
                     if q >= 0.5:  # offsets count code points: bytes that do not continue a character
@@ -346,3 +349,16 @@ def apply_model(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> D
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = rows.mapInArrow(partial(_score, model=model), "doc_id long, score double, spans array<struct<begin: long, end: long, probability: double>>")
     return out.select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "spans")
+
+
+def _clean(batches, model: dict, threshold: float):
+    for batch in batches:
+        for piece in slices(batch, "text"):
+            keep = [chance(x, model["curve"]) < threshold for x, _, _ in _evidence(*text_bytes(piece.column("text")), model)]
+            yield piece.filter(pa.array(keep, pa.bool_()))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **settings) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, all columns as they are; nothing is shuffled."""
+    model = fit_on_labels(docs, labels, **settings)
+    return docs.mapInArrow(partial(_clean, model=model, threshold=threshold), docs.schema)
