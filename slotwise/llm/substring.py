@@ -3,12 +3,15 @@
 Method: the Rabin-Karp hash of every window of ``window`` words is counted in Spark. A task
 hashes the windows of its documents with numpy, keeps the first of each hash, and sends the
 hashes to the bucket that a second, independent hash names, as packed arrays with document
-and start. Each bucket finds the first place of every hash; all other places go back to their
-documents, where overlapping windows merge into maximal intervals that are cut out.
-
-At scale: a window moves once as about ten bytes, a document's text once; a sequence that a
-third of all rows holds is one entry per task. Equality of windows is equality of 64 bits of
-Rabin-Karp hash and of the bucket chosen by a second hash.
+and start. Each bucket finds the first place of every hash; all other places go back, packed by
+the part of the documents they belong to, and are sorted out there: overlapping windows merge
+into maximal intervals, which are cut out.
+
+At scale: a window moves once as about nine bytes, a document's text once; a sequence that a
+third of all rows holds is one entry per block of a task. Equality of windows is equality of 56
+bits of Rabin-Karp hash and of the bucket, which a second hash chooses among one per 8 MB of text;
+so the hash grows with the corpus: 63 bits at 1 GB (a false match is expected once in a thousand
+corpora), 80 bits at 100 TB (some hundred false matches among 10^13 windows).
 """
 
 from __future__ import annotations
@@ -24,15 +27,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from slotwise.llm.frames import key_and_text, original_id, parts_for, shuffle_parts
-from slotwise.llm.text import mixed, pack, pack_ids, slices, span_hashes, text_bytes, unpack, unpack_ids, window_hashes, word_spans
+from slotwise.llm.text import U64, mixed, pack, pack_ids, slices, span_hashes, text_bytes, unpack, unpack_ids, window_hashes, word_spans
 
 WINDOW = 20
 BUCKET_MB = 8  # text per bucket
-BLOCK = 4_000_000  # windows a task holds before it sends them
+BLOCK = 1_200_000  # windows a task holds before it sends them
+# The primes of XXH64.
+_XXH = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
 BASE, BASE_2 = 0x5851F42D4C957F2D, 0x2545F4914F6CDD1D
 
-SENT = "bucket long, doc_id long, payload binary"
-MARKS = "doc_id long, tag int, starts binary"
+SENT = "bucket long, payload binary"
+MARKS = "dest long, marks binary"
 
 
 def tag_of(text: bytes) -> int:
@@ -42,14 +47,14 @@ def tag_of(text: bytes) -> int:
 class _Block:
     """Windows of a task's documents, first of each hash only."""
 
-    def __init__(self, buckets: int):
-        self.buckets, self.size, self.parts = buckets, 0, []
+    def __init__(self, buckets: int, dests: int):
+        self.buckets, self.dests, self.size, self.parts = buckets, dests, 0, []
 
     def add(self, ids, tags, doc, start, h, g):
         self.parts.append((ids, tags, doc, start, h, g))
         self.size += len(h)
 
-    def rows(self) -> Iterator[tuple[int, int, bytes]]:
+    def rows(self) -> Iterator[tuple[int, bytes]]:
         if not self.parts:
             return
         base = np.cumsum([0] + [len(p[0]) for p in self.parts])
@@ -65,17 +70,15 @@ class _Block:
         rank[by_key] = np.cumsum(~same) - 1
         ids, tags = ids[~same], tags[~same]
         doc = rank[doc]
-        place = doc << 32 | start
+        place = doc.astype(np.int64) << 32 | start
         if len(place) > 1 and (place[1:] < place[:-1]).any():
             order = np.argsort(place, kind="stable")
             doc, start, place, h, g = doc[order], start[order], place[order], h[order], g[order]
         _, first, group = np.unique(h, return_index=True, return_inverse=True)
         late = np.flatnonzero(place != place[first][group])
-        if len(late):
-            for lo, hi in _runs(doc[late]):
-                at = late[lo:hi]
-                d = doc[at[0]]
-                yield -1 - int(tags[d]), int(ids[d]), pack(np.unique(start[at]))
+        d = doc[late]
+        for dest, marks in _packed_marks(ids[d], tags[d], start[late], self.dests):
+            yield -1 - dest, marks
         del group, place
         first.sort()
         doc, start, h = doc[first], start[first], h[first]
@@ -87,9 +90,18 @@ class _Block:
             cut = np.flatnonzero(np.diff(d, prepend=-1))
             many = np.diff(cut, append=len(d))
             mine = d[cut]
-            s = start[lo:hi].copy()
-            parts = (h[lo:hi].tobytes(), pack_ids(ids[mine]), tags[mine].astype(np.uint16).tobytes(), _plain(many), pack(s))
-            yield int(bucket[lo]), 0, b"".join(len(p).to_bytes(8, "little") + p for p in parts)
+            s = start[lo:hi]
+            yield int(bucket[lo]), _joined(_seven(h[lo:hi]), pack_ids(ids[mine]), tags[mine].astype(np.uint16).tobytes(), _plain(many), pack(s))
+
+
+def _seven(h: np.ndarray) -> bytes:
+    return h.view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+
+
+def _from_seven(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 7, 8), np.uint8)
+    out[:, :7] = np.frombuffer(data, np.uint8).reshape(-1, 7)
+    return out.view(np.uint64).ravel()
 
 
 def _plain(values: np.ndarray) -> bytes:
@@ -107,6 +119,58 @@ def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
         yield from zip([0, *cut.tolist()], [*cut.tolist(), len(values)])
 
 
+def _joined(*parts: bytes) -> bytes:
+    return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
+
+
+def _dest(ids: np.ndarray, dests: int) -> np.ndarray:
+    """pmod(xxhash64(doc_id), dests), as Spark computes it (XXH64 of eight bytes, seed 42)."""
+    p1, p2, p3, p4, p5 = (U64(x) for x in _XXH)
+    turn = lambda x, k: (x << U64(k)) | (x >> U64(64 - k))
+    h = (p5 + U64(50)) ^ turn(ids.astype(np.int64).view(U64) * p2, 31) * p1
+    h = turn(h, 27) * p1 + p4
+    h = (h ^ (h >> U64(33))) * p2
+    h = (h ^ (h >> U64(29))) * p3
+    return (h ^ (h >> U64(32))).view(np.int64) % dests
+
+
+def _packed_marks(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray, dests: int) -> Iterator[tuple[int, bytes]]:
+    """Places of late windows, packed by the part of the documents they go to."""
+    if not len(ids):
+        return
+    dest = _dest(ids, dests)
+    order = np.lexsort((starts, tags, ids, dest))
+    dest, ids, tags, starts = dest[order], ids[order], tags[order].astype(np.int64), starts[order]
+    for lo, hi in _runs(dest):
+        i, t = ids[lo:hi], tags[lo:hi]
+        head = np.flatnonzero((np.diff(i, prepend=i[0]) != 0) | (np.diff(t, prepend=t[0] + 1) != 0))
+        many = np.diff(head, append=hi - lo)
+        yield int(dest[lo]), _joined(pack_ids(i[head]), t[head].astype(np.uint16).tobytes(), _plain(many), pack(starts[lo:hi]))
+
+
+class _Marks:
+    """Late windows of one part's documents, sorted for look-up."""
+
+    def __init__(self, packed: list[bytes]):
+        ids, tags, starts = [], [], []
+        for data in packed:
+            i, t, many, s = _split(data)
+            many = _unplain(many)
+            ids.append(np.repeat(unpack_ids(i), many))
+            tags.append(np.repeat(np.frombuffer(t, np.uint16), many))
+            starts.append(unpack(s))
+        if packed:
+            order = np.lexsort((np.concatenate(starts), np.concatenate(tags), np.concatenate(ids)))
+            self.ids, self.tags, self.starts = (np.concatenate(x)[order] for x in (ids, tags, starts))
+        else:
+            self.ids = self.tags = self.starts = np.empty(0, np.int64)
+
+    def of(self, doc_id: int, tag: int) -> np.ndarray:
+        lo, hi = np.searchsorted(self.ids, doc_id), np.searchsorted(self.ids, doc_id, "right")
+        a, b = np.searchsorted(self.tags[lo:hi], tag), np.searchsorted(self.tags[lo:hi], tag, "right")
+        return np.unique(self.starts[lo + a : lo + b])
+
+
 def _split(data: bytes) -> list[bytes]:
     out, at = [], 0
     while at < len(data):
@@ -116,16 +180,15 @@ def _split(data: bytes) -> list[bytes]:
     return out
 
 
-def _hash_windows(batches, window: int, buckets: int, block: int):
-    held = _Block(buckets)
+def _hash_windows(batches, window: int, buckets: int, dests: int, block: int):
+    held = _Block(buckets, dests)
 
     def out():
         rows = list(held.rows())
         for lo in range(0, len(rows), 2000):
             part = rows[lo : lo + 2000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()), pa.array([r[2] for r in part], pa.binary())],
-                ["bucket", "doc_id", "payload"],
+                [pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.binary())], ["bucket", "payload"]
             )
 
     for batch in batches:
@@ -138,26 +201,26 @@ def _hash_windows(batches, window: int, buckets: int, block: int):
             valid = np.flatnonzero(start + window <= np.repeat(count, count))
             if not len(valid):
                 continue
-            doc = np.repeat(np.arange(len(count)), count)[valid]
+            doc = np.repeat(np.arange(len(count), dtype=np.int32), count)[valid]
             h = mixed(window_hashes(words, window, BASE)[valid])
             g = mixed(window_hashes(mixed(words), window, BASE_2)[valid])
             raw = buffer.tobytes()
             tags = np.array([tag_of(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], np.int64)
-            held.add(piece.column("doc_id").to_numpy(zero_copy_only=False), tags, doc, start[valid], h, g)
+            held.add(piece.column("doc_id").to_numpy(zero_copy_only=False), tags, doc, start[valid].astype(np.int32), h, g)
             if held.size >= block:
                 yield from out()
     yield from out()
 
 
-def _later_places(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Documents and starts of the windows of a bucket that begin somewhere earlier too."""
+def _later_places(pdf: pd.DataFrame, dests: int) -> pd.DataFrame:
+    """Places of the windows of a bucket that begin somewhere earlier too."""
     if pdf["bucket"].iloc[0] < 0:  # already decided by the task that held both places
-        return pd.DataFrame({"doc_id": pdf["doc_id"], "tag": (-1 - pdf["bucket"]).astype("int32"), "starts": pdf["payload"]})
+        return pd.DataFrame({"dest": -1 - pdf["bucket"], "marks": pdf["payload"]})
     hs, ids, tags, starts = [], [], [], []
     for data in pdf["payload"]:
         h, i, t, many, s = _split(data)
         many = _unplain(many)
-        hs.append(np.frombuffer(h, np.uint64))
+        hs.append(_from_seven(h))
         ids.append(np.repeat(unpack_ids(i), many))
         tags.append(np.repeat(np.frombuffer(t, np.uint16), many))
         starts.append(unpack(s).astype(np.uint32))
@@ -169,24 +232,16 @@ def _later_places(pdf: pd.DataFrame) -> pd.DataFrame:
     twin[1:-1] = h[1:] == h[:-1]
     sub = order[twin[1:] | twin[:-1]]
     h = h[twin[1:] | twin[:-1]]
-    none = pd.DataFrame({"doc_id": np.empty(0, np.int64), "tag": np.empty(0, np.int32), "starts": np.empty(0, object)})
     if not len(sub):
-        return none
+        return pd.DataFrame({"dest": np.empty(0, np.int64), "marks": np.empty(0, object)})
     doc, tag, start = np.concatenate(ids)[sub], np.concatenate(tags)[sub], np.concatenate(starts)[sub]
     order = np.lexsort((start, tag, doc, h))
     h, doc, tag, start = h[order], doc[order], tag[order], start[order]
     head = np.flatnonzero(np.diff(h, prepend=h[0] ^ np.uint64(1)))
     group = np.repeat(head, np.diff(head, append=len(h)))
     late = (doc != doc[group]) | (tag != tag[group]) | (start != start[group])
-    doc, tag, start = doc[late], tag[late], start[late]
-    if not len(doc):
-        return none
-    order = np.lexsort((start, tag, doc))
-    doc, tag, start = doc[order], tag[order], start[order]
-    cut = np.flatnonzero((np.diff(doc, prepend=doc[0]) != 0) | (np.diff(tag.astype(np.int64), prepend=int(tag[0])) != 0))
-    cut = np.concatenate([[0], cut]).astype(np.int64)
-    stop = [*cut[1:].tolist(), len(doc)]
-    return pd.DataFrame({"doc_id": doc[cut], "tag": tag[cut].astype(np.int32), "starts": [pack(start[a:b]) for a, b in zip(cut, stop)]})
+    rows = list(_packed_marks(doc[late], tag[late], start[late], dests))
+    return pd.DataFrame({"dest": np.array([r[0] for r in rows], np.int64), "marks": [r[1] for r in rows]})
 
 
 def intervals(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
@@ -198,21 +253,21 @@ def intervals(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
 
 
 def _apply(batches, window: int):
-    """Texts after the marks that concern them (rows come sorted by document, marks first)."""
-    current, marks = None, {}
+    """Texts without their marked words (rows come sorted by part, marks first)."""
+    dest, packed, marks = None, [], None
     for batch in batches:
         rows = {"doc_id": [], "text": [], "n_words": [], "n_removed": [], "removed": [], "kept_sha256": []}
-        columns = (batch.column(c) for c in ("doc_id", "tag", "text", "starts"))
-        for doc, tag, text, starts in zip(*(c.to_pylist() for c in columns)):
-            if doc != current:
-                current, marks = doc, {}
-            if starts is not None:
-                marks.setdefault(tag, []).append(unpack(starts))
+        for part, doc, text, mark in zip(batch.column("dest").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("marks")):
+            if part != dest:
+                dest, packed, marks = part, [], None
+            if mark.is_valid:
+                packed.append(mark.as_py())
                 continue
-            raw = (text or "").encode()
+            if marks is None:
+                marks, packed = _Marks(packed), []
+            raw = (text.as_py() or "").encode()
             words = raw.split()
-            found = marks.get(tag_of(raw)) if marks else None
-            cuts = intervals(np.unique(np.concatenate(found)), window) if found else []
+            cuts = intervals(marks.of(doc, tag_of(raw)), window)
             kept, at = [], 0
             for lo, hi in cuts:
                 kept += words[at:lo]
@@ -253,10 +308,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, bucket_mb: float = BUC
     in both count as one document and get the same result. Other columns are ignored.
     """
     docs = key_and_text(docs)
-    buckets = parts_for(docs, bucket_mb)
-    sent = docs.mapInArrow(partial(_hash_windows, window=window, buckets=buckets, block=block), SENT)
-    marks = sent.groupBy("bucket").applyInPandas(_later_places, MARKS)
-    rows = docs.select("doc_id", F.lit(None).cast("int").alias("tag"), "text", F.lit(None).cast("binary").alias("starts"))
-    both = rows.unionByName(marks.select("doc_id", "tag", F.lit(None).cast("string").alias("text"), "starts"))
-    both = both.repartition(shuffle_parts(docs), "doc_id").sortWithinPartitions("doc_id", F.col("starts").isNull())
+    buckets, dests = parts_for(docs, bucket_mb), shuffle_parts(docs)
+    sent = docs.mapInArrow(partial(_hash_windows, window=window, buckets=buckets, dests=dests, block=block), SENT)
+
+    def later_places(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _later_places(pdf, dests)
+
+    marks = sent.groupBy("bucket").applyInPandas(later_places, MARKS)
+    dest = F.pmod(F.xxhash64("doc_id"), F.lit(dests)).cast("long").alias("dest")
+    rows = docs.select(dest, "doc_id", "text", F.lit(None).cast("binary").alias("marks"))
+    both = rows.unionByName(marks.select("dest", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), "marks"))
+    both = both.repartition(dests, "dest").sortWithinPartitions("dest", F.col("marks").isNull(), "doc_id")
     return both.mapInArrow(partial(_apply, window=window), _OUT_DDL).withColumn("doc_id", original_id())
