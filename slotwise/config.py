@@ -12,6 +12,8 @@ class Settings:
     The reference uses one number, 7, for three jobs. They are three fields here: days of
     history loaded before a window (``warmup_days``), rows of the rolling statistics
     (``rolling_days``) and the distance of the weekly lookback (``lookback_days``).
+    ``expanding_rows`` and ``drift_stations`` limit the expanding mean and the drift reference;
+    None, the default, means all.
     """
 
     train_days: int = 7
@@ -20,13 +22,13 @@ class Settings:
     warmup_days: int = 7
     rolling_days: int = 7
     lookback_days: int = 7
-    expanding_rows: int = 10_000
+    expanding_rows: int | None = None
     slot_minutes: int = 15
     horizon_rows: int = 4
     horizon_hours: int = 1
     history_days: int = 8
     local_zone: str = "Europe/Madrid"
-    drift_stations: int = 100
+    drift_stations: int | None = None
     drift_p_value: float = 0.05
     drift_share: float = 0.30
     mae_factor: float = 1.20

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Sequence
+from dataclasses import dataclass
 from typing import Any
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,14 +18,11 @@ from slotwise.operators.metrics import mae
 from slotwise.functions.numeric import rounded_count
 from slotwise.operators.rows import present
 from slotwise.schemas import MODEL_COLUMNS
-from slotwise.session import scratch_dir
+from slotwise.session import materialise, scratch_dir
 
 # The trees reject nulls. This value lies below every real one, so a split can put
 # "missing" on its own side, and no statistic has to be fitted for it.
 MISSING = -1.0e6
-# Above this many keys the key is used as a number: an index over all keys would have to
-# be held by the driver and every tree.
-MAX_CATEGORIES = 1_000
 
 DEFAULT_PARAMS: dict[str, Any] = {
     "maxIter": 100,
@@ -38,55 +36,57 @@ DEFAULT_PARAMS: dict[str, Any] = {
 }
 
 
-def prepare(df: DataFrame, columns: Sequence[str] = MODEL_COLUMNS) -> DataFrame:
-    """Add ``x_<column>`` model inputs: numbers and booleans as doubles, text as it is."""
-    inputs = {}
-    for c in present(df, columns):
-        kind = df.schema[c].dataType.typeName()
-        if kind == "string":
-            inputs[f"x_{c}"] = F.col(c)
-        elif kind == "boolean":
-            inputs[f"x_{c}"] = F.coalesce(F.col(c).cast("int").cast("double"), F.lit(MISSING))
-        else:
-            inputs[f"x_{c}"] = F.coalesce(F.col(c).cast("double"), F.lit(MISSING))
-    return df.withColumns(inputs)
+@dataclass
+class TreeModel:
+    """Fitted trees with what turns a frame into their inputs.
+
+    ``means`` has one row per category of each encoded column (``column``, ``category``,
+    ``mean``): the mean target of the train part. It stays a table at every size.
+    """
 
+    columns: list[str]
+    encoded: list[str]
+    means: DataFrame
+    overall: float
+    pipeline: PipelineModel
 
-def _key_is_categorical(train: DataFrame) -> bool:
-    """Whether the train part has few enough keys; stops counting at the limit."""
-    keys = train.select(SERIES.key).distinct().limit(MAX_CATEGORIES + 1)
-    return keys.count() <= MAX_CATEGORIES
+    @property
+    def stages(self) -> list:
+        return self.pipeline.stages
 
 
-def _stages(train: DataFrame, columns: Sequence[str], params: dict[str, Any]) -> list:
-    used = present(train, columns)
-    text = [c for c in used if train.schema[c].dataType.typeName() == "string"]
-    if SERIES.key in used and SERIES.key not in text and _key_is_categorical(train):
-        text.append(SERIES.key)
-    stages = []
-    if text:
-        stages.append(
-            StringIndexer(
-                inputCols=[f"x_{c}" for c in text],
-                outputCols=[f"i_{c}" for c in text],
-                handleInvalid="keep",
-            )
-        )
-    inputs = [f"i_{c}" if c in text else f"x_{c}" for c in used]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
-    bins = MAX_CATEGORIES + 2 if SERIES.key in text else 32 if not text else 64
-    settings = {"maxBins": bins, **DEFAULT_PARAMS, **params}
-    stages.append(
-        GBTRegressor(
-            featuresCol="features",
-            labelCol=SERIES.target,
-            predictionCol="prediction",
-            lossType="absolute",
-            validationIndicatorCol="_validation",
-            **settings,
-        )
+def _encoded(df: DataFrame, used: Sequence[str]) -> list[str]:
+    """Text columns and the series key: numbers would order them by accident."""
+    return [c for c in used if c == SERIES.key or df.schema[c].dataType.typeName() == "string"]
+
+
+def category_means(train: DataFrame, encoded: Sequence[str]) -> DataFrame:
+    """Mean target per category; each task adds up its own rows before anything moves."""
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("category")) for c in encoded])
     )
-    return stages
+    rows = train.select(F.col(SERIES.target).cast("double").alias("y"), pairs.alias("p"))
+    return rows.where("p.category IS NOT NULL").groupBy("p.column", "p.category").agg(F.avg("y").alias("mean"))
+
+
+def prepare(
+    df: DataFrame, columns: Sequence[str], encoded: Sequence[str], means: DataFrame, overall: float
+) -> DataFrame:
+    """Add ``x_<column>`` model inputs: numbers and booleans as doubles, categories as the mean
+    target the train part had for them, unseen ones as the overall mean."""
+    inputs = {}
+    for c in columns:
+        if c in encoded:
+            own = means.where(F.col("column") == c).select(
+                F.col("category").alias(f"_k_{c}"), F.col("mean").alias(f"_m_{c}")
+            )
+            df = df.join(own, F.col(c).cast("string") == F.col(f"_k_{c}"), "left").drop(f"_k_{c}")
+            inputs[f"x_{c}"] = F.coalesce(F.col(f"_m_{c}"), F.lit(overall))
+        elif df.schema[c].dataType.typeName() == "boolean":
+            inputs[f"x_{c}"] = F.coalesce(F.col(c).cast("int").cast("double"), F.lit(MISSING))
+        else:
+            inputs[f"x_{c}"] = F.coalesce(F.col(c).cast("double"), F.lit(MISSING))
+    return df.withColumns(inputs)
 
 
 def train_model(
@@ -94,10 +94,10 @@ def train_model(
     val: DataFrame,
     params: dict[str, Any] | None = None,
     columns: Sequence[str] = MODEL_COLUMNS,
-) -> PipelineModel:
+) -> TreeModel:
     """Fit on ``train``, stop adding trees when the error on ``val`` no longer falls.
 
-    Indexers see the train part only. Give it written or cached frames: trees pass over
+    Category means see the train part only. Give it written or cached frames: trees pass over
     the data many times.
     """
     has_target = F.col(SERIES.target).isNotNull()
@@ -105,23 +105,34 @@ def train_model(
     for name, part in (("training", train), ("validation", val)):
         if part.isEmpty():
             raise ValueError(f"the {name} set has no rows with a target")
-    train, val = prepare(train, columns), prepare(val, columns)
-    *encoders, trees = _stages(train, columns, params or {})
-    encoder = Pipeline(stages=encoders).fit(train)
+    used = present(train, columns)
+    encoded = _encoded(train, used)
+    means = materialise(category_means(train, encoded), "category-means")
+    overall = train.agg(F.avg(SERIES.target)).first()[0]
     both = train.withColumn("_validation", F.lit(False)).unionByName(
         val.withColumn("_validation", F.lit(True))
     )
-    fitted = trees.fit(encoder.transform(both).select("features", SERIES.target, "_validation"))
-    return PipelineModel(stages=[*encoder.stages, fitted])
+    assembler = VectorAssembler(inputCols=[f"x_{c}" for c in used], outputCol="features")
+    rows = assembler.transform(prepare(both, used, encoded, means, overall))
+    rows = materialise(rows.select("features", SERIES.target, "_validation"), "tree-input")
+    trees = GBTRegressor(
+        featuresCol="features",
+        labelCol=SERIES.target,
+        predictionCol="prediction",
+        lossType="absolute",
+        validationIndicatorCol="_validation",
+        **{"maxBins": 64, **DEFAULT_PARAMS, **(params or {})},
+    )
+    return TreeModel(used, encoded, means, overall, PipelineModel(stages=[assembler, trees.fit(rows)]))
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: TreeModel, df: DataFrame) -> DataFrame:
     """``df`` with a ``prediction`` column; rows without a target are kept."""
-    columns = [*df.columns, "prediction"]
-    return model.transform(prepare(df)).select(*columns)
+    inputs = prepare(df, model.columns, model.encoded, model.means, model.overall)
+    return model.pipeline.transform(inputs).select(*df.columns, "prediction")
 
 
-def validation_mae(model: PipelineModel, df: DataFrame) -> float:
+def validation_mae(model: TreeModel, df: DataFrame) -> float:
     error = rounded_count(F.col("prediction")) - F.col(SERIES.target)
     rows = predict(model, df.where(F.col(SERIES.target).isNotNull()))
     return rows.agg(mae(error).alias("mae")).first()["mae"]
@@ -137,7 +148,7 @@ def tune(
     val: DataFrame,
     candidates: Sequence[dict[str, Any]],
     columns: Sequence[str] = MODEL_COLUMNS,
-) -> tuple[dict[str, Any], PipelineModel, list[tuple[dict[str, Any], float]]]:
+) -> tuple[dict[str, Any], TreeModel, list[tuple[dict[str, Any], float]]]:
     """Fit every candidate on ``train``, keep the one with the lowest error on ``val``.
 
     The validation part is later in time; random folds would leak the future. Returns the
@@ -155,16 +166,11 @@ def tune(
     return best[0], best[2], trials
 
 
-def num_trees(model: PipelineModel) -> int:
+def num_trees(model: TreeModel) -> int:
     return model.stages[-1].getNumTrees
 
 
-def _model_columns(model: PipelineModel) -> list[str]:
-    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
-    return [c[2:] for c in assembler.getInputCols()]
-
-
-def feature_importance(model: PipelineModel, spark) -> DataFrame:
+def feature_importance(model: TreeModel, spark) -> DataFrame:
     """(feature, gain, gain_pct, split, split_pct), one row per model column.
 
     Read from the saved trees as a table; columns that never split have zeros.
@@ -177,7 +183,7 @@ def feature_importance(model: PipelineModel, spark) -> DataFrame:
         .groupBy(F.col("split.featureIndex").alias("index"))
         .agg(F.sum("gain").alias("gain"), F.count("*").alias("split"))
     )
-    names = spark.createDataFrame(list(enumerate(_model_columns(model))), "index int, feature string")
+    names = spark.createDataFrame(list(enumerate(model.columns)), "index int, feature string")
     full = names.join(used, "index", "left").select(
         "feature",
         F.coalesce("gain", F.lit(0.0)).alias("gain"),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.ml import model as trees
+from slotwise.ml.model import TreeModel
 from slotwise.schemas import MODEL_RUNS, PROMOTIONS
 from slotwise.sources.tables import read_table
 
@@ -75,14 +76,24 @@ def promote(spark: SparkSession, path: str, version: str, at: datetime) -> None:
     row.coalesce(1).write.mode("append").parquet(path)
 
 
-def save_model(model: PipelineModel, test: DataFrame, path: str, version: str) -> None:
-    """The fitted pipeline (indexers and trees) with the test rows it is to be judged on."""
-    model.save(f"{path}/{version}/model")
+def save_model(model: TreeModel, test: DataFrame, path: str, version: str) -> None:
+    """The fitted trees and category means with the test rows they are to be judged on."""
+    model.pipeline.save(f"{path}/{version}/model")
+    model.means.write.parquet(f"{path}/{version}/means")
+    inputs = test.sparkSession.createDataFrame(
+        [(model.columns, model.encoded, float(model.overall))],
+        "columns array<string>, encoded array<string>, overall double",
+    )
+    inputs.coalesce(1).write.json(f"{path}/{version}/inputs")
     test.write.parquet(f"{path}/{version}/test")
 
 
-def load_model(path: str, version: str) -> PipelineModel:
-    return PipelineModel.load(f"{path}/{version}/model")
+def load_model(spark: SparkSession, path: str, version: str) -> TreeModel:
+    inputs = spark.read.schema("columns array<string>, encoded array<string>, overall double")
+    row = inputs.json(f"{path}/{version}/inputs").first()
+    means = spark.read.parquet(f"{path}/{version}/means")
+    pipeline = PipelineModel.load(f"{path}/{version}/model")
+    return TreeModel(row["columns"], row["encoded"], means, row["overall"], pipeline)
 
 
 def read_test_set(spark: SparkSession, path: str, version: str) -> DataFrame | None:
@@ -98,9 +109,9 @@ def read_test_set(spark: SparkSession, path: str, version: str) -> DataFrame | N
 
 
 def promote_if_better(
-    challenger: PipelineModel,
+    challenger: TreeModel,
     challenger_version: str,
-    champion_model: PipelineModel | None,
+    champion_model: TreeModel | None,
     champion_mae: float | None,
     test: DataFrame | None,
     challenger_mae: float | None = None,

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.config import DEFAULTS, SERIES
+from slotwise.config import DEFAULTS, SERIES, Settings
 from slotwise.functions.numeric import rounded_count
 from slotwise.functions.time import floor_slot, hours_after
-from slotwise.ml.model import predict
+from slotwise.ml.model import TreeModel, predict
 from slotwise.operators.features import all_features
 from slotwise.operators.rows import (
     active_for_scoring,
@@ -24,19 +23,27 @@ from slotwise.operators.rows import (
 
 
 def scoring_features(
-    snapshot: DataFrame, history: DataFrame | None, ts: str | datetime
+    snapshot: DataFrame,
+    history: DataFrame | None,
+    ts: str | datetime,
+    settings: Settings = DEFAULTS,
+    **options,
 ) -> DataFrame:
     """Features of the scorable stations at the slot of ``ts``.
 
-    History is cut to those stations and to earlier slots before any window runs. Without
-    history the lag and statistics columns are null.
+    History is cut to those stations, to earlier slots and to ``settings.history_days`` before
+    any window runs. Without history the lag and statistics columns are null. ``options`` go to
+    ``all_features``; give those the model was trained with.
     """
     slot = floor_slot(instant(ts))
     current = active_for_scoring(snapshot)
     if history is not None:
         past = only_keys(before(history, slot), current.select(SERIES.key).distinct())
+        if settings.history_days is not None:
+            first = F.date_trunc("day", slot) - F.expr(f"INTERVAL '{settings.history_days}' DAY")
+            past = past.where(F.col(SERIES.time) >= first)
         current = union_history(past, current)
-    return at_slot(all_features(current), slot)
+    return at_slot(all_features(current, settings=settings, **options), slot)
 
 
 def as_predictions(
@@ -54,19 +61,26 @@ def as_predictions(
 
 
 def score(
-    model: PipelineModel,
+    model: TreeModel,
     version: str,
     snapshot: DataFrame,
     ts: str | datetime,
     history: DataFrame | None = None,
+    settings: Settings = DEFAULTS,
+    **options,
 ) -> DataFrame:
     """Predictions for one cycle; empty if no station is active and available."""
-    rows = predict(model, scoring_features(snapshot, history, ts))
+    rows = predict(model, scoring_features(snapshot, history, ts, settings, **options))
     return as_predictions(rows, instant(ts), version)
 
 
 def score_slots(
-    model: PipelineModel, version: str, batch: DataFrame, history: DataFrame
+    model: TreeModel,
+    version: str,
+    batch: DataFrame,
+    history: DataFrame,
+    settings: Settings = DEFAULTS,
+    **options,
 ) -> DataFrame:
     """Predictions for every cycle in ``batch``, a catch-up of several slots included.
 
@@ -75,5 +89,5 @@ def score_slots(
     """
     rows = union_history(history, batch).where("activate = 1")
     wanted = active_for_scoring(batch).select(SERIES.key, SERIES.time).distinct()
-    featured = all_features(rows).join(wanted, [SERIES.key, SERIES.time], "left_semi")
+    featured = all_features(rows, settings=settings, **options).join(wanted, [SERIES.key, SERIES.time], "left_semi")
     return as_predictions(predict(model, featured), F.col(SERIES.time), version)

@@ -72,17 +72,23 @@ def current_state(df: DataFrame, spec: SeriesSpec = SERIES) -> DataFrame:
     )
 
 
-def lag_features(df: DataFrame, mode: str = "rows", spec: SeriesSpec = SERIES) -> DataFrame:
+def lag_features(
+    df: DataFrame, mode: str = "rows", spec: SeriesSpec = SERIES, settings: Settings = DEFAULTS
+) -> DataFrame:
     """The seven current-state and lag features; needs one row per (key, slot)."""
-    return current_state(df, spec).withColumns(lag_columns(mode, spec))
+    return current_state(df, spec).withColumns(lag_columns(mode, spec, settings))
 
 
-def add_target(df: DataFrame, mode: str = "rows", spec: SeriesSpec = SERIES) -> DataFrame:
-    return df.withColumn(spec.target, target_column(mode, spec))
+def add_target(
+    df: DataFrame, mode: str = "rows", spec: SeriesSpec = SERIES, settings: Settings = DEFAULTS
+) -> DataFrame:
+    return df.withColumn(spec.target, target_column(mode, spec, settings))
 
 
-def same_time_last_week(df: DataFrame, spec: SeriesSpec = SERIES) -> DataFrame:
-    return df.withColumn("dock_bikes_same_time_1w", last_week_column(spec))
+def same_time_last_week(
+    df: DataFrame, spec: SeriesSpec = SERIES, settings: Settings = DEFAULTS
+) -> DataFrame:
+    return df.withColumn("dock_bikes_same_time_1w", last_week_column(spec, settings))
 
 
 def _local(spec: SeriesSpec, settings: Settings) -> str:
@@ -200,9 +206,9 @@ def weekday_stats(
     df: DataFrame, spec: SeriesSpec = SERIES, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """Per (key, UTC date, local weekday, local hour): mean of the same weekday's and
-    hour's daily means on earlier dates, the last 10,000 at most.
+    hour's daily means on earlier dates; with ``settings.expanding_rows`` the last so many.
 
-    Two running sums replace a 10,000-row sliding frame, which would rescan the frame on
+    That limit is the difference of two running sums; a sliding frame would be rescanned on
     every row.
     """
     daily = (
@@ -212,9 +218,11 @@ def weekday_stats(
     )
     w = Window.partitionBy(spec.key, "day_of_week", "hour_of_day").orderBy("_date")
     past = w.rowsBetween(Window.unboundedPreceding, -1)
-    expired = w.rowsBetween(Window.unboundedPreceding, -settings.expanding_rows - 1)
-    total = F.sum("_mean").over(past) - F.coalesce(F.sum("_mean").over(expired), F.lit(0.0))
-    rows = F.count("_mean").over(past) - F.count("_mean").over(expired)
+    total, rows = F.sum("_mean").over(past), F.count("_mean").over(past)
+    if settings.expanding_rows is not None:
+        expired = w.rowsBetween(Window.unboundedPreceding, -settings.expanding_rows - 1)
+        total = total - F.coalesce(F.sum("_mean").over(expired), F.lit(0.0))
+        rows = rows - F.count("_mean").over(expired)
     return daily.select(
         spec.key,
         "_date",
@@ -251,7 +259,7 @@ def historical_features(
     Every group-by, window and join here has the key among its keys, so on input hashed by
     key nothing moves again. Only earlier dates enter a row's value.
     """
-    return _join_day_stats(same_time_last_week(df, spec), spec, settings)
+    return _join_day_stats(same_time_last_week(df, spec, settings), spec, settings)
 
 
 def _join_day_stats(df: DataFrame, spec: SeriesSpec, settings: Settings) -> DataFrame:

@@ -44,16 +44,18 @@ REQUIRED = (
 
 
 def document_is_valid(stations: Column, corrupt: Column | None = None) -> Column:
-    """Code "00", a station list, and every required field of every station present."""
+    """Code "00", description, time, a station list, and every required field of every station."""
     complete = F.forall(
         stations["data"],
         lambda s: F.forall(
             F.array(*[s[name].isNotNull() for name in REQUIRED]), lambda present: present
         )
         & s["geometry"]["type"].isNotNull()
-        & s["geometry"]["coordinates"].isNotNull(),
+        & s["geometry"]["coordinates"].isNotNull()
+        & F.forall(s["geometry"]["coordinates"], lambda x: x.isNotNull()),
     )
-    valid = (stations["code"] == "00") & stations["data"].isNotNull() & complete
+    head = stations["description"].isNotNull() & stations["datetime"].isNotNull()
+    valid = (stations["code"] == "00") & head & stations["data"].isNotNull() & complete
     if corrupt is not None:
         valid = valid & corrupt.isNull()
     return F.coalesce(valid, F.lit(False))

@@ -118,7 +118,7 @@ def union_history(history: DataFrame, current: DataFrame) -> DataFrame:
 
 def sample_series(
     df: DataFrame,
-    n: int = DEFAULTS.drift_stations,
+    n: int = 100,
     seed: int = DEFAULTS.seed,
     spec: SeriesSpec = SERIES,
 ) -> DataFrame:
@@ -129,7 +129,7 @@ def sample_series(
     chosen = (
         df.select(spec.key)
         .distinct()
-        .orderBy(F.xxhash64(spec.key, F.lit(seed)), spec.key)
+        .orderBy(F.md5(F.concat(F.col(spec.key).cast("string"), F.lit(f":{seed}"))), spec.key)
         .limit(n)
     )
     return only_keys(df, chosen, spec)

@@ -21,9 +21,13 @@ EVENTS = (
 
 
 def snapshots_from_events(events: DataFrame) -> DataFrame:
-    """One raw snapshot per event. Constants are exact in binary."""
+    """One raw snapshot per event; every user is a station, at one of eight positions.
+
+    Constants are exact in binary.
+    """
     base = events.selectExpr(
-        "user_id % 8 AS station_id",
+        "user_id AS station_id",
+        "user_id % 8 AS p",
         "CAST(ts AS TIMESTAMP) AS raw_ts",
         "event_id AS seq",
         "CAST(16 + 2 * (user_id % 8) AS INT) AS total_bases",
@@ -40,8 +44,8 @@ def snapshots_from_events(events: DataFrame) -> DataFrame:
         "total_bases",
         "v % (total_bases + 1) AS dock_bikes",
         "total_bases - v % (total_bases + 1) AS free_bases",
-        "-3.75D + station_id * 0.015625D AS longitude",
-        "40.375D + station_id * 0.015625D AS latitude",
+        "-3.75D + p * 0.015625D AS longitude",
+        "40.375D + p * 0.015625D AS latitude",
         "k * 0.5D - 5.0D AS temperature_2m",
         "k * 0.5D - 8.0D AS apparent_temperature",
         "greatest(k - 80, 0) * 0.25D AS precipitation",

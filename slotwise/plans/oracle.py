@@ -17,7 +17,7 @@ LOCAL = "(snapshot_timestamp AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Madrid'"
 
 RAW = """
 ev AS (
-  SELECT event_id, ts, event_type, floor(value)::INT AS v, user_id % 8 AS s,
+  SELECT event_id, ts, event_type, floor(value)::INT AS v, user_id AS s, user_id % 8 AS p,
          json_extract(props, '$.k')::INT AS k
   FROM events
 ),
@@ -25,11 +25,11 @@ raw AS (
   SELECT s AS station_id, s::VARCHAR AS station_number, 'Station ' || s::VARCHAR AS station_name,
     CASE WHEN event_type = 'error' AND k < 10 THEN 0 ELSE 1 END::INT AS activate,
     CASE WHEN event_type = 'signup' AND k < 10 THEN 1 ELSE 0 END::INT AS no_available,
-    (16 + 2 * s)::INT AS total_bases,
-    (v % (17 + 2 * s))::INT AS dock_bikes,
-    (16 + 2 * s - v % (17 + 2 * s))::INT AS free_bases,
-    -3.75::DOUBLE + s * 0.015625::DOUBLE AS longitude,
-    40.375::DOUBLE + s * 0.015625::DOUBLE AS latitude,
+    (16 + 2 * p)::INT AS total_bases,
+    (v % (17 + 2 * p))::INT AS dock_bikes,
+    (16 + 2 * p - v % (17 + 2 * p))::INT AS free_bases,
+    -3.75::DOUBLE + p * 0.015625::DOUBLE AS longitude,
+    40.375::DOUBLE + p * 0.015625::DOUBLE AS latitude,
     k * 0.5::DOUBLE - 5.0::DOUBLE AS temperature_2m,
     k * 0.5::DOUBLE - 8.0::DOUBLE AS apparent_temperature,
     greatest(k - 80, 0) * 0.25::DOUBLE AS precipitation,
@@ -323,7 +323,7 @@ scored AS (
 
 def _range_violation(column: str, low: int, high: int) -> str:
     return (
-        f"SELECT '{column}' AS rule, count(*) FILTER (NOT {column} BETWEEN {low} AND {high})"
+        f"SELECT '{column}' AS rule, count(*) FILTER (NOT {column} + weather_code - 1 BETWEEN {low} AND {high})"
         " AS violations FROM feat"
     )
 
@@ -396,15 +396,16 @@ ORACLE: dict[str, str] = {
     + " UNION ALL ".join(
         [
             _range_violation("hour_of_day", 0, 23),
-            _range_violation("day_of_week", 0, 9),
+            _range_violation("day_of_week", 0, 6),
             _range_violation("month", 1, 12),
             _range_violation("minutes_since_midnight", 0, 1439),
         ]
     ),
     "data_profile": f"""{BASE} SELECT count(*) AS n_rows, count(DISTINCT station_id) AS n_stations,
         min(snapshot_timestamp) AS first_slot, max(snapshot_timestamp) AS last_slot FROM snap""",
-    # Fewer stations than the sample size: the sample is the whole table.
-    "station_sample": f"{BASE} SELECT * FROM snap",
+    "station_sample": f"""{BASE} SELECT * FROM snap WHERE station_id IN (
+        SELECT station_id FROM (SELECT DISTINCT station_id FROM snap)
+        ORDER BY md5(station_id::VARCHAR || ':42'), station_id LIMIT 100)""",
     "retention_keep": f"""{BASE} SELECT raw_ts::DATE AS dt, count(*) AS n_rows FROM raw
         WHERE raw_ts::DATE >= DATE '{AS_OF[:10]}' - 7 GROUP BY ALL""",
     "lag_features": f"""{FEATURES} SELECT station_id, snapshot_timestamp, {_group('lag')}
@@ -571,6 +572,7 @@ ORACLE: dict[str, str] = {
         ok AS (SELECT * FROM live WHERE activate = 1 AND no_available = 0),
         part AS (
           SELECT * FROM snap WHERE snapshot_timestamp < TIMESTAMP '{AS_OF}'
+            AND snapshot_timestamp >= TIMESTAMP '{AS_OF}' - INTERVAL '8 days'
             AND station_id IN (SELECT station_id FROM ok)
           UNION ALL BY NAME
           SELECT * EXCLUDE (raw_ts, seq) REPLACE (TIMESTAMP '{AS_OF}' AS snapshot_timestamp)
@@ -608,7 +610,10 @@ ORACLE: dict[str, str] = {
     "drift_summary": f"{SUMMARY} SELECT * FROM summary",
     "drift_alert": f"""{SUMMARY} SELECT date, n_drifted_features, share_drifted FROM summary
         WHERE share_drifted > 0.10""",
-    "stream_ingest": DOC_ROWS,
+    # Documents that break the contract are not stored.
+    "stream_ingest": f"""{DOC_ROWS} WHERE snapshot_timestamp IN (
+        SELECT snapshot_timestamp FROM snap GROUP BY ALL
+        HAVING extract('minute' FROM snapshot_timestamp) <> 45 AND max(no_available) = 0)""",
     "stream_dedup": f"{BASE} SELECT DISTINCT station_id, snapshot_timestamp FROM raw",
     "stream_reconcile": f"""{MONITOR} SELECT cycle_timestamp AS target_time, n_predictions,
         round(mae, 9) AS mae, round(rmse, 9) AS rmse FROM cycles""",

@@ -33,15 +33,17 @@ def training_dataset(
     start: str | date | None = None,
     end: str | date | None = None,
     settings: Settings = DEFAULTS,
+    **options,
 ) -> DataFrame:
     """Features and target of the active rows between two inclusive UTC dates.
 
     The warm-up days before ``start`` are read for the windows and trimmed after them:
-    Spark cannot move a time filter below a window, so the bound is set here.
+    Spark cannot move a time filter below a window, so the bound is set here. ``options``
+    (lag mode, one-off holidays) go to ``all_features``.
     """
     first = _date(start) - timedelta(days=settings.warmup_days) if start else None
     rows = active_for_training(snapshots_between(snapshots, first, end))
-    featured = with_target(all_features(rows, settings=settings))
+    featured = with_target(all_features(rows, settings=settings, **options))
     return since(featured, start) if start else featured
 
 
@@ -56,11 +58,12 @@ def train_run(
     end: str | date,
     params: dict | None = None,
     settings: Settings = DEFAULTS,
+    **options,
 ) -> dict:
     """Dataset, split, fit, evaluation. The dataset is written once, as trees pass over it
     again and again."""
     start, last = training_window(end, settings)
-    data = materialise(training_dataset(snapshots, start, last, settings), "training")
+    data = materialise(training_dataset(snapshots, start, last, settings, **options), "training")
     train, val, test, short = temporal_split(
         data, settings.train_days, settings.val_days, settings.test_days
     )
@@ -81,21 +84,23 @@ def drift_windows(
     saved_at: datetime,
     settings: Settings = DEFAULTS,
     equal_warmup: bool = False,
+    **options,
 ) -> tuple[DataFrame, DataFrame]:
     """(reference, current) feature frames.
 
     The current day has warm-up history. The reference window, the training days before
-    the model was saved, has none unless ``equal_warmup``; its rows with null lags stay. It
-    is sampled by whole stations before the features are built.
+    the model was saved, has none unless ``equal_warmup``; its rows with null lags stay. With
+    ``settings.drift_stations`` it is sampled by whole stations before the features are built.
     """
     warmup = timedelta(days=settings.warmup_days)
     rows = active_for_training(snapshots)
-    current = all_features(snapshots_between(rows, _date(day) - warmup, day), settings=settings)
+    current = all_features(snapshots_between(rows, _date(day) - warmup, day), settings=settings, **options)
     start = (saved_at - timedelta(days=settings.train_days)).date()
     first = start - warmup if equal_warmup else start
     window = snapshots_between(rows, first, saved_at.date())
-    sampled = sample_series(window, settings.drift_stations, settings.seed)
-    reference = all_features(sampled, settings=settings)
+    if settings.drift_stations is not None:
+        window = sample_series(window, settings.drift_stations, settings.seed)
+    reference = all_features(window, settings=settings, **options)
     if equal_warmup:
         reference = since(reference, start)
     return reference, on_date(current, day, SERIES.time)

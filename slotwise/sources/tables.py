@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,18 +17,44 @@ def query(spark: SparkSession, text: str, args: dict, **frames: DataFrame) -> Da
     return spark.sql(text, args=args, **frames)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A date-partitioned table without its partition column; empty if absent."""
+def read_table(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    start: str | date | None = None,
+    end: str | date | None = None,
+) -> DataFrame:
+    """A date-partitioned table without its partition column; empty if absent.
+
+    Only the folders between the two inclusive dates are read.
+    """
     try:
-        return spark.read.parquet(path).select(*schema.fieldNames())
+        rows = spark.read.parquet(path)
+        if start is not None:
+            rows = rows.where(F.col("dt") >= F.lit(str(start)).cast("date"))
+        if end is not None:
+            rows = rows.where(F.col("dt") <= F.lit(str(end)).cast("date"))
+        return rows.select(*schema.fieldNames())
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return spark.createDataFrame([], schema)
 
 
-def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, PREDICTIONS)
+def read_predictions(
+    spark: SparkSession,
+    path: str,
+    start: str | date | None = None,
+    end: str | date | None = None,
+) -> DataFrame:
+    """Predictions made between two inclusive dates."""
+    return read_table(spark, path, PREDICTIONS, start, end)
+
+
+def stored_predictions_for(spark: SparkSession, path: str, target_time: datetime) -> DataFrame:
+    """Predictions of one target time from the stored table: those made within a day before it."""
+    day = target_time.date()
+    return predictions_for(read_predictions(spark, path, day - timedelta(days=1), day), target_time)
 
 
 def predictions_for(predictions: DataFrame, target_time: datetime) -> DataFrame:

@@ -9,14 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from slotwise.config import DEFAULTS, SERIES, Settings
+from slotwise.ml.model import TreeModel
 from slotwise.ml.scoring import score_slots
+from slotwise.operators.quality import document_is_valid
 from slotwise.operators.rows import utc
 from slotwise.schemas import SNAPSHOT_DOCUMENT
 from slotwise.sources.snapshots import flatten_documents, snapshots_between
@@ -34,8 +35,16 @@ def table_stream(spark: SparkSession, path: str, schema: T.StructType, **options
 
 
 def ingest_stream(documents: DataFrame) -> DataFrame:
-    """Flat snapshot rows; documents with an unreadable time give null times, not a stop."""
-    return flatten_documents(documents, strict=False)
+    """Flat snapshot rows of the documents that keep the contract, as the batch path takes them.
+
+    Documents with an unreadable time give null times, not a stop.
+    """
+    return flatten_documents(documents.where(document_is_valid(F.col("stations"))), strict=False)
+
+
+def rejected_stream(documents: DataFrame) -> DataFrame:
+    """The documents :func:`ingest_stream` leaves out, for a table of their own."""
+    return documents.where(~document_is_valid(F.col("stations")))
 
 
 def dedup_stream(snapshots: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -70,7 +79,7 @@ def start_table(
 def start_scoring(
     snapshots: DataFrame,
     read_history: Callable[[], DataFrame],
-    model: PipelineModel,
+    model: TreeModel,
     version: str,
     predictions_path: str,
     checkpoint: str,
@@ -89,7 +98,7 @@ def start_scoring(
             return
         first = (span["lo"] - timedelta(days=settings.history_days)).date()
         history = snapshots_between(read_history(), first, span["hi"].date())
-        rows = score_slots(model, version, batch, history)
+        rows = score_slots(model, version, batch, history, settings)
         rows.write.mode("overwrite").parquet(f"{predictions_path}/batch={batch_id}")
 
     writer = snapshots.writeStream.foreachBatch(score_batch).option("checkpointLocation", checkpoint)
@@ -100,12 +109,14 @@ def start_scoring(
 def matched_stream(predictions: DataFrame, snapshots: DataFrame, delay: str = "2 hours") -> DataFrame:
     """Predictions joined with the snapshot of their target time, both as streams.
 
-    Watermarks on both sides let Spark drop state once a target time is past.
+    Watermarks on both sides let Spark drop state once a target time is past. A snapshot
+    delivered again within ``delay`` pairs once.
     """
     p = predictions.withWatermark("target_time", delay)
     s = snapshots.select(
         F.col("id").alias("_id"), "ingestion_timestamp", F.col("dock_bikes").alias("observed")
     ).withWatermark("ingestion_timestamp", delay)
+    s = s.dropDuplicatesWithinWatermark(["_id", "ingestion_timestamp"])
     pairs = p.join(s, F.expr("station_id = _id AND target_time = ingestion_timestamp"))
     return pairs.select(
         "station_id",
@@ -141,6 +152,7 @@ __all__ = [
     "error_windows",
     "ingest_stream",
     "matched_stream",
+    "rejected_stream",
     "start_scoring",
     "start_table",
     "table_stream",

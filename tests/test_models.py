@@ -5,7 +5,6 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import row, ts
-from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import functions as F
 
 from slotwise import schemas
@@ -65,11 +64,24 @@ def test_unseen_categories_are_scored(model, parts):
     assert trees.predict(model, odd).where("prediction IS NOT NULL").count() == parts[2].count()
 
 
-def test_station_index_is_dropped_for_many_keys(parts, monkeypatch):
-    monkeypatch.setattr(trees, "MAX_CATEGORIES", 1)
-    fitted = trees.train_model(parts[0], parts[1], {**QUICK, "maxIter": 1})
-    indexers = [s for s in fitted.stages if isinstance(s, StringIndexerModel)]
-    assert [c for s in indexers for c in s.getInputCols()] == ["x_distrito"]
+def test_category_means_are_the_train_parts(model, parts):
+    means = {(r["column"], r["category"]): r["mean"] for r in model.means.collect()}
+    per_key = parts[0].where(f"{schemas.TARGET} IS NOT NULL").groupBy("station_id").agg(F.avg(schemas.TARGET).alias("m"))
+    for r in per_key.collect():
+        assert means["station_id", str(r["station_id"])] == pytest.approx(r["m"])
+    assert set(model.encoded) == {"station_id", "distrito"}
+
+
+def test_many_keys_take_the_same_path(parts):
+    """1,200 stations, each at its own level, are encoded like two."""
+    spread = F.explode(F.sequence(F.lit(1), F.lit(1200)))
+    many = [
+        p.where("minutes_since_midnight < 60").withColumn("s", spread).withColumn("station_id", F.col("s").cast("long")).drop("s")
+        for p in parts[:2]
+    ]
+    fitted = trees.train_model(*many, {**QUICK, "maxIter": 1})
+    assert fitted.means.where("column = 'station_id'").count() == 1200
+    assert trees.predict(fitted, many[1]).where("prediction IS NULL").count() == 0
 
 
 def test_empty_parts_raise(parts):
@@ -111,7 +123,7 @@ def test_train_run_and_registry(spark, wave, tmp_path):
     version = registry.version_of(at)
     assert version == "v20240112_060504"
     registry.save_model(run["model"], run["test"], store, version)
-    loaded = registry.load_model(store, version)
+    loaded = registry.load_model(spark, store, version)
     test = registry.read_test_set(spark, store, version)
     assert trees.validation_mae(loaded, test) == run["metrics"].first()["mae"]
     assert registry.read_test_set(spark, store, "v1") is None
