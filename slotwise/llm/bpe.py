@@ -10,7 +10,7 @@ import pyspark
 from slotwise.llm.text import span_hashes
 
 END_ID = 0
-CACHE = 1_500_000  # distinct pieces a worker remembers; then it starts anew
+CACHE = 1_000_000  # distinct pieces a worker remembers; then it starts anew
 
 
 def _table(bytes_) -> np.ndarray:
@@ -49,8 +49,11 @@ class PieceEncoder:
         self.begin, self.count = np.empty(0, np.int64), np.empty(0, np.int64)
         self.ids = np.empty(0, np.uint32)
 
-    def _whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        out = []  # a part at a time, as the library's encodings take far more room than their ids
+        for at in range(0, len(texts), 5_000):
+            out += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts[at : at + 5_000], add_special_tokens=False)]
+        return out
 
     def _pieces(self, buffer: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         n = int(offsets[-1])
@@ -79,7 +82,7 @@ class PieceEncoder:
                 return self._look_up(keys, texts)
             ids = self._whole(texts(new))
             count = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), np.uint32, int(count.sum()))
+            flat = np.concatenate(ids)
             begin = len(self.ids) + np.cumsum(count) - count
             self.ids = np.concatenate([self.ids, flat])
             merged = np.concatenate([self.keys, keys[new]])
@@ -113,7 +116,7 @@ class PieceEncoder:
         texts = [raw[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
         ids = self._whole(texts)
         count = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((i for x in ids for i in x), np.uint32, int(count.sum())), count
+        return np.concatenate(ids), count
 
 
 def encoder(path: str) -> PieceEncoder:

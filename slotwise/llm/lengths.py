@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 from slotwise.llm.bpe import encoder, vocabulary_path
 from slotwise.llm.text import slices, text_bytes
 
-RANGE = 4096
+RANGE = 64
 
 
 def _count(batches, path: str):
     tool, total = encoder(path), {}
     for batch in batches:
-        for piece in slices(batch, "text"):
+        for piece in slices(batch, "text", 2 << 20):
             _, count = tool.encode(*text_bytes(piece.column("text")))
             for n, docs in zip(*(x.tolist() for x in np.unique(count, return_counts=True))):
                 total[n] = total.get(n, 0) + docs

@@ -32,7 +32,7 @@ from slotwise.session import materialise, scratch_dir
 
 BLOCK = 512
 PERCENTILE = 0.95
-SEGMENT = 2_000_000  # ids
+SEGMENT = 1_000_000  # ids
 BUCKET_MB = 16
 MAGIC = b"PFR1"
 
@@ -148,7 +148,7 @@ def _encode(batches, path: str, segment_ids: int, percentile: float, end_id: int
                 if held:
                     yield flush()
                 now, sequence = int(buckets[lo]), 0
-            for piece in slices(batch.slice(lo, hi - lo), "text"):
+            for piece in slices(batch.slice(lo, hi - lo), "text", 2 << 20):
                 buffer, offsets = text_bytes(piece.column("text"))
                 ids, count = tool.encode(buffer, offsets)
                 stop = np.cumsum(count + 1) - 1
