@@ -160,7 +160,8 @@ def _links(batches, distance: int):
 
 
 def near_links(fingerprints: DataFrame, distance: int = DISTANCE, chunk: int = CHUNK) -> DataFrame:
-    """Links ``a, b`` (a > b) that connect all distinct fingerprints ``fp`` within ``distance`` bits.
+    """Pairs ``a, b`` (a > b) that join the distinct fingerprints ``fp`` into the same components
+    as all links within ``distance`` bits do: small groups give their links, large ones a forest.
 
     ``distance`` up to 4: the keys rest on an equal first segment and one difference in the next.
     """
