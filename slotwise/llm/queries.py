@@ -14,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = substring.remove_repeats(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "n_words", "n_removed", "kept_sha256", "removed")
+    return rows.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
