@@ -19,7 +19,9 @@ QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
 @pytest.fixture(scope="module")
 def tables():
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW events AS SELECT * FROM '{SF}/events.parquet'")
+    for name in os.listdir(SF):
+        table = name.removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{name}'")
     return con
 
 
