@@ -2,29 +2,9 @@ from __future__ import annotations
 
 import pytest
 
-from slotwise.session import build_session
-
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    session = build_session(
-        "slotwise-llm-tests",
-        "local[4]",
-        **{
-            "spark.sql.shuffle.partitions": "4",
-            "spark.ui.enabled": "false",
-            "spark.ui.showConsoleProgress": "false",
-            "spark.driver.memory": "6g",
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
-        },
-    )
-    session.sparkContext.setLogLevel("ERROR")
-    yield session
-    session.stop()
-
-
 @pytest.fixture(scope="session")
 def docs(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")

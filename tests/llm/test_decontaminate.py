@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from conftest import SF
+from .conftest import SF
 from slotwise.llm.decontaminate import contamination, digest, hits, without_contaminated
 
 

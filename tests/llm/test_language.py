@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import SF
+from .conftest import SF
 from slotwise.llm.language import address, declared, page_languages, visible
 
 

@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 import __spark_entry__ as entry_module  # noqa: E402
 import corpus_pipeline  # noqa: E402
 
-from conftest import SF  # noqa: E402
+from .conftest import SF  # noqa: E402
 from slotwise.llm.decontaminate import contamination  # noqa: E402
 from slotwise.llm.queries import LLM_QUERIES  # noqa: E402
 from slotwise.llm.simhash import simhash_groups  # noqa: E402

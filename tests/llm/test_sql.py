@@ -3,7 +3,7 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from conftest import SF
+from .conftest import SF
 from slotwise.llm.oracle import LLM_ORACLE
 from slotwise.llm.queries import LLM_QUERIES
 
