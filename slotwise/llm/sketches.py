@@ -190,6 +190,7 @@ def fingerprints(docs: DataFrame, bucket_mb: float = BUCKET_MB) -> DataFrame:
     later = _retry(failed).groupBy("bucket", "place").agg(
         F.max(F.when(F.col("kind") == "edited", F.col("found"))).alias("late_edited"), F.max(F.when(F.col("kind") == "next", F.col("found"))).alias("late_next")
     )
-    both = made.join(later, ["bucket", "place"], "left")
+    # The retried pairs have no proven bound: the same join at every size, never a broadcast.
+    both = made.join(later.hint("merge"), ["bucket", "place"], "left")
     near = lambda kind: likeness(F.col("n_digests"), F.col(f"n_{kind}_digests"), F.coalesce(f"found_{kind}", f"late_{kind}")).alias(f"near_{kind}")
     return both.select(original_id(), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", near("edited"), near("next"), F.col("n_digests").alias("n_paragraphs"))
