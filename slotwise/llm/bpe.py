@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import numpy as np
 import pyspark
@@ -10,7 +11,7 @@ import pyspark
 from slotwise.llm.text import span_hashes
 
 END_ID = 0
-CACHE = 1_000_000  # distinct pieces a worker remembers; then it starts anew
+CACHE = 500_000  # distinct pieces a worker remembers; then it starts anew
 
 
 def _table(bytes_) -> np.ndarray:
@@ -121,6 +122,8 @@ class PieceEncoder:
 
 def encoder(path: str) -> PieceEncoder:
     """The worker's encoder for this file; workers live on between tasks, and what they know with them."""
+    # one thread: Spark runs a worker per core, and each further thread keeps memory of its own
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     held = pyspark.__dict__.setdefault("_piece_encoders", {})
     if path not in held:
         held[path] = PieceEncoder(path)

@@ -30,7 +30,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buffer, offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
+def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20):
     """Parts of a batch whose texts take about ``limit`` bytes; a longer text stands alone."""
     array = batch.column(column).cast(pa.large_string())
     offsets = np.frombuffer(array.buffers()[1], np.int64)[array.offset : array.offset + len(array) + 1]

@@ -32,7 +32,7 @@ from slotwise.session import materialise, scratch_dir
 
 BLOCK = 512
 PERCENTILE = 0.95
-SEGMENT = 1_000_000  # ids
+SEGMENT = 500_000  # ids
 BUCKET_MB = 16
 MAGIC = b"PFR1"
 
