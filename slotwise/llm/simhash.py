@@ -211,8 +211,13 @@ def keep_one_of_each(docs: DataFrame, **settings) -> DataFrame:
     Of rows that share it, the one whose text has the smallest hash stays; of equal rows, one.
     """
     groups = simhash_groups(docs, **settings)
+    return pick_rows(docs, groups.where("doc_id = component_id").groupBy("doc_id").agg(F.min("text_hash").alias("text_hash")))
+
+
+def pick_rows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` and ``text_hash`` are ``chosen``; of equal rows, one."""
     key, hashed, number = fresh(docs, "_id", "_hash", "_n")
-    chosen = groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias(key)).agg(F.min("text_hash").alias(hashed))
+    chosen = chosen.select(F.col("doc_id").alias(key), F.col("text_hash").alias(hashed))
     marked = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(BIGGEST))).withColumn(hashed, F.xxhash64(F.col("text").cast("string")))
     kept = marked.join(materialise(chosen, "kept"), [key, hashed])
     one = Window.partitionBy(key, hashed).orderBy(*(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")), key)
