@@ -17,7 +17,6 @@ corpora), 80 bits at 100 TB (some hundred false matches among 10^13 windows).
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 from functools import partial
 
@@ -40,10 +39,6 @@ SENT = "bucket long, payload binary"
 MARKS = "dest long, marks binary"
 
 
-def tag_of(text: bytes) -> int:
-    return zlib.crc32(text) & 0xFFFF
-
-
 class _Block:
     """Windows of a task's documents, first of each hash only."""
 
@@ -91,7 +86,7 @@ class _Block:
             many = np.diff(cut, append=len(d))
             mine = d[cut]
             s = start[lo:hi]
-            yield int(bucket[lo]), _joined(_seven(h[lo:hi]), pack_ids(ids[mine]), tags[mine].astype(np.uint16).tobytes(), _plain(many), pack(s))
+            yield int(bucket[lo]), _joined(_seven(h[lo:hi]), pack_ids(ids[mine]), tags[mine].astype(np.int64).tobytes(), _plain(many), pack(s))
 
 
 def _seven(h: np.ndarray) -> bytes:
@@ -123,29 +118,35 @@ def _joined(*parts: bytes) -> bytes:
     return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
 
 
-def _dest(ids: np.ndarray, dests: int) -> np.ndarray:
-    """pmod(xxhash64(doc_id), dests), as Spark computes it (XXH64 of eight bytes, seed 42)."""
+def _dest(ids: np.ndarray, dests: int, tags: np.ndarray | None = None) -> np.ndarray:
+    """pmod(xxhash64(doc_id), dests), as Spark computes it; with ``tags``, pmod(xxhash64(doc_id, tag), dests)."""
+    h = _xxh64(ids, np.full(len(ids), 42, U64))
+    return (h if tags is None else _xxh64(tags, h)).view(np.int64) % dests
+
+
+def _xxh64(values: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """XXH64 of eight bytes each."""
     p1, p2, p3, p4, p5 = (U64(x) for x in _XXH)
     turn = lambda x, k: (x << U64(k)) | (x >> U64(64 - k))
-    h = (p5 + U64(50)) ^ turn(ids.astype(np.int64).view(U64) * p2, 31) * p1
+    h = (seed + p5 + U64(8)) ^ turn(values.astype(np.int64).view(U64) * p2, 31) * p1
     h = turn(h, 27) * p1 + p4
     h = (h ^ (h >> U64(33))) * p2
     h = (h ^ (h >> U64(29))) * p3
-    return (h ^ (h >> U64(32))).view(np.int64) % dests
+    return h ^ (h >> U64(32))
 
 
 def _packed_marks(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray, dests: int) -> Iterator[tuple[int, bytes]]:
     """Places of late windows, packed by the part of the documents they go to."""
     if not len(ids):
         return
-    dest = _dest(ids, dests)
+    dest = _dest(ids, dests, tags)
     order = np.lexsort((starts, tags, ids, dest))
     dest, ids, tags, starts = dest[order], ids[order], tags[order].astype(np.int64), starts[order]
     for lo, hi in _runs(dest):
         i, t = ids[lo:hi], tags[lo:hi]
-        head = np.flatnonzero((np.diff(i, prepend=i[0]) != 0) | (np.diff(t, prepend=t[0] + 1) != 0))
+        head = np.flatnonzero((np.diff(i, prepend=i[0]) != 0) | (np.diff(t, prepend=~t[0]) != 0))
         many = np.diff(head, append=hi - lo)
-        yield int(dest[lo]), _joined(pack_ids(i[head]), t[head].astype(np.uint16).tobytes(), _plain(many), pack(starts[lo:hi]))
+        yield int(dest[lo]), _joined(pack_ids(i[head]), t[head].astype(np.int64).tobytes(), _plain(many), pack(starts[lo:hi]))
 
 
 class _Marks:
@@ -157,7 +158,7 @@ class _Marks:
             i, t, many, s = _split(data)
             many = _unplain(many)
             ids.append(np.repeat(unpack_ids(i), many))
-            tags.append(np.repeat(np.frombuffer(t, np.uint16), many))
+            tags.append(np.repeat(np.frombuffer(t, np.int64), many))
             starts.append(unpack(s))
         if packed:
             order = np.lexsort((np.concatenate(starts), np.concatenate(tags), np.concatenate(ids)))
@@ -204,8 +205,7 @@ def _hash_windows(batches, window: int, buckets: int, dests: int, block: int):
             doc = np.repeat(np.arange(len(count), dtype=np.int32), count)[valid]
             h = mixed(window_hashes(words, window, BASE)[valid])
             g = mixed(window_hashes(mixed(words), window, BASE_2)[valid])
-            raw = buffer.tobytes()
-            tags = np.array([tag_of(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], np.int64)
+            tags = piece.column("text_hash").to_numpy(zero_copy_only=False)
             held.add(piece.column("doc_id").to_numpy(zero_copy_only=False), tags, doc, start[valid].astype(np.int32), h, g)
             if held.size >= block:
                 yield from out()
@@ -222,7 +222,7 @@ def _later_places(pdf: pd.DataFrame, dests: int) -> pd.DataFrame:
         many = _unplain(many)
         hs.append(_from_seven(h))
         ids.append(np.repeat(unpack_ids(i), many))
-        tags.append(np.repeat(np.frombuffer(t, np.uint16), many))
+        tags.append(np.repeat(np.frombuffer(t, np.int64), many))
         starts.append(unpack(s).astype(np.uint32))
     h = np.concatenate(hs)
     del hs
@@ -257,7 +257,7 @@ def _apply(batches, window: int):
     dest, packed, marks = None, [], None
     for batch in batches:
         rows = {"doc_id": [], "text": [], "n_words": [], "n_removed": [], "removed": [], "kept_sha256": []}
-        for part, doc, text, mark in zip(batch.column("dest").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("marks")):
+        for part, doc, tag, text, mark in zip(*(batch.column(c).to_pylist() for c in ("dest", "doc_id", "text_hash")), batch.column("text"), batch.column("marks")):
             if part != dest:
                 dest, packed, marks = part, [], None
             if mark.is_valid:
@@ -267,7 +267,7 @@ def _apply(batches, window: int):
                 marks, packed = _Marks(packed), []
             raw = (text.as_py() or "").encode()
             words = raw.split()
-            cuts = intervals(marks.of(doc, tag_of(raw)), window)
+            cuts = intervals(marks.of(doc, tag), window)
             kept, at = [], 0
             for lo, hi in cuts:
                 kept += words[at:lo]
@@ -304,10 +304,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, bucket_mb: float = BUC
     per input row. Windows are judged on the input: (smaller doc_id, earlier start) is earlier.
 
     Null or empty text: no words, nothing removed. Null doc_id: after all others. Rows with one
-    doc_id and different texts are told apart, and ordered, by a checksum of the text; rows equal
+    doc_id and different texts are told apart, and ordered, by a 64-bit hash of the text; rows equal
     in both count as one document and get the same result. Other columns are ignored.
     """
-    docs = key_and_text(docs)
+    docs = key_and_text(docs).withColumn("text_hash", F.xxhash64("text"))
     buckets, dests = parts_for(docs, bucket_mb), shuffle_parts(docs)
     sent = docs.mapInArrow(partial(_hash_windows, window=window, buckets=buckets, dests=dests, block=block), SENT)
 
@@ -315,8 +315,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, bucket_mb: float = BUC
         return _later_places(pdf, dests)
 
     marks = sent.groupBy("bucket").applyInPandas(later_places, MARKS)
-    dest = F.pmod(F.xxhash64("doc_id"), F.lit(dests)).cast("long").alias("dest")
-    rows = docs.select(dest, "doc_id", "text", F.lit(None).cast("binary").alias("marks"))
-    both = rows.unionByName(marks.select("dest", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), "marks"))
+    dest = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(dests)).cast("long").alias("dest")
+    rows = docs.select(dest, "doc_id", "text_hash", "text", F.lit(None).cast("binary").alias("marks"))
+    none = [F.lit(None).cast(kind).alias(c) for c, kind in (("doc_id", "long"), ("text_hash", "long"), ("text", "string"))]
+    both = rows.unionByName(marks.select("dest", *none, "marks"))
     both = both.repartition(dests, "dest").sortWithinPartitions("dest", F.col("marks").isNull(), "doc_id")
     return both.mapInArrow(partial(_apply, window=window), _OUT_DDL).withColumn("doc_id", original_id())

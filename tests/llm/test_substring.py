@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import collections
 import hashlib
+import zlib
 
 import numpy as np
 
 from pyspark.sql import functions as F
 
 from slotwise.llm import substring
+from slotwise.llm.frames import BIGGEST
 from slotwise.llm.substring import intervals, remove_repeats
 from slotwise.llm.text import pack, pack_ids, unpack, unpack_ids, window_hashes
 
@@ -85,3 +88,21 @@ def test_parts_are_those_of_spark(spark):
     ids = spark.range(500).select((F.col("id") * 7919 - 300_000).alias("id"))
     for r in ids.select("id", F.pmod(F.xxhash64("id"), F.lit(13)).alias("p")).collect():
         assert substring._dest(np.array([r["id"]]), 13)[0] == r["p"]
+
+
+def test_many_texts_without_doc_id_are_told_apart(spark):
+    # Their crc32 agrees in its lower 16 bits.
+    texts = collections.defaultdict(list)
+    for i in range(2_000):
+        text = f"only{i} here{i} seen{i} once{i}"
+        texts[zlib.crc32(f"a b c d {text}".encode()) & 0xFFFF].append(text)
+    pair = next(v for v in texts.values() if len(v) > 1)[:2]
+    df = spark.createDataFrame([(None, f"a b c d {t}") for t in pair], "doc_id long, text string")
+    for block in (1, 1_000):
+        rows = remove_repeats(df, window=4, block=block).collect()
+        assert sorted(r["n_removed"] for r in rows) == [0, 4]
+    many = spark.range(200).select(F.lit(None).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    ids, tags = np.full(200, BIGGEST), np.array([r[0] for r in many.select(F.xxhash64("text")).collect()])
+    want = [r[0] for r in many.select(F.pmod(F.xxhash64(F.lit(BIGGEST), F.xxhash64("text")), F.lit(13))).collect()]
+    got = substring._dest(ids, 13, tags)
+    assert got.tolist() == want and len(set(want)) == 13
