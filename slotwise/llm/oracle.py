@@ -49,4 +49,41 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-LLM_ORACLE: dict[str, str] = {"op1_substring_dedup": _OP1, "op6_decontamination": _OP6}
+_OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, k, list_slice(w, i, i + k - 1) AS p FROM (
+    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k)
+),
+f AS (SELECT lang, k, p, count(*) AS a FROM grams GROUP BY lang, k, p),
+cand AS (SELECT * FROM f WHERE k > 1 AND a >= 10),
+longer AS (
+  SELECT lang, p, max(a) AS m FROM (
+    SELECT lang, list_slice(p, 1, 2) AS p, a FROM cand WHERE k = 3
+    UNION ALL SELECT lang, list_slice(p, 2, 3), a FROM cand WHERE k = 3) GROUP BY lang, p
+),
+cuts AS (
+  SELECT c.lang, c.k, c.p, c.a, cut, list_slice(c.p, 1, cut) AS p1, list_slice(c.p, cut + 1, c.k) AS p2
+  FROM cand c JOIN (SELECT unnest([1, 2]) AS cut) ON cut < c.k LEFT JOIN longer USING (lang, p)
+  WHERE m IS NULL OR 100 * m < 50 * c.a
+),
+scored AS (
+  SELECT c.lang, c.p, c.a, cut, f1.a AS l, f2.a AS r,
+    ((1000000::HUGEINT * c.a * c.a) // (f1.a::HUGEINT * f2.a))::BIGINT AS score
+  FROM cuts c JOIN f f1 ON f1.lang = c.lang AND f1.p = c.p1 JOIN f f2 ON f2.lang = c.lang AND f2.p = c.p2
+),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+placed AS (
+  SELECT *, array_to_string(p, ' ') AS phrase FROM best
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM placed JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
+LLM_ORACLE: dict[str, str] = {"op1_substring_dedup": _OP1, "op6_decontamination": _OP6, "op11_phrases": _OP11}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotwise.llm import decontaminate, language, lengths, mixing, ngram, simhash, sketches, substring, tokens, toxicity
+from slotwise.llm import decontaminate, language, lengths, mixing, ngram, phrases, simhash, sketches, substring, tokens, toxicity
 from slotwise.llm.frames import original_id
 
 
@@ -58,6 +58,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(original_id(), digits, original_id("component_id"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.phrases(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_fingerprints": op2_fingerprints,
@@ -69,4 +73,5 @@ LLM_QUERIES = {
     "op8_length_histogram": op8_length_histogram,
     "op9_source_mixing": op9_source_mixing,
     "op10_simhash": op10_simhash,
+    "op11_phrases": op11_phrases,
 }
