@@ -24,6 +24,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -31,7 +32,7 @@ from slotwise.llm.frames import MB
 from slotwise.llm.text import LOWER, U64, mixed, slices, span_hashes, text_bytes, word_spans
 from slotwise.session import materialise
 
-BLOCK_MB = 8
+BLOCK_MB = 4
 CELLS = 1 << 20  # a tile of up to so many cells is counted in a dense array
 HELD = 1 << 21  # coordinates a sparse tile gathers before it adds them up
 TILE_PAIRS = 2_000_000  # neighbours a tile should have
@@ -56,8 +57,8 @@ def places(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     buffer = LOWER[buffer]
     begin, end, first = word_spans(buffer, offsets, _IS_WORD)
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    stops = np.concatenate([[0], np.cumsum(_IS_STOP[buffer])])
-    apart = (stops[begin[1:]] != stops[end[:-1]]) | (np.diff(text) != 0)
+    stops = np.append(np.flatnonzero(_IS_STOP[buffer]), len(buffer))
+    apart = (stops[np.searchsorted(stops, end[:-1])] < begin[1:]) | (np.diff(text) != 0)
     place = np.arange(len(begin))
     place[1:] += np.cumsum(apart)
     return buffer, begin, end, text, place
@@ -72,15 +73,30 @@ def _spans(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(size), buffers).cast(pa.string())
 
 
-def _lists(values: np.ndarray, begins: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """``values`` cut into lists that begin at ``begins``."""
-    offsets = np.append(begins, len(values)).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+def _expand(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of the ranges ``begin .. begin + size``."""
+    return np.arange(size.sum()) + np.repeat(begin - (np.cumsum(size) - size), size)
 
 
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All values of a list column, and the length of each list."""
-    return column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+def _packed(values: np.ndarray, begins: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` cut into rows that begin at ``begins``."""
+    offsets = (np.append(begins, len(values)) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _row(value: np.ndarray) -> pa.Array:
+    return pa.array([value.tobytes()], pa.binary())
+
+
+def _flat(column: pa.Array, kind=np.int32) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all rows of a packed column, and how many each row has."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return data.view(kind) if len(data) else np.empty(0, kind), np.diff(offsets) // np.dtype(kind).itemsize
+
+
+def _code_kind(cells: int):
+    return np.int32 if cells < 1 << 31 else np.int64
 
 
 def _starts(*columns: np.ndarray) -> np.ndarray:
@@ -126,16 +142,17 @@ def _occurrences(batches, block_mb: int):
             order = np.argsort(h, kind="stable")
             starts = _starts(h[order])
             n = np.diff(np.append(starts, len(order)))
-            steps = np.diff(place[order], prepend=0)
+            place = place[order]
+            steps = np.diff(place, prepend=0).astype(np.int32)
+            steps[starts] = place[starts]
             one = order[starts]
-            steps[starts] = place[one]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(number + lang[one].astype(np.int64)),
                     names.take(pa.array(lang[one])),
                     _spans(buffer, begin[one], end[one]),
                     pa.array(n),
-                    _lists(steps, starts, pa.int32()),
+                    _packed(steps, starts),
                 ],
                 ["block", "lang", "word", "n", "steps"],
             )
@@ -153,14 +170,14 @@ def _sequences(batches):
             at.append(total - np.repeat(total[first] - steps[first], size))
             ids.append(np.repeat(part.column("id").to_numpy(), size))
         at, ids = np.concatenate(at), np.concatenate(ids)
-        out = np.zeros(at.max() + 1, np.int64)
+        out = np.zeros(at.max() + 1, np.int32)
         out[at] = ids
-        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([lang]), pa.array([out], pa.list_(pa.int64()))], ["block", "lang", "ids"])
+        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([lang]), _row(out)], ["block", "lang", "ids"])
 
 
 def _joined(ids: np.ndarray) -> np.ndarray:
     """Both ids of each two neighbours in one number; -1 where the chain breaks."""
-    a, b = ids[:-1], ids[1:]
+    a, b = ids[:-1].astype(np.int64), ids[1:]
     return np.where((a > 0) & (b > 0), (a << 32) | b, -1)
 
 
@@ -169,22 +186,30 @@ def _pairs(batches, counted: bool):
     names = ["block", "lang", "left", "right", "cells", "codes", "n"]
     for batch in batches:
         for row in range(batch.num_rows):
-            ids = batch.column("ids")[row].values.to_numpy(zero_copy_only=False)
             bounds = batch.column("bounds")[row].values.to_numpy(zero_copy_only=False)
-            joined = _joined(ids)
+            joined = _joined(_flat(batch.column("ids").slice(row, 1))[0])
             key, n = np.unique(joined[joined >= 0], return_counts=True)
             if not len(key):
                 continue
             a, b, width = key >> 32, key & 0xFFFFFFFF, np.diff(bounds)
             left, right = (np.searchsorted(bounds, x, "right") - 1 for x in (a, b))
             code = (a - bounds[left]) * width[right] + b - bounds[right]
-            order = np.lexsort((code, right, left))
-            left, right, code, n = left[order], right[order], code[order], n[order]
+            order = np.argsort(left * len(width) + right, kind="stable")  # codes of a tile stay sorted
+            left, right, code, n = left[order], right[order], code[order], n[order].astype(np.int32)
             starts = _starts(left, right)
             one, two = left[starts], right[starts]
-            fixed = [pa.array([batch.column(c)[row].as_py()] * len(starts), kind) for c, kind in (("block", pa.int64()), ("lang", pa.string()))]
-            lists = [_lists(code, starts, pa.int64()), _lists(n if counted else n[:0], starts if counted else starts * 0, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*fixed, pa.array(one), pa.array(two), pa.array(width[one] * width[two]), *lists], names)
+            cells = width[one] * width[two]
+            for kind in (np.int32, np.int64):
+                rows = np.flatnonzero((cells < 1 << 31) == (kind is np.int32))
+                if not len(rows):
+                    continue
+                whole = len(rows) == len(starts)
+                size = np.diff(np.append(starts, len(code)))
+                at = slice(None) if whole else _expand(starts[rows], size[rows])
+                begins = np.cumsum(size[rows]) - size[rows]
+                fixed = [pa.array([batch.column(c)[row].as_py()] * len(rows), t) for c, t in (("block", pa.int64()), ("lang", pa.string()))]
+                counts = _packed(n[at], begins) if counted else pa.nulls(len(rows), pa.binary())
+                yield pa.RecordBatch.from_arrays([*fixed, pa.array(one[rows]), pa.array(two[rows]), pa.array(cells[rows]), _packed(code[at].astype(kind), begins), counts], names)
 
 
 def _added(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -201,73 +226,67 @@ def _tiles(batches, least: int):
     for (lang, left, right), parts in _groups(batches, "lang", "left", "right"):
         dense, codes, counts, held = None, [], [], 0
         for part in parts:
-            code, n = _flat(part.column("codes"))[0], _flat(part.column("n"))[0]
             cells = part.column("cells")[0].as_py()
+            code, n = _flat(part.column("codes"), _code_kind(cells))[0], _flat(part.column("n"))[0]
             if cells <= CELLS:
                 found = np.bincount(code, weights=n, minlength=cells).astype(np.int64)
                 dense = found if dense is None else dense + found
                 continue
-            codes, counts, held = [*codes, code], [*counts, n], held + len(code)
+            codes, counts, held = [*codes, code], [*counts, n.astype(np.int64)], held + len(code)
             if held > HELD:
                 one, two = _added(codes, counts)
                 codes, counts, held = [one], [two], min(len(one), held // 2)
         code, n = (np.arange(len(dense)), dense) if dense is not None else _added(codes, counts)
-        code, n = code[n >= least], n[n >= least]
-        if len(code):
-            whole = [pa.array([x.tolist()], pa.list_(pa.int64())) for x in (code, n)]
-            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([left]), pa.array([right]), *whole], ["lang", "left", "right", "codes", "n"])
+        code, n = code[n >= least].astype(np.int64), n[n >= least]
+        fixed = [pa.array([x] * len(code), t) for x, t in ((lang, pa.string()), (left, pa.int64()), (right, pa.int64()))]
+        yield pa.RecordBatch.from_arrays([*fixed, pa.array(code), pa.array(n)], ["lang", "left", "right", "code", "n"])
 
 
 def _found(batches):
     """The ids of each block's frequent pairs, from a tile's pairs (which come first) and the blocks' own."""
     names = ["block", "lang", "pairs", "ids"]
     for (lang, _, _), parts in _groups(batches, "lang", "left", "right"):
-        known: list[list[np.ndarray]] = [[], [], []]
-        table = None
+        known, table = [], None
         for part in parts:
             own = part.column("block").is_null().to_numpy(zero_copy_only=False)
             if own.any():
                 some = part.filter(pa.array(own))
-                for into, name in zip(known, ("codes", "pairs", "ids")):
-                    into.append(_flat(some.column(name))[0])
-            if own.all() or not known[0]:
+                known.append([some.column(c).to_numpy() for c in ("code", "pair", "id")])
+            if own.all() or not known:
                 continue
             if table is None:
-                code, pair, number = (np.concatenate(k) for k in known)
+                code, pair, number = (np.concatenate(k) for k in zip(*known))
                 order = np.argsort(code)
-                table = code[order], pair[order], number[order]
+                table = code[order], pair[order], number[order].astype(np.int32)
             some = part.filter(pa.array(~own))
-            code, size = _flat(some.column("codes"))
+            code, size = _flat(some.column("codes"), _code_kind(some.column("cells")[0].as_py()))
             at = np.minimum(np.searchsorted(table[0], code), len(table[0]) - 1)
             hit = table[0][at] == code
             row = np.repeat(np.arange(len(size)), size)[hit]
             starts = _starts(row)
-            lists = [_lists(x[at[hit]], starts, pa.int64()) for x in table[1:]]
             blocks = some.column("block").take(pa.array(row[starts]))
-            yield pa.RecordBatch.from_arrays([blocks, pa.array([lang] * len(starts), pa.string()), *lists], names)
+            yield pa.RecordBatch.from_arrays([blocks, pa.array([lang] * len(starts), pa.string()), *(_packed(x[at[hit]], starts) for x in table[1:])], names)
 
 
 def _next(batches):
     """The array of pair ids of each block, from its array of ids (which comes first) and the pairs found."""
     for (block, lang), parts in _groups(batches, "block", "lang"):
-        ids, pairs, numbers = np.empty(0, np.int64), [], []
+        ids, pairs, numbers = np.empty(0, np.int32), [], []
         for part in parts:
-            for row in range(part.num_rows):
-                pair = part.column("pairs")[row]
-                values = part.column("ids")[row].values.to_numpy(zero_copy_only=False)
-                if pair.is_valid:
-                    pairs.append(pair.values.to_numpy(zero_copy_only=False))
-                    numbers.append(values)
-                else:
-                    ids = values
-        if not pairs:
-            continue
+            own = part.column("pairs").is_null()
+            if own.to_numpy(zero_copy_only=False).any():
+                ids = _flat(part.column("ids").filter(own))[0]
+            found = part.filter(pa.compute.invert(own))
+            pairs.append(_flat(found.column("pairs"), np.int64)[0])
+            numbers.append(_flat(found.column("ids"))[0])
         pair, number = np.concatenate(pairs), np.concatenate(numbers)
+        if not len(pair):
+            continue
         order = np.argsort(pair)
         pair, number, joined = pair[order], number[order], _joined(ids)
         at = np.minimum(np.searchsorted(pair, joined), len(pair) - 1)
-        out = np.where(pair[at] == joined, number[at], 0)
-        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([lang]), pa.array([out], pa.list_(pa.int64()))], ["block", "lang", "ids"])
+        out = np.where(pair[at] == joined, number[at], np.int32(0))
+        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([lang]), _row(out)], ["block", "lang", "ids"])
 
 
 def ranked(rows: DataFrame, *ties: str) -> DataFrame:
@@ -303,20 +322,17 @@ def _in_groups(rows: DataFrame, keys: list[str], *order) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys, *order)
 
 
-PAIR_ROWS = "block long, lang string, left long, right long, cells long, codes array<long>, n array<long>"
-SEQUENCE = "block long, lang string, ids array<long>"
+PAIR_ROWS = "block long, lang string, left long, right long, cells long, codes binary, n binary"
+SEQUENCE = "block long, lang string, ids binary"
 
 
 def frequent_pairs(sequences: DataFrame, bounds: DataFrame, least: int) -> DataFrame:
     """``lang, left, right, code, pair, n`` of all pairs of neighbouring ids that occur at least ``least`` times."""
     made = sequences.join(bounds, "lang").mapInArrow(partial(_pairs, counted=True), PAIR_ROWS)
-    tiles = _in_groups(made, ["lang", "left", "right"]).mapInArrow(
-        partial(_tiles, least=least), "lang string, left long, right long, codes array<long>, n array<long>"
-    )
-    rows = tiles.select("lang", "left", "right", F.explode(F.arrays_zip("codes", "n")).alias("x")).join(bounds, "lang")
+    rows = _in_groups(made, ["lang", "left", "right"]).mapInArrow(partial(_tiles, least=least), "lang string, left long, right long, code long, n long").join(bounds, "lang")
     first = lambda side: F.element_at("bounds", (F.col(side) + 1).cast("int"))
     width = F.element_at("bounds", (F.col("right") + 2).cast("int")) - first("right")
-    rows = rows.select("lang", "left", "right", F.col("x.codes").alias("code"), F.col("x.n").alias("n"), first("left").alias("_l"), first("right").alias("_r"), width.alias("_w"))
+    rows = rows.select("lang", "left", "right", "code", "n", first("left").alias("_l"), first("right").alias("_r"), width.alias("_w"))
     a, b = F.expr("code div _w + _l"), F.expr("code % _w + _r")
     return rows.select("lang", "left", "right", "code", a.alias("a"), b.alias("b"), "n")
 
@@ -324,12 +340,12 @@ def frequent_pairs(sequences: DataFrame, bounds: DataFrame, least: int) -> DataF
 def next_sequences(sequences: DataFrame, bounds: DataFrame, pairs: DataFrame) -> DataFrame:
     """The arrays of ids with each pair of neighbours replaced by its id in ``pairs``, or 0."""
     own = sequences.join(bounds, "lang").mapInArrow(partial(_pairs, counted=False), PAIR_ROWS)
-    none = F.lit(None).cast("array<long>")
-    own = own.select("lang", "left", "right", "block", "codes", none.alias("pairs"), none.alias("ids"))
-    known = pairs.select("lang", "left", "right", F.lit(None).cast("long").alias("block"), *(F.array(c).alias(to) for c, to in (("code", "codes"), ("pair", "pairs"), ("id", "ids"))))
+    none = lambda *names: [F.lit(None).cast(k).alias(c) for c, k in names]
+    own = own.select("lang", "left", "right", "block", "cells", "codes", *none(("code", "long"), ("pair", "long"), ("id", "long")))
+    known = pairs.select("lang", "left", "right", *none(("block", "long"), ("cells", "long"), ("codes", "binary")), "code", "pair", "id")
     both = _in_groups(own.unionByName(known), ["lang", "left", "right"], F.col("block").asc_nulls_first())
-    found = both.mapInArrow(_found, "block long, lang string, pairs array<long>, ids array<long>")
-    both = sequences.select("block", "lang", none.alias("pairs"), "ids").unionByName(found)
+    found = both.mapInArrow(_found, "block long, lang string, pairs binary, ids binary")
+    both = sequences.select("block", "lang", *none(("pairs", "binary")), "ids").unionByName(found)
     return _in_groups(both, ["block", "lang"]).mapInArrow(_next, SEQUENCE)
 
 
@@ -350,7 +366,7 @@ def phrases(docs: DataFrame, max_words: int = 3, least: int = 10, top: int = 200
     """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")
     texts = docs.select(lang, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    seen = materialise(texts.mapInArrow(partial(_occurrences, block_mb=block_mb), "block long, lang string, word string, n long, steps array<int>"), "occurrences")
+    seen = materialise(texts.mapInArrow(partial(_occurrences, block_mb=block_mb), "block long, lang string, word string, n long, steps binary"), "occurrences")
     counts = materialise(seen.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     empty = F.array().cast("array<long>")

@@ -59,7 +59,7 @@ def test_sparse_and_dense_tiles_agree(monkeypatch):
     random = np.random.default_rng(0)
     parts = [np.unique(random.integers(0, 400, 300), return_counts=True) for _ in range(9)]
     rows = pa.RecordBatch.from_pydict(
-        {"lang": ["x"] * 9, "left": [0] * 9, "right": [1] * 9, "cells": [400] * 9, "codes": [c.tolist() for c, _ in parts], "n": [n.tolist() for _, n in parts]}
+        {"lang": ["x"] * 9, "left": [0] * 9, "right": [1] * 9, "cells": [400] * 9, "codes": [c.astype(np.int32).tobytes() for c, _ in parts], "n": [n.astype(np.int32).tobytes() for _, n in parts]}
     )
     dense = [b.to_pylist() for b in _tiles([rows.slice(0, 4), rows.slice(4)], 5)]
     monkeypatch.setattr(module, "CELLS", 0)
