@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotwise.llm import decontaminate, language, lengths, mixing, ngram, phrases, simhash, sketches, substring, tokens, toxicity
+from slotwise.llm import decontaminate, language, lengths, maintext, mixing, ngram, phrases, simhash, sketches, substring, tokens, toxicity, variants
 from slotwise.llm.frames import original_id
 
 
@@ -62,6 +62,14 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.phrases(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.main_texts(table(spark, sf_dir, "pages"))
+
+
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_fingerprints": op2_fingerprints,
@@ -74,4 +82,6 @@ LLM_QUERIES = {
     "op9_source_mixing": op9_source_mixing,
     "op10_simhash": op10_simhash,
     "op11_phrases": op11_phrases,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_main_text": op13_main_text,
 }
