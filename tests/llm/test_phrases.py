@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from slotwise.llm import phrases as module
-from slotwise.llm.phrases import _tiles, phrases
+from slotwise.llm.phrases import _tiles, grow, phrases, places, shrink
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -57,14 +57,28 @@ def test_other_lengths_and_small_tiles(spark, monkeypatch, longest):
 
 def test_sparse_and_dense_tiles_agree(monkeypatch):
     random = np.random.default_rng(0)
-    parts = [np.unique(random.integers(0, 400, 300), return_counts=True) for _ in range(9)]
-    rows = pa.RecordBatch.from_pydict(
-        {"lang": ["x"] * 9, "left": [0] * 9, "right": [1] * 9, "cells": [400] * 9, "codes": [c.astype(np.int32).tobytes() for c, _ in parts], "n": [n.astype(np.int32).tobytes() for _, n in parts]}
-    )
+    parts = [np.unique(random.integers(0, 400, 300, dtype=np.int32), return_counts=True) for _ in range(9)]
+    codes, n = [shrink(c, ordered=True) for c, _ in parts], [shrink(n.astype(np.int32)) for _, n in parts]
+    rows = pa.RecordBatch.from_pydict({"lang": ["x"] * 9, "left": [0] * 9, "right": [1] * 9, "cells": [400] * 9, "codes": codes, "n": n})
     dense = [b.to_pylist() for b in _tiles([rows.slice(0, 4), rows.slice(4)], 5)]
-    monkeypatch.setattr(module, "CELLS", 0)
     monkeypatch.setattr(module, "HELD", 100)
     assert dense == [b.to_pylist() for b in _tiles([rows], 5)]
+    monkeypatch.setattr(module, "CELLS", 0)
+    assert dense == [b.to_pylist() for b in _tiles([rows], 5)]
+
+
+@pytest.mark.parametrize("kind", [np.int32, np.int64])
+def test_numbers_come_back(kind):
+    for values in ([], [5], [0, 0, 7, 1 << 30], [-3, 9, 2]):
+        values = np.array(values, kind)
+        for ordered in (False, True):
+            assert grow(shrink(values, ordered)).tolist() == values.tolist()
+
+
+def test_places():
+    buffer, begin, end, place = places(pa.array(["a b.c", "", None, "! D\te", "f"]))
+    assert [bytes(buffer[a:b]) for a, b in zip(begin, end)] == [b"a", b"b", b"c", b"d", b"e", b"f"]
+    assert place.tolist() == [0, 1, 3, 5, 6, 8]
 
 
 def test_odd_rows(odd):
