@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from slotwise.config import DEFAULTS, SERIES
 from slotwise.functions.time import days_before, floor_slot
 from slotwise.operators.rows import instant, on_date, trailing
+from slotwise.sources.tables import newest_predictions
 
 LATEST_KEYS = ("station_id", "prediction_made_at", "target_time", "predicted_dock_bikes", "model_version")
 
@@ -263,6 +264,10 @@ def latest_predictions(predictions: DataFrame) -> DataFrame:
         (F.col("prediction_made_at") >= newest)
         & (F.col("prediction_made_at") < days_before(newest, -1))
     )
+    return _newest_per_station(last_day)
+
+
+def _newest_per_station(last_day: DataFrame) -> DataFrame:
     w = Window.partitionBy("station_id").orderBy(
         F.col("prediction_made_at").desc(),
         F.col("model_version").desc(),
@@ -272,6 +277,26 @@ def latest_predictions(predictions: DataFrame) -> DataFrame:
     return ranked.select(*LATEST_KEYS)
 
 
+def latest_stored(spark: SparkSession, path: str) -> DataFrame:
+    """:func:`latest_predictions` of the stored table, from its newest date alone."""
+    return _newest_per_station(newest_predictions(spark, path))
+
+
+def latest_stored_of(spark: SparkSession, path: str, station_id: int) -> DataFrame:
+    """Point lookup in the newest date; the station prunes row groups, which are sorted by it."""
+    return latest_stored(spark, path).where(F.col("station_id") == station_id)
+
+
+def stored_batch_health(spark: SparkSession, path: str) -> DataFrame:
+    return _health(latest_stored(spark, path))
+
+
+def current_cycles(cycles: DataFrame) -> DataFrame:
+    """One row per cycle: the one reconciled last."""
+    last = F.max_by(F.struct(*cycles.columns), F.col("reconciled_at")).alias("row")
+    return cycles.groupBy(F.col("cycle_timestamp").alias("_cycle")).agg(last).select("row.*")
+
+
 def latest_prediction_of(predictions: DataFrame, station_id: int) -> DataFrame:
     """Point lookup in the latest batch; no row means not found."""
     return latest_predictions(predictions).where(F.col("station_id") == station_id)
@@ -279,7 +304,11 @@ def latest_prediction_of(predictions: DataFrame, station_id: int) -> DataFrame:
 
 def latest_batch_health(predictions: DataFrame) -> DataFrame:
     """How many stations have a latest prediction, and its time; 0 and null without data."""
-    return latest_predictions(predictions).agg(
+    return _health(latest_predictions(predictions))
+
+
+def _health(latest: DataFrame) -> DataFrame:
+    return latest.agg(
         F.count("*").alias("predictions_available"),
         F.max("prediction_made_at").alias("latest_snapshot"),
     )

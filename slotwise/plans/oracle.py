@@ -635,3 +635,15 @@ ORACLE: dict[str, str] = {
           AND c.cycle_timestamp < w.window_end
         WHERE w.window_end <= {CLOSED} GROUP BY ALL""",
 }
+
+# Other ways to the same rows.
+ORACLE["scoring_slot_rows"] = ORACLE["scoring_feature_rows"]
+ORACLE["latest_stored_predictions"] = ORACLE["latest_predictions"]
+ORACLE["latest_stored_of_station"] = ORACLE["latest_prediction_of_station"]
+ORACLE["stored_batch_health"] = ORACLE["latest_batch_health"]
+ORACLE["stream_reconcile_cycles"] = ORACLE["cycle_metrics"]
+ORACLE["guarded_append"] = f"""{MONITOR},
+  early AS (SELECT count(*) AS n FROM pred WHERE prediction_made_at < TIMESTAMP '{TARGET_DATE} 00:00:00')
+SELECT model_version, count(*) AS n_rows, (SELECT n FROM early) AS n_first, (SELECT n FROM early) AS n_refused,
+  (SELECT count(*) FROM pred) - (SELECT n FROM early) AS n_added, 0::BIGINT AS n_again
+FROM pred GROUP BY model_version"""

@@ -14,7 +14,7 @@ from slotwise.config import SERIES
 from slotwise.functions import holidays, time
 from slotwise.ml import model as trees
 from slotwise.ml import registry
-from slotwise.ml.scoring import score, scoring_features
+from slotwise.ml.scoring import score, scoring_features, slot_features
 from slotwise.operators import drift, features, metrics, monitoring, quality, rows, split
 from slotwise.plans import canonical, training
 from slotwise.plans.canonical import AS_OF, TARGET_DATE
@@ -318,6 +318,53 @@ def latest_batch_health(spark, sf_dir):
     return monitoring.latest_batch_health(canonical.predictions(spark, sf_dir))
 
 
+def _stored_predictions(spark, sf_dir) -> str:
+    path = scratch_dir(spark, "stored-predictions")
+    sinks.append_predictions(canonical.predictions(spark, sf_dir), path)
+    return path
+
+
+@register
+def latest_stored_predictions(spark, sf_dir):
+    """From the stored table, of which the newest date alone is read."""
+    return monitoring.latest_stored(spark, _stored_predictions(spark, sf_dir))
+
+
+@register
+def latest_stored_of_station(spark, sf_dir):
+    return monitoring.latest_stored_of(spark, _stored_predictions(spark, sf_dir), 3)
+
+
+@register
+def stored_batch_health(spark, sf_dir):
+    return monitoring.stored_batch_health(spark, _stored_predictions(spark, sf_dir))
+
+
+@register
+def guarded_append(spark, sf_dir):
+    """Predictions before the target date appended; then all, refused; then all that are new."""
+    path = scratch_dir(spark, "guarded-predictions")
+    predictions = canonical.predictions(spark, sf_dir)
+    early = predictions.where(F.col("prediction_made_at") < rows.instant(TARGET_DATE))
+    first = sinks.append_new(early, path, "predictions")
+    try:
+        sinks.append_new(predictions, path, "predictions")
+        refused = 0
+    except sinks.RepeatedRows as error:
+        refused = error.stored
+    added = sinks.append_new(predictions, path, "predictions", on_repeat="skip")
+    again = sinks.append_new(predictions, path, "predictions", on_repeat="skip")
+    stored = tables.read_predictions(spark, path)
+    return stored.groupBy("model_version").agg(F.count("*").alias("n_rows")).withColumns(
+        {
+            "n_first": F.lit(first).cast("long"),
+            "n_refused": F.lit(refused).cast("long"),
+            "n_added": F.lit(added).cast("long"),
+            "n_again": F.lit(again).cast("long"),
+        }
+    )
+
+
 @register
 def predictions_for_target_time(spark, sf_dir):
     at = datetime.fromisoformat(f"{TARGET_DATE} 12:00:00")
@@ -493,6 +540,15 @@ def scoring_feature_rows(spark, sf_dir):
     return rounded(df.select(*KEY, *columns), *STATS)
 
 
+@register
+def scoring_slot_rows(spark, sf_dir):
+    """The same features from one state per station, without the windows."""
+    live = source.scoring_frame(_as_stations(_live(spark, sf_dir)), AS_OF)
+    df = slot_features(live, canonical.snapshots(spark, sf_dir), AS_OF)
+    columns = ("dock_bikes_now", *features.LAGS, *STATS, "dock_bikes_same_time_1w")
+    return rounded(df.select(*KEY, *columns), *STATS)
+
+
 # --- documents, forecasts, tables -----------------------------------------------------
 
 
@@ -797,13 +853,12 @@ def stream_score(spark, sf_dir):
     model = _trained(spark, sf_dir, maxIter=2)["model"]
     table = scratch_dir(spark, "snapshots")
     flat = canonical.snapshots(spark, sf_dir)
-    flat.write.parquet(table)
+    flat.withColumn("dt", F.to_date(SERIES.time)).write.partitionBy("dt").parquet(table)
     out = scratch_dir(spark, "predictions")
-    stream = cycle.table_stream(spark, table, flat.schema)
     _finish(
         cycle.start_scoring(
-            stream,
-            lambda: spark.read.schema(flat.schema).parquet(table),
+            cycle.table_stream(spark, table, flat.schema).select(*flat.columns),
+            cycle.table_history(spark, table, flat.schema),
             model,
             "v20240120_000000",
             out,
@@ -813,6 +868,50 @@ def stream_score(spark, sf_dir):
     return tables.read_predictions(spark, out)
 
 
+@register
+def stream_reconcile_cycles(spark, sf_dir):
+    """Cycle rows kept by the stream while predictions and observations land in parts: the later
+    half of the observations first, a third of them again with other values before, and predictions
+    of half the stations after all observations."""
+    predictions, observed = canonical.predictions(spark, sf_dir), canonical.observed(spark, sf_dir)
+    names = ("predictions", "observed", "cycles", "checkpoint")
+    stored, seen, cycles, checkpoint = (scratch_dir(spark, n) for n in names)
+    arrivals = T.StructType([*observed.schema.fields, T.StructField("raw_ts", T.TimestampType())])
+
+    def land(df: DataFrame, arrived: str) -> None:
+        dated = df.withColumns({"raw_ts": rows.instant(arrived), "dt": F.to_date("ingestion_timestamp")})
+        dated.write.mode("append").partitionBy("dt").parquet(seen)
+
+    def run() -> None:
+        _finish(
+            cycle.start_reconcile(
+                cycle.table_stream(spark, stored, schemas.PREDICTIONS),
+                cycle.table_stream(spark, seen, arrivals),
+                cycle.table_history(spark, stored, schemas.PREDICTIONS),
+                cycle.table_history(spark, seen, arrivals),
+                cycles,
+                checkpoint,
+                reconciled_at=rows.instant(AS_OF),
+            )
+        )
+
+    half = F.col("station_id") % 2 == 0
+    late = F.col("ingestion_timestamp") >= rows.instant("2024-01-16")
+    sinks.append_new(predictions.where(half), stored, "predictions", "skip")
+    wrong = observed.where((F.col("id") % 3 == 0) & late).withColumn("dock_bikes", F.col("dock_bikes") + 3)
+    land(wrong, "2024-02-01 00:00:00")
+    run()
+    land(observed.where(late), "2024-02-01 01:00:00")
+    run()
+    land(observed, "2024-02-01 02:00:00")
+    sinks.append_new(predictions, stored, "predictions", "skip")
+    run()
+    run()
+    found = monitoring.current_cycles(tables.read_table(spark, cycles, schemas.CYCLE_METRICS))
+    found = found.withColumn("reconciled_at", F.date_trunc("second", "reconciled_at"))
+    return rounded(found, "mae", "rmse")
+
+
 @register
 def stream_reconcile(spark, sf_dir):
     """Predictions and observations joined as streams, then summed per cycle."""

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotwise import schemas
 from slotwise.config import DEFAULTS
+from slotwise.session import materialise
+from slotwise.sources.tables import date_folders, folder_of
 
 # Table name -> declared schema and the expression of its date partition.
 TABLES = {
@@ -20,6 +23,23 @@ TABLES = {
     "daily_totals": (schemas.DAILY_TOTALS, "date", "model_version"),
 }
 
+# Table name -> the columns that tell its rows apart, and the time among them that bounds a search.
+KEYS = {
+    "station_status_raw": (("id", "ingestion_timestamp"), "ingestion_timestamp"),
+    "predictions": (("station_id", "prediction_made_at", "model_version"), "prediction_made_at"),
+    "cycle_metrics": (("cycle_timestamp",), "cycle_timestamp"),
+    "station_daily_metrics": (("date", "station_id", "model_version"), "date"),
+    "daily_totals": (("date", "model_version"), "date"),
+}
+
+
+class RepeatedRows(ValueError):
+    """Rows of an append are stored already, or stand in it more than once; nothing was written."""
+
+    def __init__(self, table: str, stored: int, doubled: int):
+        super().__init__(f"{table}: {stored} rows are stored already, {doubled} repeat a row of the same append")
+        self.stored, self.doubled = stored, doubled
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the declared columns and types; a missing column or a value that does not
@@ -50,6 +70,58 @@ def append(df: DataFrame, path: str, table: str) -> int:
     return _write(_by_date(conform(df, schema), F.expr(day), cluster), path, "append")
 
 
+def _stored_keys(rows: DataFrame, path: str, table: str) -> DataFrame | None:
+    """Keys the table holds on the dates of ``rows`` and between their first and last time.
+
+    Dates prune folders, the times row groups. The driver gets one value per date.
+    """
+    keys, time = KEYS[table]
+    days = [r["dt"] for r in rows.select("dt").distinct().collect()]
+    span = rows.agg(F.min(time).cast("string").alias("lo"), F.max(time).cast("string").alias("hi")).first()
+    try:
+        stored = rows.sparkSession.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    dated = F.col("dt").isin([d for d in days if d is not None])
+    if None in days:
+        return stored.where(dated | F.col("dt").isNull()).select(*keys)
+    bounds = [F.lit(span[c]).cast(rows.schema[time].dataType) for c in ("lo", "hi")]
+    return stored.where(dated & F.col(time).between(*bounds)).select(*keys)
+
+
+def append_new(df: DataFrame, path: str, table: str, on_repeat: str = "refuse") -> int:
+    """Append rows whose key the table does not hold yet, and return their number.
+
+    ``on_repeat="refuse"`` raises :class:`RepeatedRows` and writes nothing when any row is stored
+    already or stands in ``df`` twice; ``"skip"`` writes the rest, of doubled rows one. So an
+    append that is run again, by whatever job, leaves one copy: what a failed run did write is
+    found by its keys. Null keys are equal to each other. Two writers at the same time are not
+    kept apart.
+    """
+    if on_repeat not in ("refuse", "skip"):
+        raise ValueError(f"unknown on_repeat {on_repeat!r}")
+    schema, day, cluster = TABLES[table]
+    keys, _ = KEYS[table]
+    rows = materialise(conform(df, schema).withColumn("dt", F.expr(day)), f"append-{table}")
+    once = rows.dropDuplicates(list(keys))
+    stored = _stored_keys(rows, path, table)
+    fresh = once
+    if stored is not None:
+        stored = stored.select(*[F.col(k).alias(f"_{k}") for k in keys])
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        fresh = once.join(stored, same, "left_anti")
+    fresh = materialise(fresh, f"fresh-{table}")
+    if on_repeat == "refuse":
+        total, distinct, new = rows.count(), once.count(), fresh.count()
+        if new < total:
+            raise RepeatedRows(table, distinct - new, total - distinct)
+    if fresh.isEmpty():
+        return 0
+    return _write(_by_date(fresh.drop("dt"), F.expr(day), cluster), path, "append")
+
+
 def replace_partitions(df: DataFrame, path: str, table: str) -> int:
     """Overwrite only the dates present in ``df``: running a day again leaves one copy."""
     schema, day, cluster = TABLES[table]
@@ -125,10 +197,8 @@ def drop_expired(
     Works on folder names: no data is read or rewritten.
     """
     oldest = f"dt={as_of - timedelta(days=days)}"
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    folders = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
-    expired = [p for p in folders if p.getName().startswith("dt=") and p.getName() < oldest]
-    for folder in expired:
-        fs.delete(folder, True)
-    return sorted(p.getName() for p in expired)
+    root, fs = folder_of(spark, path)
+    expired = [d for d in date_folders(spark, path) if d < oldest]
+    for name in expired:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(root, name), True)
+    return expired

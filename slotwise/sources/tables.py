@@ -12,6 +12,31 @@ from pyspark.sql import types as T
 from slotwise.schemas import DRIFT_SUMMARY, PREDICTIONS
 
 
+def folder_of(spark: SparkSession, path: str):
+    """A path and its file system, whatever store it lies in."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root, root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def date_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the ``dt=YYYY-MM-DD`` folders of a table, in their order; none if there is no table."""
+    root, fs = folder_of(spark, path)
+    if not fs.exists(root):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
+    return sorted(n for n in names if n.startswith("dt=") and n[3:4].isdigit())
+
+
+def newest_date(spark: SparkSession, path: str) -> date | None:
+    """The last date a table holds rows of, from the names of its folders; no row is read but to
+    pass over folders that writers left empty."""
+    for name in reversed(date_folders(spark, path)):
+        day = date.fromisoformat(name[3:])
+        if not spark.read.parquet(path).where(F.col("dt") == F.lit(str(day)).cast("date")).isEmpty():
+            return day
+    return None
+
+
 def query(spark: SparkSession, text: str, args: dict, **frames: DataFrame) -> DataFrame:
     """SQL with typed named parameters (``:name``) over frames (``{name}``)."""
     return spark.sql(text, args=args, **frames)
@@ -51,6 +76,14 @@ def read_predictions(
     return read_table(spark, path, PREDICTIONS, start, end)
 
 
+def newest_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """Predictions made on the newest date of the stored table: one folder is read, of any number."""
+    day = newest_date(spark, path)
+    if day is None:
+        return spark.createDataFrame([], PREDICTIONS)
+    return read_predictions(spark, path, day, day)
+
+
 def stored_predictions_for(spark: SparkSession, path: str, target_time: datetime) -> DataFrame:
     """Predictions of one target time from the stored table: those made within a day before it."""
     day = target_time.date()

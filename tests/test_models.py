@@ -4,13 +4,14 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import row, ts
+from conftest import row, series, ts
 from pyspark.sql import functions as F
 
 from slotwise import schemas
+from slotwise.config import DEFAULTS, Settings
 from slotwise.ml import model as trees
 from slotwise.ml import registry
-from slotwise.ml.scoring import score, score_slots
+from slotwise.ml.scoring import score, score_slots, scoring_features, slot_features
 from slotwise.operators import features
 from slotwise.operators.metrics import naive_baseline_values
 from slotwise.operators.rows import with_target
@@ -187,3 +188,49 @@ def test_catch_up_scores_like_single_cycles(model, wave, frame):
         for r in score(model, "v1", frame(batch[2 * i : 2 * i + 2]), t, history).collect():
             single[r["station_id"], t] = r["predicted_dock_bikes"]
     assert together == single
+
+
+@pytest.mark.parametrize(
+    ("at", "mode"),
+    [("2024-03-31 01:20:00", "rows"), ("2024-04-01 00:05:00", "rows"), ("2024-04-02 22:50:00", "rows"), ("2024-03-31 01:20:00", "time")],
+)
+def test_slot_features_equal_the_windows(spark, frame, at, mode):
+    r = random.Random(at)
+    data, start = [], ts("2024-03-22 00:00:00")
+    for s in range(1, 7):
+        for i in range(96 * 13):
+            if r.random() < (0.2, 0.9, 0.97, 0.995, 0.999, 1.0)[s - 1]:  # dense, sparse and nearly empty series
+                continue
+            for _ in range(1 + (r.random() < 0.1)):
+                data.append(row(s, start + timedelta(minutes=15 * i), r.randint(0, 20), **({"dock_bikes": None} if r.random() < 0.05 else {})))
+    history = frame(data).withColumn("seq", F.monotonically_increasing_id())
+    slot = ts(at).replace(minute=ts(at).minute // 15 * 15, second=0)
+    live = [row(s, slot, r.randint(0, 20), no_available=int(s == 5)) for s in range(1, 9)] + [row(1, slot, 7), row(1, slot, 7, station_id=None)]
+    live = frame(live)
+    for settings in (DEFAULTS, Settings(history_days=4, rolling_days=2, lookback_days=1, expanding_rows=1), Settings(history_days=None)):
+        got = slot_features(live, history, at, settings, mode=mode)
+        want = scoring_features(live, history, at, settings, mode=mode)
+        assert got.columns == want.columns and dict(got.dtypes) == dict(want.dtypes)
+        one, two = ({r["station_id"]: r for r in df.collect()} for df in (got, want))
+        assert set(one) == set(two) == {1, 2, 3, 4, 6, 7, 8}
+        for s in one:
+            for c in got.columns:
+                assert one[s][c] == (pytest.approx(two[s][c], abs=1e-9) if isinstance(two[s][c], float) else two[s][c]), (s, c)
+
+
+def test_slot_features_without_history(frame):
+    live = frame([row(1, ts("2024-01-13 00:00:00"), 3)])
+    got, want = (f(live, None, "2024-01-13 00:00:00") for f in (slot_features, scoring_features))
+    assert got.columns == want.columns and got.collect() == want.collect()
+
+
+def test_slot_features_scan_each_side_once_and_use_no_window(spark, frame, tmp_path):
+    frame(series(1, "2024-01-01 00:00:00", range(200))).write.parquet(str(tmp_path / "history"))
+    frame([row(1, ts("2024-01-03 02:00:00"), 3)]).write.parquet(str(tmp_path / "live"))
+    live, history = (spark.read.parquet(str(tmp_path / n)) for n in ("live", "history"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    df = slot_features(live, history, "2024-01-03 02:00:00")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 2 and "Window" not in plan
+    assert "GreaterThanOrEqual(snapshot_timestamp" in plan and "LessThan(snapshot_timestamp" in plan

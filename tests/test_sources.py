@@ -11,6 +11,7 @@ from slotwise import schemas
 from slotwise.functions import time
 from slotwise.operators import monitoring, rows
 from slotwise.sources import sinks, snapshots, tables, weather
+from slotwise.sources.tables import newest_date, newest_predictions
 
 WEATHER = {
     "timestamp": "2024-01-15T09:00:00+00:00",
@@ -237,3 +238,56 @@ def test_skipped_and_union(frame):
     both = rows.union_history(df, df.drop("temperature_2m"))
     assert both.where("temperature_2m IS NULL").count() == 4
     assert rows.only_keys(df, df.where("station_id < 3")).count() == 2
+
+
+def made(spark, *rows):
+    data = [(s, ts(at), ts(at), 1.0, v) for s, at, v in rows]
+    return spark.createDataFrame(data, schemas.PREDICTIONS)
+
+
+def test_a_repeated_append_is_refused(spark, tmp_path):
+    path = str(tmp_path / "p")
+    day = [(1, "2024-01-01 23:45:00", "v1"), (2, "2024-01-02 00:00:00", "v1"), (None, "2024-01-02 00:00:00", "v1")]
+    assert sinks.append_new(made(spark, *day), path, "predictions") == 3
+    more = made(spark, *day, (1, "2024-01-03 00:00:00", "v1"), (2, "2024-01-02 00:00:00", "v2"), (2, "2024-01-02 00:00:00", "v2"))
+    with pytest.raises(sinks.RepeatedRows) as refused:
+        sinks.append_new(more, path, "predictions")
+    assert (refused.value.stored, refused.value.doubled) == (3, 1)
+    assert spark.read.parquet(path).count() == 3
+    assert sinks.append_new(more, path, "predictions", "skip") == 2
+    assert sinks.append_new(more, path, "predictions", "skip") == 0
+    assert spark.read.parquet(path).count() == 5
+    assert sinks.append_new(made(spark), path, "predictions") == 0
+    with pytest.raises(ValueError):
+        sinks.append_new(more, path, "predictions", "other")
+
+
+def test_guarded_append_reads_the_touched_dates_only(spark, tmp_path):
+    path = str(tmp_path / "p")
+    for d in ("01", "02", "03"):
+        sinks.append_predictions(made(spark, (1, f"2024-01-{d} 00:00:00", "v1")), path)
+    rows = made(spark, (1, "2024-01-02 00:00:00", "v1")).withColumn("dt", F.to_date("prediction_made_at"))
+    stored = sinks._stored_keys(rows, path, "predictions")
+    assert len(stored.inputFiles()) == 3 and stored.count() == 1
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "2024-01-02" in filters and "GreaterThanOrEqual(prediction_made_at" in plan
+
+
+def test_newest_date_is_found_without_reading_the_table(spark, tmp_path):
+    path = str(tmp_path / "p")
+    assert newest_date(spark, path) is None and newest_predictions(spark, path).count() == 0
+    for d in ("01", "03", "02"):
+        sinks.append_predictions(made(spark, (1, f"2024-01-{d} 00:00:00", "v1"), (2, f"2024-01-{d} 01:00:00", "v1"), (1, f"2024-01-{d} 02:00:00", "v1")), path)
+    (tmp_path / "p" / "dt=2024-01-04").mkdir()
+    assert newest_date(spark, path) == date(2024, 1, 3)
+    latest = monitoring.latest_stored(spark, path)
+    assert sorted((r["station_id"], r["prediction_made_at"].hour) for r in latest.collect()) == [(1, 2), (2, 1)]
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "2024-01-03" in filters
+    assert monitoring.latest_stored_of(spark, path, 2).count() == 1 and monitoring.latest_stored_of(spark, path, 9).count() == 0
+    one = monitoring.latest_stored_of(spark, path, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(station_id,2)" in one
+    assert tuple(monitoring.stored_batch_health(spark, path).first()) == (2, ts("2024-01-03 02:00:00"))
+    assert tuple(monitoring.stored_batch_health(spark, str(tmp_path / "none")).first()) == (0, None)

@@ -16,7 +16,8 @@ from slotwise.operators.rows import with_target
 from slotwise.operators.split import temporal_split
 from slotwise.session import materialise
 from slotwise.sources.snapshots import read_raw_snapshots
-from slotwise.sources.tables import read_predictions
+from slotwise.sources import sinks
+from slotwise.sources.tables import read_predictions, read_table
 from slotwise.streaming import cycle
 
 
@@ -91,20 +92,102 @@ def test_closed_windows_equal_batch(spark, errors, tmp_path, window, slide):
     assert got == want and got
 
 
-def test_scoring_stream_equals_batch_and_repeats_safely(spark, frame, tmp_path):
-    landing, out, checkpoint = dirs(tmp_path, "landing", "out", "checkpoint")
+def scored_model(frame):
     history = frame(series(1, "2024-01-01 00:00:00", [3, 9, 15] * 32 * 5))
     data = materialise(with_target(features.all_features(history)), "stream-features")
     train, val, _ = temporal_split(data)[:3]
-    model = trees.train_model(train, val, {"maxIter": 1, "maxDepth": 2})
-    fresh = frame(
-        [row(1, ts("2024-01-06 00:00:00"), 3), row(1, ts("2024-01-06 00:15:00"), 9), row(2, ts("2024-01-06 00:15:00"), 4, no_available=1)]
-    )
+    return trees.train_model(train, val, {"maxIter": 1, "maxDepth": 2}), history
+
+
+def test_scoring_stream_equals_batch_and_repeats_safely(spark, frame, tmp_path):
+    landing, out, checkpoint, table = dirs(tmp_path, "landing", "out", "checkpoint", "table")
+    model, history = scored_model(frame)
+    history.withColumn("dt", F.to_date("snapshot_timestamp")).write.partitionBy("dt").parquet(table)
+    asked = []
+    stored = cycle.table_history(spark, table, history.schema)
+
+    def read_history(first, last):
+        asked.append((str(first), str(last)))
+        return stored(first, last)
+
+    data = [row(1, ts("2024-01-06 00:00:00"), 3), row(1, ts("2024-01-06 00:15:00"), 9), row(2, ts("2024-01-06 00:15:00"), 4, no_available=1)]
+    fresh = frame(data).withColumn("raw_ts", F.col("snapshot_timestamp") + F.expr("INTERVAL '7' MINUTE"))
     fresh.coalesce(1).write.parquet(landing)
     stream = cycle.table_stream(spark, landing, fresh.schema)
-    finish(cycle.start_scoring(stream, lambda: history, model, "v1", out, checkpoint))
+    finish(cycle.start_scoring(stream, read_history, model, "v1", out, checkpoint))
     got = read_predictions(spark, out)
     want = score_slots(model, "v1", fresh, history)
     assert got.count() == 2 and got.exceptAll(want).count() == 0
-    finish(cycle.start_scoring(stream, lambda: history, model, "v1", out, str(tmp_path / "again")))
-    assert read_predictions(spark, out).count() == 2
+    assert asked == [("2023-12-29", "2024-01-06")]
+    made = sorted(r["prediction_made_at"] for r in got.collect())
+    assert made == [ts("2024-01-06 00:07:00"), ts("2024-01-06 00:22:00")]
+    assert (tmp_path / "out" / "dt=2024-01-06").is_dir()
+    # another checkpoint, more files, and a row that is delivered again
+    extra = frame([row(1, ts("2024-01-06 00:30:00"), 5), data[1]]).withColumn("raw_ts", F.col("snapshot_timestamp") + F.expr("INTERVAL '7' MINUTE"))
+    extra.coalesce(1).write.mode("append").parquet(landing)
+    for again in ("again", "once more"):
+        finish(cycle.start_scoring(stream, read_history, model, "v1", out, str(tmp_path / again)))
+        assert read_predictions(spark, out).count() == 3
+    finish(cycle.start_scoring(stream, read_history, model, "v2", out, str(tmp_path / "v2")))
+    assert {tuple(r) for r in read_predictions(spark, out).groupBy("model_version").count().collect()} == {("v1", 3), ("v2", 3)}
+
+
+def test_a_scoring_batch_that_failed_half_way_is_completed(spark, frame, tmp_path):
+    landing, out, checkpoint = dirs(tmp_path, "landing", "out", "checkpoint")
+    model, history = scored_model(frame)
+    fresh = frame([row(s, ts("2024-01-06 00:00:00"), 3) for s in range(1, 9)])
+    fresh.coalesce(1).write.parquet(landing)
+    want = score_slots(model, "v1", fresh, history)
+    sinks.append_predictions(want.where("station_id < 4"), out)  # what a lost run had written
+    stream = cycle.table_stream(spark, landing, fresh.schema)
+    finish(cycle.start_scoring(stream, lambda first, last: history, model, "v1", out, checkpoint))
+    got = read_predictions(spark, out)
+    assert got.count() == 8 and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_reconciled_cycles_equal_batch_whatever_the_order(spark, errors, tmp_path):
+    predictions, observed = errors
+    stored, seen, cycles, checkpoint = dirs(tmp_path, "stored", "seen", "cycles", "checkpoint")
+    schema = "id long, ingestion_timestamp timestamp, dock_bikes int, raw_ts timestamp"
+    empty = spark.createDataFrame([], schema)
+
+    def land(df, arrived):
+        dated = df.withColumn("raw_ts", rows.instant(arrived)).withColumn("dt", F.to_date("ingestion_timestamp"))
+        dated.write.mode("append").partitionBy("dt").parquet(seen)
+
+    def run(folder=checkpoint, at="2024-01-20"):
+        finish(
+            cycle.start_reconcile(
+                cycle.table_stream(spark, stored, schemas.PREDICTIONS),
+                cycle.table_stream(spark, seen, empty.schema),
+                cycle.table_history(spark, stored, schemas.PREDICTIONS),
+                cycle.table_history(spark, seen, empty.schema),
+                cycles,
+                folder,
+                reconciled_at=rows.instant(at),
+            )
+        )
+        return monitoring.current_cycles(read_table(spark, cycles, schemas.CYCLE_METRICS)).drop("reconciled_at")
+
+    def batch():
+        p, o = spark.read.parquet(stored).drop("dt"), spark.read.parquet(seen).drop("dt")
+        return monitoring.cycle_metrics(p, o, rows.instant("2024-01-20")).drop("reconciled_at")
+
+    def same(one, two):
+        one, two = (sorted(tuple(r) for r in df.select(*schemas.CYCLE_METRICS.fieldNames()[:-1]).collect()) for df in (one, two))
+        return one == two and len(one)
+
+    land(observed.where("id = 1 AND ingestion_timestamp >= '2024-01-16'"), "2024-01-17")
+    sinks.append_predictions(predictions.where("station_id = 1"), stored)
+    early = same(run(), batch())
+    assert early
+    land(observed.withColumn("dock_bikes", F.col("dock_bikes") + 2), "2024-01-18")  # late, and again with other values
+    assert same(run(), batch()) > early
+    land(observed, "2024-01-19")
+    assert sinks.append_new(predictions, stored, "predictions", "skip") == 150  # late predictions, the first ones again
+    assert same(run(), batch()) == 146
+    n = read_table(spark, cycles, schemas.CYCLE_METRICS).count()
+    land(observed, "2024-01-19")  # nothing new: no cycle is written again
+    assert same(run(), batch()) == 146
+    assert same(run(str(tmp_path / "second"), "2024-01-21"), batch()) == 146
+    assert read_table(spark, cycles, schemas.CYCLE_METRICS).count() == n
