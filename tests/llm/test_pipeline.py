@@ -10,9 +10,9 @@ import __spark_entry__ as entry_module  # noqa: E402
 import corpus_pipeline  # noqa: E402
 
 from .conftest import SF  # noqa: E402
+from .test_nearcopies import by_distance  # noqa: E402
 from slotwise.llm.decontaminate import contamination  # noqa: E402
 from slotwise.llm.queries import LLM_QUERIES  # noqa: E402
-from slotwise.llm.simhash import simhash_groups  # noqa: E402
 from slotwise.session import materialise  # noqa: E402
 
 COLUMNS = {
@@ -26,6 +26,9 @@ COLUMNS = {
     "op8": ["length", "docs"],
     "op9": ["doc_id", "size", "source_size", "target", "taken"],
     "op10": ["doc_id", "fingerprint", "component_id"],
+    "op11": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
+    "op12": ["word", "form", "root", "n", "n_near", "form_n"],
+    "op13": ["page_id", "url", "text", "n_chars"],
 }
 
 
@@ -48,7 +51,7 @@ def test_stages_take_effect(spark, docs):
         kept = materialise(stage(spark, before, SF), name)
         assert kept.columns == docs.columns
         if name == "simhash_near_dedup":
-            assert kept.count() == simhash_groups(before).select("component_id").distinct().count()
+            assert sorted(r["doc_id"] for r in kept.collect()) == by_distance([(r["doc_id"], r["text"]) for r in before.collect()])
         if name == "decontamination":
             found = contamination(before, spark.read.parquet(f"{SF}/benchmark.parquet"))
             assert kept.count() == found.where("n_hit = 0").count()
