@@ -7,7 +7,10 @@ keep their expectations. Flights run in blocks of a source; each leaves at most
 undecided, and those of all blocks fly again, until a single block per source is left. Its last
 documents, at most two, land with the constraint on words dropped.
 
-At scale: only (doc_id, source, size) moves; a source with a third of all rows is many blocks.
+Rows equal in every column are one unit of n copies: of its n * p expected copies the whole ones are taken, and what is
+left is the probability of one more, so however many rows repeat each other, a draw never moves more than one document.
+
+At scale: only (doc_id, source, size, hash of the row) moves; a source with a third of all rows is many blocks.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ MOST = 2.0
 BLOCK = 10_000
 NOT_SPACE = "[^\\x20\\x09-\\x0D]+"
 
-UNIT = "source string, doc_id long, size long, copies long, start double, p double"
+UNIT = "source string, doc_id long, size long, row long, copies long, whole long, start double, p double"
 
 
 def words_in(text):
@@ -116,20 +119,20 @@ def fly(sizes, copies, start, p, rng: random.Random, land: bool) -> list[float]:
 
 
 def _fly_group(pdf: pd.DataFrame, seed: int, turn: int) -> pd.DataFrame:
-    pdf = pdf.sort_values(["mixed", "doc_id", "size"], kind="stable")
+    pdf = pdf.sort_values(["mixed", "doc_id", "size", "row"], kind="stable")
     head = pdf.iloc[0]
     rng = random.Random(zlib.crc32(f"{seed} {turn} {head['source']!r} {head['block']}".encode()))
     last = bool(head["blocks"] == 1)
-    done = fly(pdf["size"].tolist(), pdf["copies"].tolist(), pdf["start"].tolist(), pdf["p"].tolist(), rng, last)
-    return pdf.assign(p=done)[["source", "doc_id", "size", "copies", "start", "p"]]
+    done = fly(pdf["size"].tolist(), [1] * len(pdf), pdf["start"].tolist(), pdf["p"].tolist(), rng, last)
+    return pdf.assign(p=done)[["source", "doc_id", "size", "row", "copies", "whole", "start", "p"]]
 
 
 def balanced_sample(units: DataFrame, block: int = BLOCK, seed: int = 42) -> DataFrame:
-    """``units`` (source, doc_id, size, copies, start, p) with every ``p`` moved to 0 or 1."""
+    """``units`` (source, doc_id, size, row, copies, whole, start, p) with every ``p`` moved to 0 or 1."""
     settled, turn = None, 0
     while True:
         count = units.where("p > 0 AND p < 1").groupBy("source").agg(F.ceil(F.count("*") / block).alias("blocks"))
-        mixed = F.xxhash64(F.lit(seed), F.lit(turn), "doc_id", "size")
+        mixed = F.xxhash64(F.lit(seed), F.lit(turn), "doc_id", "size", "row")
         dealt = units.where("p > 0 AND p < 1").alias("u").join(count.alias("c"), F.expr("u.source <=> c.source")).select("u.*", "c.blocks")
         dealt = dealt.withColumn("mixed", mixed).withColumn("block", F.pmod("mixed", "blocks"))
         flown = dealt.groupBy("source", "block").applyInPandas(partial(_fly_group, seed=seed, turn=turn), UNIT)
@@ -141,43 +144,59 @@ def balanced_sample(units: DataFrame, block: int = BLOCK, seed: int = 42) -> Dat
             return settled
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK, seed: int = 42) -> DataFrame:
-    """What the mix takes: ``doc_id, source, size, source_size, target, times``, a row per input row.
+def _row_hash(docs: DataFrame):
+    """A hash of all columns that can be hashed; maps and variants cannot."""
+    plain = [f.name for f in docs.schema if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+    return F.xxhash64(*(F.col(f"`{c}`") for c in plain))
 
-    ``size`` is the number of words, ``times`` how often the document is taken (whole passes of
-    its source plus the balanced sample). Same input, same result, however it is partitioned.
 
-    Null or empty text: size 0. Null source: a source of its own, last. Null doc_id: last, one id.
-    Rows equal in doc_id, source and size are drawn together. Empty table: empty result. Other
-    columns are ignored.
-    """
+def drawn_units(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK, seed: int = 42) -> DataFrame:
+    """``doc_id, source, size, row, copies, source_size, target, passes, more``: equal rows are one line; each of its
+    copies is taken ``passes`` times, and ``more`` of them once again."""
     sized = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(BIGGEST)).alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         words_in(F.col("text").cast("string")).alias("size"),
+        _row_hash(docs).alias("row"),
     )
-    sized = materialise(sized.groupBy("source", "doc_id", "size").agg(F.count("*").alias("copies")), "sizes")
+    sized = materialise(sized.groupBy("source", "doc_id", "size", "row").agg(F.count("*").alias("copies")), "sizes")
     targets = materialise(source_targets(sized, weights, share, most), "targets")
     ratio = F.when(F.col("t.source_size") > 0, F.col("t.target") / F.col("t.source_size")).otherwise(F.lit(0.0))
+    expected = F.col("copies") * (ratio - F.floor(ratio))
     units = sized.alias("s").join(targets.alias("t"), F.expr("s.source <=> t.source"))
-    units = units.select("s.*", (ratio - F.floor(ratio)).alias("start")).withColumn("p", F.col("start"))
+    units = units.select("s.*", F.floor(expected).alias("whole"), (expected - F.floor(expected)).alias("start")).withColumn("p", F.col("start"))
     drawn = balanced_sample(units, block, seed).alias("d").join(targets.alias("t"), F.expr("d.source <=> t.source"))
-    times = (F.floor(ratio) + F.col("d.p").cast("long")).alias("times")
-    rows = drawn.select("d.doc_id", "d.source", "d.size", "t.source_size", "t.target", times, "d.copies")
-    rows = rows.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies", "col")
-    return rows.withColumn("doc_id", original_id())
+    more = (F.col("d.whole") + F.col("d.p").cast("long")).alias("more")
+    return drawn.select("d.doc_id", "d.source", "d.size", "d.row", "d.copies", "t.source_size", "t.target", F.floor(ratio).alias("passes"), more)
+
+
+def mix(docs: DataFrame, **settings) -> DataFrame:
+    """What the mix takes: ``doc_id, source, size, source_size, target, times``, a row per input row.
+
+    ``size`` is the number of words, ``times`` how often the document is taken (whole passes of
+    its source plus the balanced sample). Same input, same result, however it is partitioned.
+
+    Null or empty text: size 0. Null source: a source of its own, last. Null doc_id: last, one id.
+    Rows that share an id are drawn one by one. Empty table: empty result. Other columns only tell
+    rows apart. Settings: weights, share, most, block, seed.
+    """
+    rows = drawn_units(docs, **settings).select("*", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    times = F.col("passes") + F.when(F.col("copy") <= F.col("more"), 1).otherwise(0)
+    return rows.select(original_id(), "source", "size", "source_size", "target", times.alias("times"))
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs``, each as often as :func:`mix` takes it."""
-    taken = mix(docs, **settings).where("times > 0")
-    key, source, size, again = fresh(docs, "_id", "_source", "_size", "_again")
-    taken = taken.select(
-        F.coalesce("doc_id", F.lit(BIGGEST)).alias(key), F.struct("source").alias(source), F.col("size").alias(size), F.col("times").alias(again)
-    ).distinct()
-    marked = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(BIGGEST)))
-    marked = marked.withColumn(source, F.struct(F.col("source").cast("string").alias("source")))
-    marked = marked.withColumn(size, words_in(F.col("text").cast("string")))
-    rows = marked.join(taken, [key, source, size])
-    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col(again)))
-    return rows.withColumn(again, copies).select(*(F.col(f"`{c}`") for c in docs.columns))
+    units = materialise(drawn_units(docs, **settings).where("passes > 0 OR more > 0"), "drawn")
+    key, row, again = fresh(docs, "_id", "_row", "_again")
+    marked = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(BIGGEST))).withColumn(row, _row_hash(docs))
+    names = [F.col("doc_id").alias(key), F.col("row").alias(row)]
+    each = F.when(F.col("copies") == 1, F.col("passes") + F.col("more")).otherwise(F.col("passes")).alias(again)
+    more = units.where("copies > 1 AND more > 0").select(*names, F.col("more").alias(again))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+
+    def repeated(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(again, F.explode(F.sequence(F.lit(1).cast("long"), F.col(again)))).select(*columns)
+
+    rows = repeated(marked.join(units.select(*names, each).where(F.col(again) > 0), [key, row]))
+    return rows.unionByName(repeated(marked.join(more, [key, row]).dropDuplicates([key, row])))

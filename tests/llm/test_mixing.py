@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from slotwise.llm.mixing import balanced_sample, fly, mix, mixed_documents, source_targets
+from slotwise.llm.mixing import UNIT, balanced_sample, fly, mix, mixed_documents, source_targets
 
 
 def plain_targets(sizes):
@@ -77,7 +77,6 @@ def test_odd_rows(odd):
     got = mix(odd).collect()
     assert len(got) == odd.count()
     assert {r["source"] for r in got} == {"a", "b", "c", None}
-    assert len({r["times"] for r in got if r["doc_id"] == 1 and r["size"] == 7}) == 1
     rows = mixed_documents(odd)
     assert rows.columns == odd.columns
     assert rows.count() == sum(r["times"] for r in got)
@@ -88,5 +87,21 @@ def test_empty_table(empty):
 
 
 def test_nothing_to_draw(spark):
-    units = spark.createDataFrame([("a", 1, 5, 1, 0.0, 0.0)], "source string, doc_id long, size long, copies long, start double, p double")
-    assert balanced_sample(units).count() == 1
+    assert balanced_sample(spark.createDataFrame([("a", 1, 5, 7, 1, 0, 0.0, 0.0)], UNIT)).count() == 1
+
+
+def test_rows_that_share_an_id_are_drawn_one_by_one(spark):
+    """Contents and sizes alike under one id, and without any: every source still comes near its target."""
+    rows = [(None, "abc"[i % 10 // 4], " ".join(["w"] * (10 if i % 3 else 7 + i % 11)), i % 2) for i in range(4000)]
+    rows += [(5, "a", "one two three", 0)] * 1000
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, copy int")
+    got = mix(docs, block=100).collect()
+    assert len(got) == 5000
+    for source in "abc":
+        own = [r for r in got if r["source"] == source]
+        assert abs(sum(r["times"] * r["size"] for r in own) - own[0]["target"]) <= 2 * max(r["size"] for r in own)
+        assert all(0 <= r["times"] <= 2 for r in own)
+    taken = mixed_documents(docs, block=100)
+    assert taken.count() == sum(r["times"] for r in got)
+    sizes = {s: sum(len(r["text"].split()) for r in taken.collect() if r["source"] == s) for s in "abc"}
+    assert sizes == {s: sum(r["times"] * r["size"] for r in got if r["source"] == s) for s in "abc"}
