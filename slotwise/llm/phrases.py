@@ -386,12 +386,13 @@ def _next(batches):
 
 
 def running(rows: DataFrame, *order) -> DataFrame:
-    """``rows`` (lang, n, more) with ``rank``, their number by ``order`` within the language from 1, and ``before``,
-    the sum of n of the rows before. Sums over range partitions take the place of a sort in one task."""
+    """``rows`` (lang, n, more) with ``rank``, their number by ``order`` within the language from 1, ``before``, the
+    sum of n of the rows before, and ``mass``, that of all rows of the language. Sums over range partitions take the
+    place of a sort in one task."""
     dealt = materialise(rows.repartitionByRange("lang", *order).withColumn("part", F.spark_partition_id()), "running")
     sizes = dealt.groupBy("lang", "part").agg(F.count("*").alias("rows"), F.sum("n").alias("mass"))
     earlier = Window.partitionBy("lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("lang", "part", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("rows", "mass")))
+    sizes = sizes.select("lang", "part", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("rows", "mass")), F.sum("mass").over(Window.partitionBy("lang")).alias("mass"))
     own = Window.partitionBy("lang", "part").orderBy(*order)
     mass = F.coalesce(F.sum("n").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = dealt.withColumns({"rank": F.row_number().over(own).cast("long"), "before": mass}).join(sizes, ["lang", "part"])
@@ -403,10 +404,9 @@ def ranges(units: DataFrame) -> DataFrame:
 
     The number of ranges is the square root of the tiles a language should have.
     """
-    mass = units.groupBy("lang").agg(F.sum("n").alias("mass"), F.max("id").alias("last"))
     count = F.greatest(F.lit(LEAST_RANGES), F.ceil(F.sqrt(F.col("mass") / TILE_PAIRS)))
     number = F.floor(F.col("before").cast("double") * count / F.col("mass"))
-    firsts = units.select("lang", "id", "before").join(mass, "lang").groupBy("lang", "last", number.alias("range")).agg(F.min("id").alias("lo"))
+    firsts = units.groupBy("lang", number.alias("range")).agg(F.min("id").alias("lo"), F.max("id").alias("last"))
     bounds = firsts.groupBy("lang").agg(F.array_append(F.sort_array(F.collect_list("lo")), F.max("last") + 1).alias("bounds"))
     bounds = materialise(bounds, "bounds")
     size = bounds.agg(F.sum(F.size("bounds"))).first()[0] or 0
@@ -469,7 +469,7 @@ def phrases(docs: DataFrame, max_words: int = 3, least: int = 10, top: int = 200
     known = materialise(lists.mapInArrow(partial(_vocabulary, buckets=buckets, least=least), VOCABULARY), "vocabulary")
     totals = known.where("id = 0").groupBy("lang").agg(F.sum("n").alias("total"))
     none = F.array().cast("array<long>")
-    units = running(known.where("id > 0").select("lang", "id", "n", "word"), "id").select("lang", "id", "before", "n", F.col("word").alias("phrase"), none.alias("pre"), none.alias("suf"))
+    units = running(known.where("id > 0").select("lang", "id", "n", "word"), "id").select("lang", "id", "before", "mass", "n", F.col("word").alias("phrase"), none.alias("pre"), none.alias("suf"))
     units = materialise(units, "units")
     rows = blocks.where("bucket < 0").select("block", "lang", *_nulls(first="int"), "data")
     rows = rows.unionByName(known.where("block IS NOT NULL").select("block", "lang", "first", "data"))
@@ -482,7 +482,7 @@ def phrases(docs: DataFrame, max_words: int = 3, least: int = 10, top: int = 200
         wide = pairs.join(one, ["lang", "a"]).join(two, ["lang", "b"])
         units = materialise(
             wide.select(
-                "lang", "id", "before", "n", "a", "b",
+                "lang", "id", "before", "mass", "n", "a", "b",
                 F.concat("phrase_a", F.lit(" "), F.substring_index("phrase_b", " ", -1)).alias("phrase"),
                 F.array_append("pre_a", F.col("n_a")).alias("pre"),
                 F.array_append("suf_b", F.col("n_b")).alias("suf"),
