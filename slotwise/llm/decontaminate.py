@@ -1,15 +1,15 @@
 """Benchmark passages in documents, by winnowing.
 
-Method: of every ``window`` consecutive words (10) the smallest hash of its 5-word grams is kept,
-with its place, as fingerprint. Two equal windows keep the same gram at the same place, so every
-shared span of 10 words or more is found. Test windows are joined to training windows by
-fingerprint and place; a hit is then extended to the whole window and compared word by word, and
-the windows of a document merge into spans. Items of fewer words are one window of their own
-length, whose only gram is all of it.
-
-Only DataFrame functions run here. At scale: the documents are not shuffled, as long as the
-distinct test windows stay below ``broadcast_rows`` (they are counted first); above, both sides
-are joined by a shuffle. Windows shared by many items are one row with the list of items.
+Method: of every ``window`` consecutive words (10) the 5-word gram with the smallest hash is kept, the first of equal
+ones; neighbouring windows mostly keep the same gram, so about three of ten grams are left. Two equal windows keep
+the same gram at the same place, so every shared span of 10 words or more has a kept gram in common. Kept grams of
+items are joined to those of documents by hash; a hit is extended word by word to both sides, as far as the window
+reaches, and is one if it is a window long. Its words are those of equal windows. Items of fewer words are one window
+of their own length, whose only gram is all of it.
+
+Only DataFrame functions run here. At scale: the documents are not shuffled, as long as the kept grams of the items
+stay below ``broadcast_rows`` (they are counted first); above, both sides are joined by a shuffle. Grams that many
+items have with the same words around them are one row; the items are looked up for hits alone.
 """
 
 from __future__ import annotations
@@ -44,11 +44,31 @@ def _fingerprint(hashes: str, at: Column, length: int) -> Column:
     return F.least(*grams) if len(grams) > 1 else grams[0]
 
 
-def _windows(rows: DataFrame, length: int) -> DataFrame:
-    """A row per window of ``length`` words with its fingerprint; ``rows`` has ``words`` and ``hashes``."""
-    many = F.size("hashes")
+def _kept(rows: DataFrame, length: int) -> DataFrame:
+    """A row per kept gram of the windows of ``length`` words: its place ``at``, its hash ``fp``, the words ``left`` of it
+    and ``right`` from its first on, as far as windows with it reach; ``rows`` has ``words`` and ``hashes``."""
+    many, gram = F.size("hashes"), GRAM if length >= WINDOW else length
     starts = F.when(many >= length, F.sequence(F.lit(0), many - length)).otherwise(F.array().cast("array<int>"))
-    return rows.withColumn("at", F.explode(starts)).withColumn("fp", _fingerprint("hashes", F.col("at"), length)).withColumn("length", F.lit(length))
+    if length > gram:
+        starts = F.array_distinct(F.transform(starts, lambda at: at + _fingerprint("hashes", at, length).bitwiseAND(F.lit(7)).cast("int")))
+    rows = rows.withColumn("at", F.explode(starts)).withColumn("length", F.lit(length))
+    at, reach = F.col("at"), F.least(F.col("at"), F.lit(length - gram))
+    return rows.withColumns(
+        {
+            "fp": F.xxhash64(F.lit(length), *(F.get("hashes", at + j) for j in range(gram))),
+            "left": F.slice("words", at - reach + 1, reach),
+            "right": F.slice("words", at + 1, F.lit(length)),
+        }
+    )
+
+
+def _alike(a: str, b: str, places: list[int]) -> Column:
+    """How many of the words at ``places`` (from 1; from the end if negative) are equal before the first that are not."""
+    out = F.lit(0)
+    for i, place in reversed(list(enumerate(places, 1))):
+        equal = F.try_element_at(F.col(a), F.lit(place)) == F.try_element_at(F.col(b), F.lit(place))
+        out = F.when(F.coalesce(equal, F.lit(False)), F.greatest(F.lit(i), out)).otherwise(F.lit(0))
+    return out
 
 
 def _hashed(rows: DataFrame) -> DataFrame:
@@ -56,35 +76,38 @@ def _hashed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
 
 
-def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``length, fp, passage, items``: the distinct windows of all items and the items that hold them."""
+def benchmark_grams(benchmark: DataFrame) -> DataFrame:
+    """``length, fp, left, right, item_id``: the kept grams of all items with the words around them."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = _hashed(items).where(F.size("words") > 0)
-    parts = [_windows(items, WINDOW)] + [_windows(items.where(F.size("words") == n), n) for n in range(1, WINDOW)]
+    parts = [_kept(items, WINDOW)] + [_kept(items.where(F.size("words") == n), n) for n in range(1, WINDOW)]
     out = None
     for part in parts:
-        passage = F.array_join(F.slice("words", F.col("at") + 1, F.col("length")), " ")
-        part = part.select("length", "fp", passage.alias("passage"), "item_id")
+        part = part.select("length", "fp", "left", "right", "item_id")
         out = part if out is None else out.unionByName(part)
-    return out.groupBy("length", "fp", "passage").agg(F.collect_set("item_id").alias("items"))
+    return out.distinct()
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``doc_id, text_hash, begin, end, items``: windows of documents that are windows of items (word numbers, end exclusive)."""
-    known = materialise(benchmark_windows(benchmark), "benchmark-windows")
+def hits(docs: DataFrame, grams: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``doc_id, text_hash, begin, end, length, fp, known_left, known_right``: spans of documents that consist of windows of
+    items (word numbers, end exclusive), and which of ``grams`` has them."""
+    known = materialise(grams.select("length", "fp", "left", "right").distinct(), "benchmark-grams")
     size = {r["length"]: r["n"] for r in known.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ten rows
     keyed = key_and_text(docs)
     rows = _hashed(keyed.withColumn("text_hash", F.xxhash64("text")))
     out = None
     for length in sorted(size) or [WINDOW]:
-        test = known.where(F.col("length") == length).select("fp", "passage", "items")
+        test = known.where(F.col("length") == length).select("fp", F.col("left").alias("known_left"), F.col("right").alias("known_right"))
         if size.get(length, 0) <= broadcast_rows:
             test = F.broadcast(test)
-        found = _windows(rows, length).select("doc_id", "text_hash", "at", "words", "fp").join(test, "fp")
-        passage = F.array_join(F.slice("words", F.col("at") + 1, length), " ")
-        # Not written as an equality, which Spark would make a join key and so build every window's text.
-        found = found.where(F.array_contains(F.array("passage"), passage))
-        found = found.select("doc_id", "text_hash", F.col("at").alias("begin"), (F.col("at") + length).alias("end"), "items")
+        found = _kept(rows, length).select("doc_id", "text_hash", "at", "left", "right", "fp").join(test, "fp")
+        before = _alike("left", "known_left", [-k for k in range(1, length - GRAM + 1)])
+        found = found.withColumns({"before": before, "after": _alike("right", "known_right", list(range(1, length + 1)))})
+        found = found.where((F.col("after") >= min(GRAM, length)) & (F.col("before") + F.col("after") >= length))
+        found = found.select(
+            "doc_id", "text_hash", (F.col("at") - F.col("before")).alias("begin"), (F.col("at") + F.col("after")).alias("end"),
+            F.lit(length).alias("length"), "fp", "known_left", "known_right",
+        )
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -96,12 +119,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = B
     but are not listed. Null doc_ids are kept as one id, last. Rows that share doc_id and text
     are counted once and get the same result. Other columns are ignored.
     """
-    found = materialise(hits(docs, benchmark, broadcast_rows).dropDuplicates(["doc_id", "text_hash", "begin", "end"]), "hits")
+    grams = materialise(benchmark_grams(benchmark), "item-grams")
+    found = materialise(hits(docs, grams, broadcast_rows), "hits")
     key = ["doc_id", "text_hash"]
+    spans = found.select(*key, "begin", "end").distinct()
     earlier = Window.partitionBy(*key).orderBy("begin", "end").rowsBetween(Window.unboundedPreceding, -1)
     reached = F.greatest(F.col("begin"), F.coalesce(F.max("end").over(earlier), F.lit(0)))
-    covered = found.select(*key, F.greatest(F.col("end") - reached, F.lit(0)).alias("new")).groupBy(*key).agg(F.sum("new").alias("n_hit"))
-    listed = found.select(*key, F.explode("items").alias("item")).distinct().groupBy(*key).agg(F.sort_array(F.collect_list("item")).alias("items"))
+    covered = spans.select(*key, F.greatest(F.col("end") - reached, F.lit(0)).alias("new")).groupBy(*key).agg(F.sum("new").alias("n_hit"))
+    named = grams.where("item_id IS NOT NULL").select("length", "fp", F.col("left").alias("known_left"), F.col("right").alias("known_right"), F.col("item_id").alias("item"))
+    held = found.select(*key, "length", "fp", "known_left", "known_right").distinct().join(named, ["length", "fp", "known_left", "known_right"])
+    listed = held.select(*key, "item").distinct().groupBy(*key).agg(F.sort_array(F.collect_list("item")).alias("items"))
     per_text = covered.join(listed, key, "left")
     rows = key_and_text(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
     joined = rows.join(per_text, key, "left")
@@ -113,7 +140,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = B
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` without a hit, all columns as they are."""
     key, hashed = fresh(docs, "_id", "_hash")
-    bad = hits(docs, benchmark, **settings).select(F.col("doc_id").alias(key), F.col("text_hash").alias(hashed)).distinct()
+    grams = materialise(benchmark_grams(benchmark), "item-grams")
+    bad = hits(docs, grams, **settings).select(F.col("doc_id").alias(key), F.col("text_hash").alias(hashed)).distinct()
     marked = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(BIGGEST))).withColumn(hashed, F.xxhash64(F.col("text").cast("string")))
     return marked.join(materialise(bad, "contaminated"), [key, hashed], "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 

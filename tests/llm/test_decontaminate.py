@@ -6,7 +6,7 @@ import re
 import pytest
 
 from .conftest import SF
-from slotwise.llm.decontaminate import contamination, digest, hits, without_contaminated
+from slotwise.llm.decontaminate import _hashed, _kept, benchmark_grams, contamination, digest, hits, without_contaminated
 
 
 def words(text):
@@ -66,6 +66,28 @@ def test_shared_spans_of_ten_words_are_never_missed(spark):
     assert all(r["n_hit"] == 10 for r in got)
 
 
+def test_windows_keep_few_grams_and_one_each(docs):
+    rows = _hashed(docs.select("doc_id", "text")).cache()
+    total = rows.selectExpr("sum(greatest(size(words) - 9, 0))").first()[0]
+    kept = {}
+    for r in _kept(rows, 10).select("doc_id", "at", "words").collect():
+        kept.setdefault(r["doc_id"], (len(r["words"]), set()))[1].add(r["at"])
+    assert 0.2 * total < sum(len(p) for _, p in kept.values()) < 0.4 * total
+    for n, places in kept.values():
+        assert all(any(p in places for p in range(at, at + 6)) for at in range(n - 9))
+    rows.unpersist()
+
+
+def test_hits_extend_to_both_sides(spark):
+    item = [f"q{i}" for i in range(40)]
+    texts = ["a b " + " ".join(item[5:20]) + " c", " ".join(item[:10]), " ".join(item[31:]), " ".join(item[3:12] + ["x"] + item[12:20]), " ".join(item + item)]
+    docs = list(enumerate(texts))
+    items = [(1, " ".join(item)), (2, " ".join(item[8:30])), (3, " ".join(item[5:14]))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((tuple(r) for r in digest(contamination(spark.createDataFrame(docs, "doc_id long, text string"), benchmark)).collect()), key=str)
+    assert got == brute(docs, items)
+
+
 def test_empty_tables(docs, benchmark):
     assert contamination(docs.limit(0), benchmark).count() == 0
     clean = contamination(docs, benchmark.limit(0))
@@ -73,5 +95,5 @@ def test_empty_tables(docs, benchmark):
 
 
 def test_no_python(docs, benchmark):
-    plan = hits(docs, benchmark)._jdf.queryExecution().toString()
+    plan = hits(docs, benchmark_grams(benchmark))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
