@@ -1,8 +1,12 @@
 """Toxic spans by a linear-chain conditional random field, and a score per document from its marginals.
 
+Tokens are runs of letters, digits and characters beyond ASCII; characters of three or four bytes (scripts without
+spaces among them) are a token each. Features of a token are its first 4, 5, 6 and 8 bytes and all of it; a wide
+character's go on into the two characters after it, so they are its n-grams and every byte of a text is in one.
+
 Labels exist for documents, so tokens are labelled from them: a token of a toxic document is toxic
-if one of its features (its first 4, 5, 6 or 8 bytes) is far more frequent in toxic than in clean
-training documents; all other tokens are not. The field has two tags, weights for the features,
+if one of its features is far more frequent in toxic than in clean training documents; all other
+tokens are not. The field has two tags, weights for the features,
 a bias, four transitions and two starts, fitted by gradient steps on windows around tokens that have
 features. Forward-backward marginals of these tokens add up to a document's evidence, which
 a logistic curve, fitted on training documents the field has not seen, turns into the score.
@@ -10,8 +14,9 @@ a logistic curve, fitted on training documents the field has not seen, turns int
 Tokens without a known feature all have the same potentials, so a run of them is one power of
 one 2 x 2 matrix: marginals are those of the whole text, at the cost of its few telling tokens.
 
-Fitting takes at most ``sample`` labelled documents of each class, those with the smallest hash of
-doc_id, of at most ``sample_bytes`` bytes each; scoring reads every whole text, without a shuffle.
+Fitting is bounded by parameters: ``sample`` labelled documents of each class of at most ``sample_bytes`` bytes, those
+with the smallest hash of doc_id; ``most_features`` features, the most telling; windows around ``most_telling`` telling
+tokens and ``most_other`` others, evenly over the sample. Scoring reads every whole text, without a shuffle.
 """
 
 from __future__ import annotations
@@ -22,11 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from slotwise.llm.text import LOWER, U64, mixed, pair_hash, slices, text_bytes, word_spans
+from slotwise.llm.text import LOWER, U64, mixed, pair_hash, slices, span_hashes, text_bytes, word_spans
+from slotwise.session import materialise
 
 SAMPLE = 2_000
 SAMPLE_BYTES = 20_000
 FEATURES = 5_000
+TELLING, OTHER = 5_000, 2_000
 LENGTHS = (4, 5, 6, 8)
 WINDOW = 5  # tokens on each side of a telling token
 THRESHOLD = 0.7
@@ -39,18 +46,31 @@ _MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], U64)
 
 
 def tokens(buffer: np.ndarray, offsets: np.ndarray):
-    """Begin, end, tokens before each text, and the first eight bytes of each token, A-Z lowered."""
+    """Begin, end, tokens before each text, the first eight bytes of each token and where its features end, A-Z lowered;
+    and the lowered bytes."""
     n = int(offsets[-1])
     lowered = buffer.copy()
     lowered[:n] = LOWER[buffer[:n]]
     begin, end, first = word_spans(lowered, offsets, TOKEN)
+    reach = end
+    if n and int(lowered[:n].max()) >= 0xE0:
+        points = np.flatnonzero(((lowered[:n] & 0xC0) != 0x80) & TOKEN[lowered[:n]])
+        run = np.searchsorted(begin, points, "right") - 1
+        wide = lowered[points] >= 0xE0
+        starts = np.flatnonzero((points == begin[run]) | wide | np.concatenate([[False], wide[:-1]]))
+        stop, third = end[run[starts]], np.append(points, [n, n, n])[starts + 3]
+        begin = points[starts]
+        end = np.minimum(np.append(begin[1:], n), stop)
+        reach = np.where(wide[starts], np.minimum(third, stop), end)
+        first = np.searchsorted(begin, offsets)
     lanes = np.ndarray((n + 1,), "<u8", lowered, strides=(1,))
-    return begin, end, first, lanes[begin] & _MASK[np.minimum(end - begin, 8)]
+    return begin, end, first, lanes[begin] & _MASK[np.minimum(reach - begin, 8)], reach, lowered
 
 
-def features(head: np.ndarray) -> np.ndarray:
-    """One hash per token and prefix length, shape (lengths, tokens)."""
-    return np.stack([mixed((head & _MASK[k]) ^ U64(0x9E3779B97F4A7C15 * k % (1 << 64))) for k in LENGTHS])
+def features(head: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """One hash per token and prefix length, and one of the whole token: shape (lengths + 1, tokens)."""
+    prefixes = [mixed((head & _MASK[k]) ^ U64(0x9E3779B97F4A7C15 * k % (1 << 64))) for k in LENGTHS]
+    return np.stack([*prefixes, mixed(whole ^ U64(0x632BE59BD9B4E019))])
 
 
 def _filter(values: np.ndarray) -> np.ndarray:
@@ -175,10 +195,10 @@ def marginals(places: list[int], energy: list[float], length: int, field: dict)
 
 
 def _lists(texts: list[str]):
-    """Feature hashes (lengths, tokens) and tokens before each text."""
+    """Feature hashes (lengths + 1, tokens) and tokens before each text."""
     buffer, offsets = text_bytes(pa.array(texts, pa.large_string()))
-    _, _, first, head = tokens(buffer, offsets)
-    return features(head), first
+    begin, _, first, head, reach, lowered = tokens(buffer, offsets)
+    return features(head, span_hashes(lowered, begin, reach)), first
 
 
 def _frequencies(hashes: np.ndarray, first: np.ndarray, toxic: np.ndarray):
@@ -191,7 +211,7 @@ def _frequencies(hashes: np.ndarray, first: np.ndarray, toxic: np.ndarray):
     return known, np.bincount(inverse, bad, len(known)), np.bincount(inverse, ~bad, len(known))
 
 
-def _fit_field(texts: list[str], toxic: np.ndarray, most_features: int) -> dict:
+def _fit_field(texts: list[str], toxic: np.ndarray, most_features: int, most_telling: int, most_other: int) -> dict:
     """Known features, the first hashes of the tokens that have one, and the fitted field."""
     hashes, first = _lists(texts)
     known, bad, good = _frequencies(hashes, first, toxic)
@@ -207,7 +227,7 @@ def _fit_field(texts: list[str], toxic: np.ndarray, most_features: int) -> dict:
     if len(telling):
         doc = np.repeat(np.arange(len(texts)), np.diff(first))
         tag = np.append(False, strong)[ids].any(axis=1) & toxic[doc]
-        centre = np.concatenate([telling[:: max(1, len(telling) // 5_000)], rest[:: max(1, len(rest) // 2_000)]])
+        centre = np.concatenate([telling[:: -(-len(telling) // most_telling)], rest[:: max(1, -(-len(rest) // most_other))]])
         span = centre[:, None] + np.arange(-WINDOW, WINDOW + 1)
         here = (span >= first[doc[centre]][:, None]) & (span < first[doc[centre] + 1][:, None])
         order = np.argsort(~here, axis=1, kind="stable")  # tokens that exist come first
@@ -217,11 +237,14 @@ def _fit_field(texts: list[str], toxic: np.ndarray, most_features: int) -> dict:
     return {"known": known, "heads": np.unique(hashes[0][telling]), "field": field.plain()}
 
 
-def fit(texts: list[str], toxic: list[int], shares: tuple[float, float], most_features: int = FEATURES) -> dict:
+def fit(
+    texts: list[str], toxic: list[int], shares: tuple[float, float], most_features: int = FEATURES, most_telling: int = TELLING, most_other: int = OTHER
+) -> dict:
     """A model from labelled texts; ``shares``: weight of a clean and of a toxic text in the calibration.
 
     The curve is fitted on evidence from fields that have not seen the text: one half scores the other.
     """
+    bounds = (most_features, most_telling, most_other)
     toxic = np.array(toxic, bool)
     weight = np.where(toxic, shares[1], shares[0])
     prior = (weight[toxic].sum() + 0.5) / (weight.sum() + 10)
@@ -233,10 +256,10 @@ def fit(texts: list[str], toxic: list[int], shares: tuple[float, float], most_fe
         return model
     evidence = np.zeros((len(texts), 2))
     for learn in (half, ~half):
-        part = _fit_field([t for t, x in zip(texts, learn) if x], toxic[learn], most_features)
+        part = _fit_field([t for t, x in zip(texts, learn) if x], toxic[learn], *bounds)
         buffer, offsets = text_bytes(pa.array([t for t, x in zip(texts, learn) if not x], pa.large_string()))
         evidence[~learn] = [e for e, _, _ in _evidence(buffer, offsets, part)]
-    return model | _fit_field(texts, toxic, most_features) | {"curve": _logistic(evidence, toxic, weight)}
+    return model | _fit_field(texts, toxic, *bounds) | {"curve": _logistic(evidence, toxic, weight)}
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
@@ -256,13 +279,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 
 def _evidence(buffer: np.ndarray, offsets: np.ndarray, model: dict):
     """For each text: (log of 1 + summed squares of distinct tokens' marginals, largest marginal), spans in bytes, their marginals."""
-    begin, end, first, head = tokens(buffer, offsets)
+    begin, end, first, head, reach, lowered = tokens(buffer, offsets)
     known = model["known"]
     short = mixed((head & _MASK[LENGTHS[0]]) ^ U64(0x9E3779B97F4A7C15 * LENGTHS[0] % (1 << 64)))
     maybe = np.flatnonzero(_filter(model["heads"])[short & U64(0xFFFF)])
-    at = np.stack([_find(known, h) for h in features(head[maybe])])
+    whole = span_hashes(lowered, begin[maybe], reach[maybe])
+    at = np.stack([_find(known, h) for h in features(head[maybe], whole)])
     has = (at >= 0).any(axis=0)
-    telling, at = maybe[has], at[:, has]
+    telling, at, whole = maybe[has], at[:, has], whole[has]
     theta = model["field"]["theta"]
     energy = np.where(at >= 0, theta[at] if len(theta) else 0.0, 0.0).sum(axis=0)
     cut = np.searchsorted(telling, first)
@@ -274,7 +298,7 @@ def _evidence(buffer: np.ndarray, offsets: np.ndarray, model: dict):
         mine = telling[lo:hi]
         p = marginals((mine - first[d]).tolist(), energy[lo:hi].tolist(), int(first[d + 1] - first[d]), model["field"])
         best = {}  # a token that comes again and again is evidence once
-        for word, q in zip(head[mine].tolist(), p):
+        for word, q in zip(whole[lo:hi].tolist(), p):
             best[word] = max(q, best.get(word, 0.0))
         yield (float(np.log1p(sum(q * q for q in best.values()))), max(p)), list(zip(begin[mine].tolist(), end[mine].tolist())), p
 
@@ -313,26 +337,30 @@ def fold_of(doc_id, folds: int = 3):
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds))
 
 
-def fit_on_labels(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> dict:
+def fit_on_labels(
+    docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, **bounds: int
+) -> dict:
     """A model from the labels of documents whose crc32(doc_id as text) mod ``folds`` is not ``fold``.
 
-    Null labels and null doc_ids are left out; a document with several labels is toxic if one is.
+    Null labels and null doc_ids are left out; a document with several labels is toxic if one is. The sample is
+    taken from documents within ``sample_bytes``, so a longer one gives its place to another.
     """
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id")) != fold))
     usable = usable.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(F.col("toxic").cast("int")).alias("label"))
     counts = {r["label"]: r["n"] for r in usable.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    texts = texts.where(F.col("text").isNotNull() & (F.octet_length("text") <= sample_bytes))
+    open_ = materialise(usable.join(texts.select("id"), "id", "left_semi"), "labelled")
     picked = None
     for label in (0, 1):
-        part = usable.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(sample)
+        part = open_.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(sample)
         picked = part if picked is None else picked.unionByName(part)
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    texts = texts.where(F.col("text").isNotNull() & (F.octet_length("text") <= sample_bytes))
     rows = texts.join(F.broadcast(picked), "id")  # at most 2 * sample rows of two numbers
     rows = rows.groupBy("id").agg(F.max("label").alias("label"), F.max("text").alias("text")).orderBy(F.xxhash64("id", F.lit(1)), "id")
     found = rows.collect()
     seen = {k: max(1, sum(r["label"] == k for r in found)) for k in (0, 1)}
     shares = tuple(counts.get(k, 0) / seen[k] for k in (0, 1))
-    return fit([r["text"] for r in found], [r["label"] for r in found], shares)
+    return fit([r["text"] for r in found], [r["label"] for r in found], shares, **bounds)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **settings) -> DataFrame:

@@ -2,13 +2,16 @@ from __future__ import annotations
 
 import itertools
 import random
+import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
 
 from slotwise.llm import toxicity
+from slotwise.llm.text import span_hashes, text_bytes
 from slotwise.llm.toxicity import _Field, marginals, without_toxic
 
 BAD = ["idiotic", "moronish", "scumbag", "pathetical", "clownlike", "trashy"]
@@ -86,6 +89,64 @@ def test_held_out_documents_are_told_apart(corpus):
     assert without_toxic(docs, labels).count() == got.where("predicted = 0").count()
 
 
+def plain_tokens(text):
+    """Tokens and the string their features are taken from."""
+    out = []
+    for run in re.findall("[0-9a-z\u0080-\U0010ffff]+", "".join(c.lower() if c.isascii() else c for c in text)):
+        at = 0
+        while at < len(run):
+            stop = at + 1
+            if ord(run[at]) < 0x800:
+                while stop < len(run) and ord(run[stop]) < 0x800:
+                    stop += 1
+                out.append((run[at:stop], run[at:stop]))
+            else:
+                out.append((run[at], run[at : at + 3]))
+            at = stop
+    return out
+
+
+def test_tokens_of_all_scripts():
+    texts = ["Considerate considerably x1", "", "這是一個壞 蛋abc貓 мороз ÀÉ", "\U0001f600\U0001f600ok！好", " . ", "ไทยคำ"]
+    buffer, offsets = text_bytes(pa.array(texts))
+    begin, end, first, head, reach, lowered = toxicity.tokens(buffer, offsets)
+    data = lowered.tobytes()
+    for i, text in enumerate(texts):
+        got = [(data[begin[k] : end[k]].decode(), data[begin[k] : reach[k]].decode()) for k in range(first[i], first[i + 1])]
+        assert got == plain_tokens(text)
+    every = toxicity.features(head, span_hashes(lowered, begin, reach))
+    assert every[3, 0] == every[3, 1] and every[4, 0] != every[4, 1]  # eight bytes alike, the words not
+
+
+def test_words_without_spaces_and_with_a_long_beginning(spark):
+    """A toxic word inside a paragraph that is one run, and one that differs after its eighth byte."""
+    rng = random.Random(3)
+    clean = [chr(0x4E00 + i) for i in range(300)]
+    data = []
+    for i in range(900):
+        bad = i % 4 == 0
+        text = [rng.choice(clean) for _ in range(60)]
+        words = [f"considerat{rng.choice(['e', 'ion', 'ely'])}" for _ in range(5)]
+        if bad and i % 8:
+            text[rng.randrange(20, 50)] = "壞蛋人"
+        elif bad:
+            words[2] = "considerXX"
+        data.append((i, "".join(text) + " " + " ".join(words), int(bad)))
+    docs = spark.createDataFrame([d[:2] for d in data], "doc_id long, text string")
+    labels = spark.createDataFrame([(d[0], d[2]) for d in data], "doc_id long, toxic long")
+    held = toxicity.toxicity(docs, labels).where(toxicity.fold_of(F.col("doc_id")) == 1).join(labels, "doc_id").collect()
+    assert sum(r["predicted"] == r["toxic"] for r in held) >= 0.98 * len(held) and sum(r["toxic"] for r in held) > 50
+
+
+def test_long_labelled_documents_are_replaced_in_the_sample(corpus, monkeypatch):
+    docs, labels = corpus
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, *rest, **more: seen.append(texts))
+    long = docs.withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.repeat("text", F.lit(100))).otherwise(F.col("text")))
+    toxicity.fit_on_labels(long, labels, sample=40, sample_bytes=2_000)
+    assert len(seen[0]) == 80
+
+
 def test_labels_of_the_held_out_fold_change_nothing(corpus):
     docs, labels = corpus
     flipped = labels.withColumn("toxic", F.when(toxicity.fold_of(F.col("doc_id")) == 1, 1 - F.col("toxic")).otherwise(F.col("toxic")))
