@@ -34,32 +34,36 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(lowered, F.lit("")), BREAK), lambda w: w != "")
 
 
-def _fingerprint(hashes: str, at: Column, length: int) -> Column:
-    """The smallest gram hash of the window of word hashes at ``at`` (from 0); its low three bits are its place."""
-    gram = GRAM if length >= WINDOW else length
-    grams = [
-        F.xxhash64(F.lit(length), *(F.get(F.col(hashes), at + (k + j)) for j in range(gram))).bitwiseAND(F.lit(~7)).bitwiseOR(F.lit(k))
-        for k in range(length - gram + 1)
-    ]
-    return F.least(*grams) if len(grams) > 1 else grams[0]
+def _gram(at: Column, length: int) -> Column:
+    """Hash of the gram at ``at`` (from 0), which belongs to windows of ``length`` words."""
+    return F.xxhash64(F.lit(length), *(F.get("hashes", at + j) for j in range(GRAM if length >= WINDOW else length)))
+
+
+def _smallest(at: Column, first: int, length: int) -> Column:
+    """The smallest gram hash of the window that begins ``first`` words from ``at``; its low three bits are its place there."""
+    grams = [_gram(at + (first + k), length).bitwiseAND(F.lit(~7)).bitwiseOR(F.lit(k)) for k in range(length - GRAM + 1)]
+    return F.least(*grams)
 
 
 def _kept(rows: DataFrame, length: int) -> DataFrame:
     """A row per kept gram of the windows of ``length`` words: its place ``at``, its hash ``fp``, the words ``left`` of it
-    and ``right`` from its first on, as far as windows with it reach; ``rows`` has ``words`` and ``hashes``."""
+    and ``right`` from its first on, as far as windows with it reach; ``rows`` has ``words`` and ``hashes``.
+
+    Of a window the smallest gram is kept, the first of equal ones, so its place never moves back from one window to
+    the next: a window that keeps what the one before kept is left out.
+    """
     many, gram = F.size("hashes"), GRAM if length >= WINDOW else length
     starts = F.when(many >= length, F.sequence(F.lit(0), many - length)).otherwise(F.array().cast("array<int>"))
-    if length > gram:
-        starts = F.array_distinct(F.transform(starts, lambda at: at + _fingerprint("hashes", at, length).bitwiseAND(F.lit(7)).cast("int")))
     rows = rows.withColumn("at", F.explode(starts)).withColumn("length", F.lit(length))
+    if length > gram:
+        place = lambda f: F.col(f).bitwiseAND(F.lit(7)).cast("int")
+        rows = rows.withColumns({"fp": _smallest(F.col("at"), 0, length), "before": _smallest(F.col("at"), -1, length)})
+        rows = rows.where((F.col("at") == 0) | (place("fp") + 1 != place("before")))
+        rows = rows.withColumn("at", F.col("at") + place("fp")).withColumn("fp", F.col("fp").bitwiseAND(F.lit(~7))).drop("before")
+    else:
+        rows = rows.withColumn("fp", _gram(F.col("at"), length))
     at, reach = F.col("at"), F.least(F.col("at"), F.lit(length - gram))
-    return rows.withColumns(
-        {
-            "fp": F.xxhash64(F.lit(length), *(F.get("hashes", at + j) for j in range(gram))),
-            "left": F.slice("words", at - reach + 1, reach),
-            "right": F.slice("words", at + 1, F.lit(length)),
-        }
-    )
+    return rows.withColumns({"left": F.slice("words", at - reach + 1, reach), "right": F.slice("words", at + 1, F.lit(length))})
 
 
 def _alike(a: str, b: str, places: list[int]) -> Column:
