@@ -198,5 +198,6 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     def repeated(rows: DataFrame) -> DataFrame:
         return rows.withColumn(again, F.explode(F.sequence(F.lit(1).cast("long"), F.col(again)))).select(*columns)
 
-    rows = repeated(marked.join(units.select(*names, each).where(F.col(again) > 0), [key, row]))
+    # The drawn units have no proven bound: the same join at every size, never a broadcast.
+    rows = repeated(marked.join(units.select(*names, each).where(F.col(again) > 0).hint("merge"), [key, row]))
     return rows.unionByName(repeated(marked.join(more, [key, row]).dropDuplicates([key, row])))
