@@ -24,7 +24,8 @@ FIXED_DAYS = (
 )
 # Days relative to Easter Sunday.
 EASTER_DAYS = ((-3, "Holy Thursday"), (-2, "Good Friday"))
-FIRST_YEAR, LAST_YEAR = 2024, 2027
+FIRST_YEAR, LAST_YEAR = 2024, 2027  # of the dimension, unless told otherwise
+RULE_YEARS = (1900, 2099)  # for which the Easter rule holds
 
 
 def _days_from_easter(day: str) -> str:
@@ -38,14 +39,14 @@ def _days_from_easter(day: str) -> str:
 
 
 def _checked(years: tuple[int, int]) -> tuple[int, int]:
-    if not 1900 <= years[0] <= years[1] <= 2099:
-        raise ValueError("the Easter rule covers the years 1900 to 2099")
+    if not RULE_YEARS[0] <= years[0] <= years[1] <= RULE_YEARS[1]:
+        raise ValueError("the Easter rule covers the years {} to {}".format(*RULE_YEARS))
     return years
 
 
 def holiday_name(
     day: str,
-    years: tuple[int, int] = (FIRST_YEAR, LAST_YEAR),
+    years: tuple[int, int] = RULE_YEARS,
     extra: Iterable[tuple[date, str]] = (),
 ) -> Column:
     """The holiday's name, or null. ``day`` is the SQL of a date; ``extra`` holds one-off
@@ -61,10 +62,10 @@ def holiday_name(
 
 def is_holiday(
     day: str,
-    years: tuple[int, int] = (FIRST_YEAR, LAST_YEAR),
+    years: tuple[int, int] = RULE_YEARS,
     extra: Iterable[tuple[date, str]] = (),
 ) -> Column:
-    """True on a holiday, false on any other day and outside ``years``; null for null."""
+    """True on a holiday, false on any other day; null for null and outside ``years``, of which nothing is known."""
     first, last = _checked(years)
     fixed = ", ".join(str(m * 100 + d) for m, d, _ in FIXED_DAYS)
     rules = [
@@ -72,7 +73,7 @@ def is_holiday(
         f"{_days_from_easter(day)} IN ({', '.join(str(n) for n, _ in EASTER_DAYS)})",
         *[f"{day} = DATE '{when}'" for when, _ in extra],
     ]
-    return F.expr(f"year({day}) BETWEEN {first} AND {last} AND ({' OR '.join(rules)})")
+    return F.expr(f"CASE WHEN year({day}) BETWEEN {first} AND {last} THEN ({' OR '.join(rules)}) END")
 
 
 def holiday_dim(

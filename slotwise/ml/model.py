@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Sequence
-from dataclasses import dataclass
+import math
+import random
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from slotwise.config import DEFAULTS, SERIES
@@ -32,7 +34,7 @@ DEFAULT_PARAMS: dict[str, Any] = {
     "subsamplingRate": 0.8,
     "featureSubsetStrategy": "0.8",
     "seed": DEFAULTS.seed,
-    "validationTol": 0.0,
+    "patience": 50,
 }
 
 
@@ -49,6 +51,7 @@ class TreeModel:
     means: DataFrame
     overall: float
     pipeline: PipelineModel
+    errors: list[float] = field(default_factory=list)  # on the validation part, by round
 
     @property
     def stages(self) -> list:
@@ -89,17 +92,21 @@ def prepare(
     return df.withColumns(inputs)
 
 
-def train_model(
-    train: DataFrame,
-    val: DataFrame,
-    params: dict[str, Any] | None = None,
-    columns: Sequence[str] = MODEL_COLUMNS,
-) -> TreeModel:
-    """Fit on ``train``, stop adding trees when the error on ``val`` no longer falls.
+@dataclass
+class TreeInputs:
+    """Model inputs of both parts, written once however many candidates are fitted on them."""
 
-    Category means see the train part only. Give it written or cached frames: trees pass over
-    the data many times.
-    """
+    columns: list[str]
+    encoded: list[str]
+    means: DataFrame
+    overall: float
+    assembler: VectorAssembler
+    train: DataFrame
+    val: DataFrame
+
+
+def tree_inputs(train: DataFrame, val: DataFrame, columns: Sequence[str] = MODEL_COLUMNS) -> TreeInputs:
+    """Vectors of the rows that have a target. Category means see the train part only."""
     has_target = F.col(SERIES.target).isNotNull()
     train, val = train.where(has_target), val.where(has_target)
     for name, part in (("training", train), ("validation", val)):
@@ -109,21 +116,67 @@ def train_model(
     encoded = _encoded(train, used)
     means = materialise(category_means(train, encoded), "category-means")
     overall = train.agg(F.avg(SERIES.target)).first()[0]
-    both = train.withColumn("_validation", F.lit(False)).unionByName(
-        val.withColumn("_validation", F.lit(True))
-    )
     assembler = VectorAssembler(inputCols=[f"x_{c}" for c in used], outputCol="features")
-    rows = assembler.transform(prepare(both, used, encoded, means, overall))
-    rows = materialise(rows.select("features", SERIES.target, "_validation"), "tree-input")
+    parts = []
+    for part in (train, val):
+        rows = assembler.transform(prepare(part, used, encoded, means, overall))
+        parts.append(materialise(rows.select("features", SERIES.target), "tree-input"))
+    return TreeInputs(used, encoded, means, overall, assembler, *parts)
+
+
+def best_round(errors: Sequence[float], patience: int | None) -> int:
+    """How many trees to keep: up to the lowest error before ``patience`` rounds passed without a lower one."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif patience is not None and i - best >= patience:
+            break
+    return best + 1
+
+
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The ensemble of the first ``n`` trees."""
+    if n >= model.getNumTrees:
+        return model
+    context = SparkSession.active().sparkContext
+    java, jvm, gateway = model._java_obj, context._jvm, context._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(jvm.double, n)
+    for i in range(n):
+        trees[i], weights[i] = java.trees()[i], java.treeWeights()[i]
+    cut = GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(model.uid, trees, weights))
+    return cut.setFeaturesCol("features").setPredictionCol("prediction")
+
+
+def fit_trees(inputs: TreeInputs, params: dict[str, Any] | None = None) -> TreeModel:
+    """Grow ``maxIter`` trees on the train part, keep those up to the best round on the validation part.
+
+    Each round's validation error comes from staged predictions, one pass for all rounds.
+    ``patience`` ends the search for a better round; None looks at all of them.
+    """
+    settings = {"maxBins": 64, **DEFAULT_PARAMS, **(params or {})}
+    patience = settings.pop("patience")
     trees = GBTRegressor(
-        featuresCol="features",
-        labelCol=SERIES.target,
-        predictionCol="prediction",
-        lossType="absolute",
-        validationIndicatorCol="_validation",
-        **{"maxBins": 64, **DEFAULT_PARAMS, **(params or {})},
-    )
-    return TreeModel(used, encoded, means, overall, PipelineModel(stages=[assembler, trees.fit(rows)]))
+        featuresCol="features", labelCol=SERIES.target, predictionCol="prediction", lossType="absolute", **settings
+    ).fit(inputs.train)
+    errors = trees.evaluateEachIteration(inputs.val, "absolute")
+    kept = first_trees(trees, best_round(errors, patience))
+    pipeline = PipelineModel(stages=[inputs.assembler, kept])
+    return TreeModel(inputs.columns, inputs.encoded, inputs.means, inputs.overall, pipeline, list(errors))
+
+
+def train_model(
+    train: DataFrame,
+    val: DataFrame,
+    params: dict[str, Any] | None = None,
+    columns: Sequence[str] = MODEL_COLUMNS,
+) -> TreeModel:
+    """Fit on ``train``, keep the trees up to the round with the lowest error on ``val``.
+
+    Give it written or cached frames: the inputs are built from them more than once.
+    """
+    return fit_trees(tree_inputs(train, val, columns), params)
 
 
 def predict(model: TreeModel, df: DataFrame) -> DataFrame:
@@ -156,9 +209,10 @@ def tune(
     """
     if not candidates:
         raise ValueError("no parameters to try")
+    inputs = tree_inputs(train, val, columns)
     trials, best = [], None
     for params in candidates:
-        model = train_model(train, val, params, columns)
+        model = fit_trees(inputs, params)
         error = validation_mae(model, val)
         trials.append((params, error))
         if best is None or error < best[1]:
@@ -166,6 +220,86 @@ def tune(
     return best[0], best[2], trials
 
 
+@dataclass(frozen=True)
+class Range:
+    """Values between two bounds, both included; ``log`` draws their logarithm, ``whole`` rounds."""
+
+    low: float
+    high: float
+    log: bool = False
+    whole: bool = False
+
+    def draw(self, rng: random.Random) -> float:
+        if self.log:
+            value = math.exp(rng.uniform(math.log(self.low), math.log(self.high)))
+        else:
+            value = rng.uniform(self.low, self.high)
+        value = min(max(value, self.low), self.high)
+        return round(value) if self.whole else value
+
+
+# What a search looks at unless told otherwise.
+SEARCH_SPACE: dict[str, Range] = {
+    "stepSize": Range(0.01, 0.3, log=True),
+    "maxDepth": Range(4, 10, whole=True),
+    "minInstancesPerNode": Range(5, 100, log=True, whole=True),
+    "subsamplingRate": Range(0.5, 1.0),
+}
+
+
+def sampled(space: Mapping[str, Range | Sequence[Any]], n: int, seed: int = DEFAULTS.seed) -> list[dict[str, Any]]:
+    """``n`` candidates drawn from ranges and lists of values; the same for the same seed."""
+    rng = random.Random(seed)
+    names = sorted(space)
+    return [{c: space[c].draw(rng) if isinstance(space[c], Range) else rng.choice(list(space[c])) for c in names} for _ in range(n)]
+
+
+@dataclass(frozen=True)
+class Trial:
+    number: int  # of the candidate
+    params: dict[str, Any]
+    rounds: int  # trees it was given
+    error: float
+    kept: bool  # it went on, or won
+
+
+def search(
+    train: DataFrame,
+    val: DataFrame,
+    space: Mapping[str, Range | Sequence[Any]] | None = None,
+    n: int = 9,
+    keep: int = 3,
+    rounds: int | None = None,
+    seed: int = DEFAULTS.seed,
+    columns: Sequence[str] = MODEL_COLUMNS,
+    fixed: dict[str, Any] | None = None,
+) -> tuple[dict[str, Any], TreeModel, list[Trial]]:
+    """Successive halving over ``n`` sampled candidates, judged on the later validation part.
+
+    All candidates grow few trees; one in ``keep`` goes on with ``keep`` times as many, until the
+    last grows ``rounds`` (``maxIter``). So a bad candidate costs a fraction of a fit. Ties go to
+    the earlier candidate. Returns the best parameters, its model, and every trial.
+    """
+    if n < 1 or keep < 2:
+        raise ValueError("a search needs a candidate, and keep must be 2 or more")
+    rounds = rounds or (fixed or {}).get("maxIter", DEFAULT_PARAMS["maxIter"])
+    live = list(enumerate(sampled(SEARCH_SPACE if space is None else space, n, seed)))
+    inputs, trials = tree_inputs(train, val, columns), []
+    steps = math.ceil(math.log(n, keep) - 1e-9) if n > 1 else 0
+    for step in range(steps, -1, -1):
+        grown = max(1, rounds // keep**step)
+        tried = []
+        for number, params in live:
+            model = fit_trees(inputs, {**(fixed or {}), **params, "maxIter": grown})
+            tried.append((validation_mae(model, val), number, params, model))
+        tried.sort(key=lambda t: t[:2])
+        best = tried[0]
+        live = [(number, params) for _, number, params, _ in tried[: max(1, -(-len(tried) // keep)) if step else 1]]
+        going = {number for number, _ in live}
+        trials += [Trial(number, params, grown, error, number in going) for error, number, params, _ in tried]
+    return best[2], best[3], trials
+
+
 def num_trees(model: TreeModel) -> int:
     return model.stages[-1].getNumTrees
 

@@ -146,33 +146,46 @@ def station_features(df: DataFrame, boxes=geo.DISTRICT_BOXES) -> DataFrame:
     return df.withColumn("distrito", geo.first_box("latitude", "longitude", boxes))
 
 
+LARGEST_LEVEL = 17  # cells of 0.01 * 2^17 degrees are larger than the globe
+
+
 def first_box_join(points: DataFrame, boxes: DataFrame, cell: float = 0.01) -> DataFrame:
     """First matching box per distinct point, for a box table of any size.
 
-    Points and boxes meet on grid cells, so it is an equi join. ``points`` has latitude and
-    longitude, ``boxes`` ordinal, distrito and the four borders; a point without a match
-    keeps a null name.
+    Points and boxes meet on the cells of a hierarchy of grids, so it is an equi join. A box lies
+    on the grid whose cells are the first at least as large as itself, hence in four cells at
+    most, whatever its extent; a point looks into one cell of each grid that has boxes, 18 at
+    most. ``points`` has latitude and longitude, ``boxes`` ordinal, distrito and the four
+    borders; a point without a match keeps a null name.
     """
-    def cell_of(column: str) -> Column:
-        return F.floor(F.col(column) / cell)
+    side = cell * (1 << LARGEST_LEVEL)
+    clipped = lambda c: F.least(F.greatest(F.col(c), F.lit(-side)), F.lit(side))
+    cell_of = lambda value, level: F.floor(value / (cell * F.pow(F.lit(2.0), level))).cast("long")
 
     def cells(low: str, high: str) -> Column:
-        return F.explode(F.sequence(cell_of(low), cell_of(high)))
-
+        return F.explode(F.sequence(cell_of(clipped(low), F.col("_level")), cell_of(clipped(high), F.col("_level"))))
+
+    extent = F.greatest(F.col("lat_max") - F.col("lat_min"), F.col("lon_max") - F.col("lon_min"))
+    level = F.least(F.ceil(F.log2(F.greatest(extent / cell, F.lit(1.0)))), F.lit(LARGEST_LEVEL)).cast("int")
+    grid = boxes.where("lat_min <= lat_max AND lon_min <= lon_max")
+    grid = grid.withColumn("_level", level)
+    levels = F.array(*[F.lit(r["_level"]) for r in grid.select("_level").distinct().orderBy("_level").collect()]).cast("array<int>")
+    grid = grid.withColumn("_y", cells("lat_min", "lat_max")).withColumn("_x", cells("lon_min", "lon_max"))
     sites = points.select("latitude", "longitude").distinct()
-    sites = sites.withColumns({"_y": cell_of("latitude"), "_x": cell_of("longitude")})
-    grid = boxes.withColumn("_y", cells("lat_min", "lat_max"))
-    grid = grid.withColumn("_x", cells("lon_min", "lon_max"))
+    looked = sites.withColumn("_level", F.explode(levels))
+    looked = looked.withColumns(
+        {"_y": cell_of(clipped("latitude"), F.col("_level")), "_x": cell_of(clipped("longitude"), F.col("_level"))}
+    )
     inside = F.col("latitude").between(F.col("lat_min"), F.col("lat_max")) & F.col(
         "longitude"
     ).between(F.col("lon_min"), F.col("lon_max"))
     found = (
-        sites.join(grid, ["_y", "_x"])
+        looked.join(grid, ["_level", "_y", "_x"])
         .where(inside)
         .groupBy("latitude", "longitude")
         .agg(F.min_by("distrito", "ordinal").alias("distrito"))
     )
-    return sites.drop("_y", "_x").join(found, ["latitude", "longitude"], "left")
+    return sites.join(found, ["latitude", "longitude"], "left")
 
 
 def _with_date(df: DataFrame, spec: SeriesSpec) -> DataFrame:

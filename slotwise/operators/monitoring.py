@@ -349,3 +349,16 @@ def performance_alert(
 def drift_alert(summaries: DataFrame, share: float = DEFAULTS.drift_share) -> DataFrame:
     """Summaries whose share of drifted features is strictly above ``share``."""
     return summaries.where(F.col("share_drifted") > share)
+
+
+def dashboard_frames(
+    cycles: DataFrame, station_daily: DataFrame, summaries: DataFrame, day: str | date, days: int = 7, n: int = 10
+) -> dict[str, DataFrame]:
+    """The tables of the dashboard of a date: the cycle error of the ``days`` up to its end, the ``n`` worst
+    stations, and its drift summary."""
+    end = f"{day} 23:59:59.999999"
+    return {
+        "mae_by_day": cycle_mae_by_day(cycles, end, days),
+        "worst_stations": worst_stations(station_daily, day, n),
+        "drift": summaries.where(F.col("date") == F.lit(str(day)).cast("date")),
+    }

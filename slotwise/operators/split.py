@@ -34,11 +34,13 @@ def temporal_split(
     val_days: int = DEFAULTS.val_days,
     test_days: int = DEFAULTS.test_days,
     spec: SeriesSpec = SERIES,
+    ordered: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame, bool]:
     """(train, val, test, train is shorter than ``train_days``).
 
     One small aggregate finds the cut-offs and the sizes; an empty frame, val or test
-    raises ``ValueError``, a short train part does not.
+    raises ``ValueError``, a short train part does not. ``ordered`` sorts the parts by time and
+    key, for callers that write or show them; nothing here needs it.
     """
     labelled = label_split(df, val_days, test_days, spec)
     sizes = {
@@ -58,12 +60,10 @@ def temporal_split(
     time = F.col(spec.time)
     train = sizes.get("train")
     short = train is None or (train["hi"] - train["lo"]).days < train_days
-    return (
-        df.where(time < val_from),
-        df.where((time >= val_from) & (time < test_from)),
-        df.where(time >= test_from),
-        short,
-    )
+    parts = [df.where(time < val_from), df.where((time >= val_from) & (time < test_from)), df.where(time >= test_from)]
+    if ordered:
+        parts = [part.orderBy(spec.time, spec.key) for part in parts]
+    return (*parts, short)
 
 
 def split_profile(df: DataFrame, **days: int) -> DataFrame:

@@ -13,7 +13,7 @@ AS_OF = "2024-01-20 00:00:00"
 TARGET_DATE = "2024-01-19"
 TRAINING_START = "2024-01-10"
 TRAINING_END = "2024-01-20"
-REFERENCE_START, REFERENCE_END = "2024-01-08", "2024-01-14"
+REFERENCE_START, REFERENCE_END = "2024-01-07", "2024-01-14"
 
 EVENTS = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"

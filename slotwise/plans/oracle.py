@@ -333,7 +333,7 @@ def _catalog() -> str:
 
     return "\nUNION ALL\n".join(
         f"SELECT {i} AS position, '{f.name}' AS feature, '{f.dtype}' AS dtype, "
-        f"'{f.group}' AS feature_group, count({f.name}) AS n_present FROM feat"
+        f"'{f.group}' AS feature_group, '{f.description}' AS description, count({f.name}) AS n_present FROM feat"
         for i, f in enumerate(catalog)
     )
 
@@ -497,7 +497,7 @@ ORACLE: dict[str, str] = {
     "prediction_lookup": f"{MONITOR} SELECT * EXCLUDE (e) FROM pairs",
     "cycle_metrics": f"{MONITOR} SELECT {CYCLE_COLUMNS} FROM cycles",
     "reconcile_one_cycle": f"""{MONITOR} SELECT {CYCLE_COLUMNS} FROM cycles
-        WHERE cycle_timestamp = TIMESTAMP '{TARGET_DATE} 12:00:00'""",
+        WHERE cycle_timestamp = (SELECT min(cycle_timestamp) FROM cycles)""",
     "station_daily_metrics": f"""{MONITOR}, {DAILY}
         SELECT date, station_id, model_version, n_cycles, {DAILY_COLUMNS} FROM daily""",
     "station_daily_metrics_raw": f"""{MONITOR}
@@ -647,3 +647,11 @@ ORACLE["guarded_append"] = f"""{MONITOR},
 SELECT model_version, count(*) AS n_rows, (SELECT n FROM early) AS n_first, (SELECT n FROM early) AS n_refused,
   (SELECT count(*) FROM pred) - (SELECT n FROM early) AS n_added, 0::BIGINT AS n_again
 FROM pred GROUP BY model_version"""
+ORACLE["dashboard"] = f"""{MONITOR}, {DAILY}
+SELECT 'mae' AS panel, (cycle_timestamp::DATE)::VARCHAR AS item, round(avg(mae), 9) AS value FROM cycles
+WHERE cycle_timestamp BETWEEN TIMESTAMP '{TARGET_DATE} 23:59:59.999999' - INTERVAL '7 days'
+  AND TIMESTAMP '{TARGET_DATE} 23:59:59.999999' GROUP BY cycle_timestamp::DATE
+UNION ALL
+SELECT * FROM (
+  SELECT 'worst', station_id::VARCHAR, round(daily_mae, 9) FROM daily WHERE date = DATE '{TARGET_DATE}'
+  ORDER BY daily_mae DESC, station_id, model_version DESC LIMIT 3)"""

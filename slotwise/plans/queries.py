@@ -33,7 +33,7 @@ STATS = (
     "avg_dock_same_weekday",
     "station_daily_turnover",
 )
-QUICK = {"maxIter": 5, "maxDepth": 4, "stepSize": 0.1}
+RUNS: dict[tuple[str, str], dict] = {}  # one training run per session and input serves all queries that score with it
 
 
 def plain_times(df: DataFrame) -> DataFrame:
@@ -385,12 +385,11 @@ def cycle_metrics(spark, sf_dir):
 
 @register
 def reconcile_one_cycle(spark, sf_dir):
-    df = monitoring.reconcile_one(
-        canonical.predictions(spark, sf_dir),
-        canonical.observed(spark, sf_dir),
-        f"{TARGET_DATE} 12:00:00",
-        rows.instant(AS_OF),
-    )
+    """The first cycle that has both predictions and observations."""
+    predictions, observed = canonical.predictions(spark, sf_dir), canonical.observed(spark, sf_dir)
+    first = rows.utc(F.min("target_time")).cast("string").alias("at")
+    at = monitoring.matched_errors(predictions, observed).agg(first).first()["at"]
+    df = monitoring.reconcile_one(predictions, observed, at or AS_OF, rows.instant(AS_OF))
     return rounded(df, "mae", "rmse")
 
 
@@ -448,6 +447,19 @@ def top10_worst_stations(spark, sf_dir):
     return rounded(monitoring.worst_stations(daily, TARGET_DATE), "daily_mae", "daily_rmse")
 
 
+@register
+def dashboard(spark, sf_dir):
+    """The dashboard's error and station tables of the target date as (panel, item, value)."""
+    daily = monitoring.station_daily_metrics(
+        canonical.predictions(spark, sf_dir), canonical.observed(spark, sf_dir), TARGET_DATE
+    )
+    drift_rows = spark.createDataFrame([], schemas.DRIFT_SUMMARY)
+    frames = monitoring.dashboard_frames(_cycles(spark, sf_dir), daily, drift_rows, TARGET_DATE, n=3)
+    by_day = frames["mae_by_day"].select(F.lit("mae").alias("panel"), F.col("day").cast("string").alias("item"), F.col("avg_mae").alias("value"))
+    worst = frames["worst_stations"].select(F.lit("worst").alias("panel"), F.col("station_id").cast("string").alias("item"), F.col("daily_mae").alias("value"))
+    return rounded(by_day.unionByName(worst), "value")
+
+
 @register
 def performance_alert(spark, sf_dir):
     """The last day's online error against the baseline error of all days."""
@@ -708,10 +720,7 @@ def partition_replace(spark, sf_dir):
 
 def _drift_windows(spark, sf_dir):
     saved_at = datetime.fromisoformat(f"{canonical.REFERENCE_END} 12:00:00")
-    settings = training.DEFAULTS.__class__(train_days=6)
-    return training.drift_windows(
-        canonical.raw_snapshots(spark, sf_dir), TARGET_DATE, saved_at, settings
-    )
+    return training.drift_windows(canonical.raw_snapshots(spark, sf_dir), TARGET_DATE, saved_at)
 
 
 @register
@@ -730,9 +739,7 @@ def chi2_drift(spark, sf_dir):
 
 def _drift_summary(spark, sf_dir):
     saved_at = datetime.fromisoformat(f"{canonical.REFERENCE_END} 12:00:00")
-    settings = training.DEFAULTS.__class__(train_days=6)
-    raw = canonical.raw_snapshots(spark, sf_dir)
-    return training.drift_job(raw, TARGET_DATE, saved_at, settings)
+    return training.drift_job(canonical.raw_snapshots(spark, sf_dir), TARGET_DATE, saved_at)
 
 
 @register
@@ -756,9 +763,12 @@ def drift_alert(spark, sf_dir):
 # --- models ---------------------------------------------------------------------------
 
 
-def _trained(spark, sf_dir, **params):
-    raw = canonical.raw_snapshots(spark, sf_dir)
-    return training.train_run(raw, canonical.TRAINING_END, {**QUICK, **params})
+def _trained(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in RUNS:
+        raw = canonical.raw_snapshots(spark, sf_dir)
+        RUNS[key] = training.train_run(raw, canonical.TRAINING_END)
+    return RUNS[key]
 
 
 def _split_data(spark, sf_dir):
@@ -784,11 +794,20 @@ def gbt_evaluate(spark, sf_dir):
 @register
 def gbt_tune(spark, sf_dir):
     train, val, _ = _split_data(spark, sf_dir)
-    best, _, trials = trees.tune(train, val, trees.grid(maxDepth=[3, 5], maxIter=[3]))
+    best, _, trials = trees.tune(train, val, trees.grid(maxDepth=[3, 6]))
     found = [(p["maxDepth"], error, p == best) for p, error in trials]
     return spark.createDataFrame(found, "max_depth int, val_mae double, chosen boolean")
 
 
+@register
+def gbt_search(spark, sf_dir):
+    """Successive halving over sampled parameters: every trial with its trees and its error."""
+    train, val, _ = _split_data(spark, sf_dir)
+    _, _, trials = trees.search(train, val, n=4, keep=2)
+    found = [(t.number, t.rounds, float(t.params["stepSize"]), int(t.params["maxDepth"]), t.error, t.kept) for t in trials]
+    return spark.createDataFrame(found, "candidate int, rounds int, step_size double, max_depth int, val_mae double, kept boolean")
+
+
 @register
 def feature_importance(spark, sf_dir):
     return trees.feature_importance(_trained(spark, sf_dir)["model"], spark)
@@ -798,8 +817,8 @@ def feature_importance(spark, sf_dir):
 def promote_if_better(spark, sf_dir):
     """Two runs logged in the run table; the later one challenges the first."""
     train, val, test = _split_data(spark, sf_dir)
-    first = trees.train_model(train, val, {**QUICK, "maxIter": 1})
-    second = trees.train_model(train, val, QUICK)
+    first = trees.train_model(train, val, {"maxDepth": 2})
+    second = _trained(spark, sf_dir)["model"]
     runs, promotions = scratch_dir(spark, "model-runs"), scratch_dir(spark, "promotions")
     for model, day in ((first, 18), (second, 20)):
         error = trees.validation_mae(model, test)
@@ -850,7 +869,7 @@ def stream_dedup(spark, sf_dir):
 @register
 def stream_score(spark, sf_dir):
     """Every landed slot scored by the stream against the table's history."""
-    model = _trained(spark, sf_dir, maxIter=2)["model"]
+    model = _trained(spark, sf_dir)["model"]
     table = scratch_dir(spark, "snapshots")
     flat = canonical.snapshots(spark, sf_dir)
     flat.withColumn("dt", F.to_date(SERIES.time)).write.partitionBy("dt").parquet(table)

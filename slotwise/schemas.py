@@ -141,34 +141,46 @@ class Feature(NamedTuple):
     name: str
     dtype: str
     group: str
-
-
-# The 35 model features in their contract order.
-_CATALOG = {
-    "lag": """
-        dock_bikes_now:int free_bases_now:int occupancy_rate_now:float
-        dock_bikes_lag_15m:float dock_bikes_lag_30m:float dock_bikes_lag_1h:float
-        delta_dock_15m:float
-    """,
-    "temporal": """
-        hour_of_day:int day_of_week:int is_weekend:bool month:int is_holiday:bool
-        minutes_since_midnight:int is_rush_hour:bool
-    """,
-    "meteo": """
-        temperature_2m:float apparent_temperature:float precipitation_mm:float
-        precipitation_probability:float wind_speed_10m:float is_raining:bool
-        weather_code:int is_day:bool direct_radiation:float feels_cold:bool
-        feels_hot:bool high_solar_radiation:bool
-    """,
-    "stats": """
-        avg_dock_same_hour_7d:float std_dock_same_hour_7d:float
-        avg_dock_same_weekday:float station_daily_turnover:float
-        dock_bikes_same_time_1w:float
-    """,
-    "static": "total_bases:int latitude:float longitude:float distrito:cat",
-}
-FEATURES = tuple(
-    Feature(*item.split(":"), group) for group, text in _CATALOG.items() for item in text.split()
+    description: str
+
+
+# Names, types and groups of the 35 model features in their contract order. The descriptions are ours.
+FEATURES = (
+    Feature("dock_bikes_now", "int", "lag", "bikes docked in this slot"),
+    Feature("free_bases_now", "int", "lag", "free bases in this slot"),
+    Feature("occupancy_rate_now", "float", "lag", "docked bikes as a share of all bases"),
+    Feature("dock_bikes_lag_15m", "float", "lag", "bikes docked one row earlier"),
+    Feature("dock_bikes_lag_30m", "float", "lag", "bikes docked two rows earlier"),
+    Feature("dock_bikes_lag_1h", "float", "lag", "bikes docked four rows earlier"),
+    Feature("delta_dock_15m", "float", "lag", "change of docked bikes since the row before"),
+    Feature("hour_of_day", "int", "temporal", "local hour, 0 to 23"),
+    Feature("day_of_week", "int", "temporal", "local weekday, Monday is 0"),
+    Feature("is_weekend", "bool", "temporal", "Saturday or Sunday"),
+    Feature("month", "int", "temporal", "local month, 1 to 12"),
+    Feature("is_holiday", "bool", "temporal", "public holiday on the local date"),
+    Feature("minutes_since_midnight", "int", "temporal", "minutes of the local day"),
+    Feature("is_rush_hour", "bool", "temporal", "morning or evening rush of a working weekday"),
+    Feature("temperature_2m", "float", "meteo", "air temperature, Celsius"),
+    Feature("apparent_temperature", "float", "meteo", "felt temperature, Celsius"),
+    Feature("precipitation_mm", "float", "meteo", "precipitation of the hour, millimetres"),
+    Feature("precipitation_probability", "float", "meteo", "chance of precipitation, percent"),
+    Feature("wind_speed_10m", "float", "meteo", "wind speed, kilometres an hour"),
+    Feature("is_raining", "bool", "meteo", "any precipitation"),
+    Feature("weather_code", "int", "meteo", "weather code of the forecast"),
+    Feature("is_day", "bool", "meteo", "daylight"),
+    Feature("direct_radiation", "float", "meteo", "direct solar radiation, watts a square metre"),
+    Feature("feels_cold", "bool", "meteo", "felt temperature below 8"),
+    Feature("feels_hot", "bool", "meteo", "felt temperature above 30"),
+    Feature("high_solar_radiation", "bool", "meteo", "direct radiation above 400"),
+    Feature("avg_dock_same_hour_7d", "float", "stats", "mean of this hour over the seven dates before"),
+    Feature("std_dock_same_hour_7d", "float", "stats", "deviation of this hour over the seven dates before"),
+    Feature("avg_dock_same_weekday", "float", "stats", "mean of this weekday and hour over all earlier dates"),
+    Feature("station_daily_turnover", "float", "stats", "bikes moved a day, mean of the seven dates before"),
+    Feature("dock_bikes_same_time_1w", "float", "stats", "bikes docked exactly one week before"),
+    Feature("total_bases", "int", "static", "bases of the station"),
+    Feature("latitude", "float", "static", "latitude of the station"),
+    Feature("longitude", "float", "static", "longitude of the station"),
+    Feature("distrito", "cat", "static", "district of the station"),
 )
 FEATURE_NAMES = tuple(f.name for f in FEATURES)
 BOOL_FEATURES = tuple(f.name for f in FEATURES if f.dtype == "bool")
@@ -181,10 +193,10 @@ def features_by_group(group: str) -> tuple[Feature, ...]:
 
 
 def feature_catalog(spark: SparkSession) -> DataFrame:
-    """The catalog as a 35-row DataFrame: position, name, dtype, group."""
+    """The catalog as a 35-row DataFrame: position, name, dtype, group, description."""
     return spark.createDataFrame(
         [(i, *f) for i, f in enumerate(FEATURES)],
-        "position int, feature string, dtype string, feature_group string",
+        "position int, feature string, dtype string, feature_group string, description string",
     )
 
 

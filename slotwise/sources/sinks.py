@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from slotwise import schemas
 from slotwise.config import DEFAULTS
 from slotwise.session import materialise
-from slotwise.sources.tables import date_folders, folder_of
+from slotwise.sources.tables import date_folders, folder_of, note_retained
 
 # Table name -> declared schema and the expression of its date partition.
 TABLES = {
@@ -194,11 +194,15 @@ def drop_expired(
 ) -> list[str]:
     """Delete the ``dt=`` folders before the retention limit; returns their names.
 
-    Works on folder names: no data is read or rewritten.
+    Works on folder names: no data is read or rewritten. The limit is noted in the table before
+    anything goes, for :func:`slotwise.sources.tables.read_dated`: a table written by a stream keeps
+    the names of its deleted files in the stream's log.
     """
     oldest = f"dt={as_of - timedelta(days=days)}"
     root, fs = folder_of(spark, path)
     expired = [d for d in date_folders(spark, path) if d < oldest]
+    if expired:
+        note_retained(spark, path, as_of - timedelta(days=days))
     for name in expired:
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(root, name), True)
     return expired

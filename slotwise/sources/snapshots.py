@@ -101,7 +101,7 @@ def read_snapshot_table(
 ) -> DataFrame:
     """Active rows of the fact table between two inclusive UTC dates, either optional.
 
-    The dates hit the ``dt`` partition column, so other days are not listed or read.
+    The dates hit the ``dt`` partition column, so files of other days are not read.
     """
     rows = _between(spark.read.parquet(path), "dt", start, end)
     return flatten_table(rows.where("activate = 1") if active_only else rows)

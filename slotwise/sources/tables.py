@@ -37,6 +37,46 @@ def newest_date(spark: SparkSession, path: str) -> date | None:
     return None
 
 
+RETAINED = "_retained"  # folder of empty files named by the first date a table still holds
+
+
+def note_retained(spark: SparkSession, path: str, first: date) -> None:
+    root, fs = folder_of(spark, path)
+    fs.create(spark._jvm.org.apache.hadoop.fs.Path(root, f"{RETAINED}/{first}"), True).close()
+
+
+def first_retained(spark: SparkSession, path: str) -> date | None:
+    """The first date that retention left in a table; None if it never ran there."""
+    root, fs = folder_of(spark, path)
+    notes = spark._jvm.org.apache.hadoop.fs.Path(root, RETAINED)
+    if not fs.exists(notes):
+        return None
+    return max(date.fromisoformat(s.getPath().getName()) for s in fs.listStatus(notes))
+
+
+def read_dated(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    start: str | date | None = None,
+    end: str | date | None = None,
+) -> DataFrame:
+    """A date-partitioned table with its ``dt``, batch- or stream-written, after retention as well.
+
+    The schema is declared, so no file is opened to infer it, and dates before the retention limit
+    are pruned, so names of deleted files in a stream's log are never followed.
+    """
+    first = first_retained(spark, path)
+    start = max((date.fromisoformat(str(d)) for d in (start, first) if d is not None), default=None)
+    dated = T.StructType([f for f in schema.fields if f.name != "dt"] + [T.StructField("dt", T.DateType())])
+    rows = spark.read.schema(dated).parquet(path)
+    if start is not None:
+        rows = rows.where(F.col("dt") >= F.lit(str(start)).cast("date"))
+    if end is not None:
+        rows = rows.where(F.col("dt") <= F.lit(str(end)).cast("date"))
+    return rows
+
+
 def query(spark: SparkSession, text: str, args: dict, **frames: DataFrame) -> DataFrame:
     """SQL with typed named parameters (``:name``) over frames (``{name}``)."""
     return spark.sql(text, args=args, **frames)
@@ -54,12 +94,7 @@ def read_table(
     Only the folders between the two inclusive dates are read.
     """
     try:
-        rows = spark.read.parquet(path)
-        if start is not None:
-            rows = rows.where(F.col("dt") >= F.lit(str(start)).cast("date"))
-        if end is not None:
-            rows = rows.where(F.col("dt") <= F.lit(str(end)).cast("date"))
-        return rows.select(*schema.fieldNames())
+        return read_dated(spark, path, schema, start, end).select(*schema.fieldNames())
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise

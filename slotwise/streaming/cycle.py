@@ -24,7 +24,7 @@ from slotwise.schemas import CYCLE_METRICS, SNAPSHOT_DOCUMENT
 from slotwise.session import materialise
 from slotwise.sources.sinks import append_cycle_metrics, append_new, conform
 from slotwise.sources.snapshots import flatten_documents
-from slotwise.sources.tables import read_table
+from slotwise.sources.tables import read_dated, read_table
 
 
 def document_stream(spark: SparkSession, path: str, multiline: bool = True, **options) -> DataFrame:
@@ -82,12 +82,8 @@ def start_table(
 
 def table_history(spark: SparkSession, path: str, schema: T.StructType) -> Callable[[date, date], DataFrame]:
     """A reader of the flat snapshots that :func:`start_table` stored between two inclusive dates."""
-    dated = T.StructType([*schema.fields, T.StructField("dt", T.DateType())])
-
     def between(first: date, last: date) -> DataFrame:
-        day = lambda d: F.lit(str(d)).cast("date")
-        rows = spark.read.schema(dated).option("basePath", path).parquet(path)
-        return rows.where(F.col("dt").between(day(first), day(last))).drop("dt")
+        return read_dated(spark, path, schema, first, last).drop("dt")
 
     return between
 

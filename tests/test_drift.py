@@ -57,6 +57,28 @@ def test_chi2_statistic(spark):
     assert got["p_value"] == pytest.approx(tail)
 
 
+def test_chi2_tail_of_many_categories(spark):
+    """Against the sum of Poisson terms, for even degrees of freedom up to ten million."""
+    import numpy as np
+
+    rows, want = [], []
+    for df in (180, 200, 202, 400, 5_000, 100_000, 10_000_000):
+        a = df // 2
+        logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, a)))])
+        for z in (-8.0, -3.0, -0.5, -0.001, 0.0, 0.001, 0.1, 1.0, 2.0, 3.5, 6.0):
+            x = max(df + z * (2 * df) ** 0.5, 1e-3) / 2
+            rows.append((2 * x, df))
+            want.append(float(np.exp(np.arange(a) * np.log(x) - logs - x).sum()))
+    df = spark.createDataFrame([(i, x, d) for i, (x, d) in enumerate(rows)], "i int, x double, df long")
+    got = [r["q"] for r in df.withColumn("q", chi2_p_value(F.col("x"), F.col("df"))).orderBy("i").collect()]
+    for (x, d), q, w in zip(rows, got, want):
+        assert q == pytest.approx(w, rel=1e-4 if d > 1_000_000 else 1e-6, abs=1e-9), (x, d)
+    odd = spark.createDataFrame([(x, d) for d in (201, 999) for x in (0.8 * d, 1.0 * d, 1.1 * d)], "x double, df long")
+    for r in odd.select("x", "df", *[chi2_p_value(F.col("x"), F.col("df") + k).alias(f"q{k}") for k in (-1, 0, 1)]).collect():
+        assert r["q-1"] < r["q0"] < r["q1"] and r["q0"] == pytest.approx((r["q-1"] + r["q1"]) / 2, abs=5e-4)
+    assert spark.createDataFrame([(0.0, 10**7), (1e9, 10**7)], "x double, df long").select(chi2_p_value(F.col("x"), F.col("df")).alias("q")).collect() == [(1.0,), (0.0,)]
+
+
 def test_chi2_tail_against_tables(spark):
     known = [
         (3.841459, 1, 0.05),

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import statistics
 from collections import defaultdict
 from datetime import date, datetime, timedelta
@@ -129,7 +130,10 @@ def test_weekday_and_weekend(frame):
         ("2025-11-09", True),
         ("2026-12-25", True),
         ("2024-03-12", False),
-        ("2028-01-01", False),
+        ("2028-01-01", True),
+        ("2023-04-07", True),
+        ("2023-04-10", False),
+        ("2101-01-01", None),
     ],
 )
 def test_holidays(spark, day, expected):
@@ -292,3 +296,25 @@ def test_null_keys_are_dropped(frame):
 
 def test_frame_schema_matches_declared_columns():
     assert {f.name for f in FLAT} == set(schemas.SNAPSHOT_COLUMNS)
+
+
+def test_boxes_of_any_extent_lie_in_few_cells(spark):
+    rng = random.Random(4)
+    boxes = [(0, "tiny", 40.0, 40.0, -3.0, -3.0), (1, "street", 40.0, 40.004, -3.001, -3.0), (2, "town", 39.9, 40.1, -3.2, -2.9)]
+    boxes += [(3, "strip", -90.0, 90.0, -3.5, -3.49), (4, "country", 35.0, 44.0, -9.5, 3.5), (90, "world", -90.0, 90.0, -180.0, 180.0)]
+    boxes += [(91, "everything", float("-inf"), float("inf"), float("-inf"), float("inf")), (5, "inverted", 50.0, 40.0, 0.0, 1.0)]
+    boxes += [(10 + i, f"b{i}", y, y + h, x, x + w) for i in range(40) for y, x, h, w in [(rng.uniform(-80, 80), rng.uniform(-170, 170), 10 ** rng.uniform(-3, 2), 10 ** rng.uniform(-3, 2))]]
+    points = [(40.0, -3.0), (40.002, -3.0005), (40.05, -3.1), (10.0, -3.495), (40.0, 2.0), (-60.0, 100.0), (89.0, -3.5), (200.0, 500.0)]
+    points += [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(200)]
+    df = spark.createDataFrame(boxes, "ordinal int, distrito string, lat_min double, lat_max double, lon_min double, lon_max double")
+    sites = spark.createDataFrame(points, "latitude double, longitude double")
+    joined = features.first_box_join(sites, df)
+    got = {(r["latitude"], r["longitude"]): r["distrito"] for r in joined.collect()}
+    for lat, lon in points:
+        inside = [b for b in boxes if b[2] <= lat <= b[3] and b[4] <= lon <= b[5]]
+        assert got[lat, lon] == (min(inside)[1] if inside else None)
+    text = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("explode") == 3 and "Cross" not in text
+    alone = features.first_box_join(sites, df.where("distrito = 'world'"))
+    assert alone.where("distrito = 'world'").count() == len(points) - 1
+    assert features.first_box_join(sites, df.limit(0)).where("distrito IS NULL").count() == len(points)

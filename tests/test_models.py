@@ -11,6 +11,7 @@ from slotwise import schemas
 from slotwise.config import DEFAULTS, Settings
 from slotwise.ml import model as trees
 from slotwise.ml import registry
+from slotwise.ml.model import best_round
 from slotwise.ml.scoring import score, score_slots, scoring_features, slot_features
 from slotwise.operators import features
 from slotwise.operators.metrics import naive_baseline_values
@@ -100,6 +101,52 @@ def test_tuning_picks_the_lowest_validation_error(parts):
         trees.tune(parts[0], parts[1], [])
 
 
+@pytest.mark.parametrize(
+    ("errors", "patience", "trees"),
+    [([3, 2, 1], 1, 3), ([3, 2, 2, 2, 1], 2, 2), ([3, 2, 2, 2, 1], 3, 5), ([3, 2, 4, 1, 5], None, 4), ([1], 5, 1), ([1, 1, 1], None, 1)],
+)
+def test_best_round(errors, patience, trees):
+    assert best_round(errors, patience) == trees
+
+
+def test_trees_after_the_best_round_are_cut(parts):
+    train, val, _ = parts
+    long = trees.train_model(train, val, {**QUICK, "maxIter": 12, "stepSize": 1.0, "patience": None})
+    best = long.errors.index(min(long.errors)) + 1
+    assert len(long.errors) == 12 and trees.num_trees(long) == best
+    short = trees.train_model(train, val, {**QUICK, "maxIter": best, "stepSize": 1.0})
+    same = lambda m: [r["prediction"] for r in trees.predict(m, val).orderBy("station_id", "snapshot_timestamp").collect()]
+    assert same(long) == pytest.approx(same(short))
+    hasty = trees.train_model(train, val, {**QUICK, "maxIter": 12, "stepSize": 1.0, "patience": 1})
+    assert trees.num_trees(hasty) == trees.best_round(long.errors, 1)
+
+
+def test_sampled_candidates():
+    space = {"stepSize": trees.Range(0.01, 1.0, log=True), "maxDepth": trees.Range(2, 4, whole=True), "maxBins": [16, 32]}
+    drawn = trees.sampled(space, 400, seed=3)
+    assert drawn == trees.sampled(space, 400, seed=3) != trees.sampled(space, 400, seed=4)
+    assert {d["maxDepth"] for d in drawn} == {2, 3, 4} and {d["maxBins"] for d in drawn} == {16, 32}
+    assert all(0.01 <= d["stepSize"] <= 1.0 for d in drawn)
+    assert 120 < sum(d["stepSize"] < 0.1 for d in drawn) < 280  # half of the decades
+
+
+def test_search_drops_worse_candidates_early(parts):
+    train, val, _ = parts
+    space = {"maxDepth": [1, 5]}
+    params, model, trials = trees.search(train, val, space, n=4, keep=2, rounds=8, seed=1, fixed=QUICK)
+    assert [t.rounds for t in trials] == [2] * 4 + [4] * 2 + [8]
+    for rounds, going in ((2, 2), (4, 1), (8, 1)):
+        rung = [t for t in trials if t.rounds == rounds]
+        kept, dropped = ([t.error for t in rung if t.kept is k] for k in (True, False))
+        assert len(kept) == going and (not dropped or max(kept) <= min(dropped))
+        assert {t.number for t in trials if t.rounds == 2 * rounds} <= {t.number for t in rung if t.kept}
+    assert params == trials[-1].params
+    again = trees.search(train, val, space, n=4, keep=2, rounds=8, seed=1, fixed=QUICK)
+    assert again[2] == trials and trees.validation_mae(model, val) == trials[-1].error
+    with pytest.raises(ValueError):
+        trees.search(train, val, space, n=0)
+
+
 def test_importance(model, spark):
     got = trees.feature_importance(model, spark)
     rows = {r["feature"]: r for r in got.collect()}

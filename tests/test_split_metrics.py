@@ -2,13 +2,15 @@ from __future__ import annotations
 
 import math
 import random
+from datetime import date, timedelta
 
 import pytest
 from conftest import row, series, ts
 from pyspark.sql import functions as F
 
+from slotwise import schemas
 from slotwise.functions.numeric import rounded_count
-from slotwise.operators import features, metrics, rows
+from slotwise.operators import features, metrics, monitoring, rows
 from slotwise.operators.quality import outside_ranges, range_violations
 from slotwise.operators.split import data_profile, split_profile, temporal_split
 from slotwise.plans.training import training_dataset, training_window
@@ -140,3 +142,25 @@ def test_baseline_needs_features(frame):
         metrics.naive_baseline(frame([row(1, ts("2024-01-15 09:00:00"), 1)]))
     df = features.add_target(features.current_state(frame(series(1, "2024-01-15 09:00:00", range(8)))))
     assert metrics.naive_baseline_values(df) == {"mae": 4.0, "rmse": 4.0}
+
+
+def test_ordered_parts(frame):
+    start = ts("2024-01-01 00:00:00")
+    data = [row(s, start + timedelta(hours=6 * i), i) for i in range(50) for s in (2, 1)]
+    for part in temporal_split(frame(data[::-1]), ordered=True)[:3]:
+        keys = [(r["snapshot_timestamp"], r["station_id"]) for r in part.collect()]
+        assert keys == sorted(keys) and keys
+
+
+def test_dashboard_frames(spark):
+    at = ts("2024-01-19 12:00:00")
+    cycles = [(at - timedelta(days=d), "v1", 1, float(d), 0.0, 0.0, 0.0, 1, 0.0, at) for d in (0, 1, 9)]
+    daily = [(date(2024, 1, 19), s, "v1", 1, float(s), 0.0) for s in range(1, 15)]
+    drift = [(date(2024, 1, d), 1, 0.5, ["a"], 1, 1) for d in (18, 19)]
+    frames = monitoring.dashboard_frames(
+        spark.createDataFrame(cycles, schemas.CYCLE_METRICS), spark.createDataFrame(daily, schemas.STATION_DAILY),
+        spark.createDataFrame(drift, schemas.DRIFT_SUMMARY), "2024-01-19",
+    )
+    assert [r["avg_mae"] for r in frames["mae_by_day"].collect()] == [1.0, 0.0]
+    assert [r["station_id"] for r in frames["worst_stations"].collect()] == list(range(14, 4, -1))
+    assert [r["date"].day for r in frames["drift"].collect()] == [19]

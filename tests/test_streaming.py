@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import json
-from datetime import timedelta
+from datetime import date, timedelta
 
 import pytest
 from conftest import row, series, ts
@@ -17,7 +17,7 @@ from slotwise.operators.split import temporal_split
 from slotwise.session import materialise
 from slotwise.sources.snapshots import read_raw_snapshots
 from slotwise.sources import sinks
-from slotwise.sources.tables import read_predictions, read_table
+from slotwise.sources.tables import first_retained, read_dated, read_predictions, read_table
 from slotwise.streaming import cycle
 
 
@@ -191,3 +191,25 @@ def test_reconciled_cycles_equal_batch_whatever_the_order(spark, errors, tmp_pat
     assert same(run(), batch()) == 146
     assert same(run(str(tmp_path / "second"), "2024-01-21"), batch()) == 146
     assert read_table(spark, cycles, schemas.CYCLE_METRICS).count() == n
+
+
+def test_stream_table_is_read_after_retention(spark, frame, tmp_path):
+    landing, table, checkpoint = dirs(tmp_path, "landing", "table", "checkpoint")
+    data = frame([r for day in ("01", "02", "03") for r in series(1, f"2024-01-{day} 09:00:00", range(4))])
+    data.coalesce(1).write.parquet(landing)
+    stream = cycle.table_stream(spark, landing, data.schema)
+    finish(cycle.start_table(stream, table, checkpoint))
+    assert read_dated(spark, table, data.schema).count() == 12 and first_retained(spark, table) is None
+    assert sinks.drop_expired(spark, table, date(2024, 1, 4), days=2) == ["dt=2024-01-01"]
+    assert first_retained(spark, table) == date(2024, 1, 2)
+    left = read_dated(spark, table, data.schema)
+    assert left.count() == 8 and left.drop("dt").exceptAll(data).count() == 0
+    assert read_dated(spark, table, data.schema, "2024-01-01", "2024-01-02").count() == 4
+    assert cycle.table_history(spark, table, data.schema)(date(2024, 1, 1), date(2024, 1, 9)).count() == 8
+    more = frame(series(1, "2024-01-04 09:00:00", range(4)))  # the stream goes on after that
+    more.coalesce(1).write.mode("append").parquet(landing)
+    finish(cycle.start_table(stream, table, checkpoint))
+    assert read_dated(spark, table, data.schema).count() == 12
+    assert sinks.drop_expired(spark, table, date(2024, 1, 6), days=2) == ["dt=2024-01-02", "dt=2024-01-03"]
+    assert read_dated(spark, table, data.schema).count() == 4
+    assert sinks.drop_expired(spark, table, date(2024, 1, 6), days=2) == []
