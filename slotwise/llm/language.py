@@ -32,8 +32,10 @@ SMOOTHING = 0.5
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
-_HIDDEN = re.compile(r"(?is)<(script|style|nav|footer|aside|template|noscript)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
-_DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})\b")
+_HIDDEN = {t: re.compile(f"</{t}\\s*+>", re.I) for t in "script style nav footer aside template noscript".split()}
+_TAG = re.compile(r"<(!--|/?[a-z0-9]*)", re.I)
+_HTML = re.compile(r"<html\b", re.I)
+_LANG = re.compile(r"(?<!\S)lang\s*+=\s*+[\"']?([a-z]{2,3})\b", re.I)
 _ENTITY = re.compile(r"&#?\w{1,10};")
 
 
@@ -86,13 +88,43 @@ def address(url: str | None) -> tuple[str, str, str]:
 
 
 def declared(html: str | None) -> str:
-    found = _DECLARED.search((html or "")[:4096]) or _DECLARED.search(html or "")
-    return found.group(1).lower() if found else ""
+    """The language that an html tag declares; the first that does."""
+    html = html or ""
+    for tag in _HTML.finditer(html):
+        end = html.find(">", tag.end())
+        found = _LANG.search(html, tag.end(), end if end >= 0 else len(html))
+        if found:
+            return found[1].lower()
+        if end < 0:
+            break
+    return ""
 
 
 def visible(html: str | None) -> str:
-    """Text of a page without markup, scripts, navigation and entities."""
-    return _ENTITY.sub(" ", _HIDDEN.sub(" ", html or ""))
+    """Text of a page without markup, scripts, navigation and entities, in one pass forward."""
+    html, at, out = html or "", 0, []
+    never: set = set()  # marks that do not come any more
+
+    def after(mark: str | re.Pattern, begin: int) -> int:
+        if mark in never:
+            return -1
+        if isinstance(mark, str):
+            found = html.find(mark, begin)
+            end = found + len(mark) if found >= 0 else -1
+        else:
+            found = mark.search(html, begin)
+            end = found.end() if found else -1
+        if end < 0:
+            never.add(mark)
+        return end
+
+    while (tag := _TAG.search(html, at)) and (end := after(">", tag.end())) >= 0:
+        out.append(html[at : tag.start()])
+        name = tag[1].lower()
+        closer = after("-->", tag.end()) if name == "!--" else after(_HIDDEN[name], tag.end()) if name in _HIDDEN else -1
+        at = closer if closer >= 0 else end
+    out.append(html[at:])
+    return _ENTITY.sub(" ", " ".join(out))
 
 
 _EVIDENCE = "page_id long, host string, domain string, suffix string, declared string, trigrams long, q array<double>"
@@ -140,7 +172,7 @@ def fuse(pages: DataFrame, model: dict) -> DataFrame:
         return rows.select("page_id", none.alias("lang"), F.lit(None).cast("double").alias("probability"), none.alias("text_lang"), "declared", "suffix", "host", F.col("q").alias("posterior"))
 
     def sums(name: str) -> list:
-        # informed pages only; whole thousandths, so that sums do not depend on their order
+        # informed pages only; whole millionths, so that sums do not depend on their order
         return [F.sum(F.round(F.when(F.col("trigrams") > 0, F.col("q")[i]).otherwise(0.0) * 1e6).cast("long")).alias(f"{name}{i}") for i in range(k)]
 
     every = rows.agg(*sums("all")).first()
