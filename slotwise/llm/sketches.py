@@ -97,9 +97,9 @@ def peeled(cells: Column, salt: int = 0) -> Column:
 
 
 def written(cells: Column) -> Column:
-    """Cells as text: base64 of count (1 byte), digests (8) and checks (4) of each."""
+    """Cells as text: base64 of count (4 bytes), digests (8) and checks (4) of each."""
     hexed = F.transform(
-        cells, lambda c: F.concat(F.lpad(F.hex(F.pmod(c["n"], F.lit(256))), 2, "0"), F.lpad(F.hex(c["k"]), 16, "0"), F.lpad(F.hex(c["h"]), 8, "0"))
+        cells, lambda c: F.concat(F.lpad(F.hex(F.pmod(c["n"].cast("long"), F.lit(1 << 32))), 8, "0"), F.lpad(F.hex(c["k"]), 16, "0"), F.lpad(F.hex(c["h"]), 8, "0"))
     )
     return F.base64(F.unhex(F.array_join(hexed, "")))
 
