@@ -803,7 +803,7 @@ def gbt_tune(spark, sf_dir):
 def gbt_search(spark, sf_dir):
     """Successive halving over sampled parameters: every trial with its trees and its error."""
     train, val, _ = _split_data(spark, sf_dir)
-    _, _, trials = trees.search(train, val, n=4, keep=2)
+    _, _, trials = trees.search(train, val, n=4, keep=2, rounds=32)
     found = [(t.number, t.rounds, float(t.params["stepSize"]), int(t.params["maxDepth"]), t.error, t.kept) for t in trials]
     return spark.createDataFrame(found, "candidate int, rounds int, step_size double, max_depth int, val_mae double, kept boolean")
 
