@@ -11,7 +11,8 @@ need more bits stand in an exception list with their places. An index gives each
     then 2-byte places and 4-byte values of its exceptions
 
 At scale: texts move once, into buckets that follow doc_id; a bucket is a file of a few MB, and the
-ids before a document come from running sums over buckets (one row each) and inside a bucket.
+ids before a document come from running sums over buckets (one row each) and inside a bucket. A doc_id
+with more text than a bucket (that of rows without one, say) has buckets of its own, cut by the hash of the text.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from slotwise.llm.bpe import END_ID, encoder, vocabulary_path
 from slotwise.llm.files import read_binary, write_binary
-from slotwise.llm.frames import key_and_text, original_id, parts_for
+from slotwise.llm.frames import BIGGEST, MB, key_and_text, original_id, parts_for
 from slotwise.llm.order import bucket_bounds, bucket_of
 from slotwise.llm.text import pack_ids, slices, text_bytes, unpack_ids
 from slotwise.session import materialise, scratch_dir
@@ -34,6 +35,7 @@ BLOCK = 512
 PERCENTILE = 0.95
 SEGMENT = 500_000  # ids
 BUCKET_MB = 16
+PARTS = 1_000_000  # buckets one doc_id may fill
 MAGIC = b"PFR1"
 
 
@@ -169,6 +171,23 @@ def _bounds(values: np.ndarray):
     return ([0, *cut.tolist()], [*cut.tolist(), len(values)]) if len(values) else ([], [])
 
 
+def _hot_ids(docs: DataFrame, bucket_mb: float) -> dict[int, int]:
+    """The doc_ids with more than twice a bucket's text, fewer than half as many as there are buckets, and how many
+    buckets each fills."""
+    limit = bucket_mb * MB
+    sizes = docs.groupBy("doc_id").agg(F.sum(F.octet_length("text").cast("long")).alias("size"))
+    return {r["doc_id"]: min(PARTS, -(-r["size"] // int(limit))) for r in sizes.where(F.col("size") > 2 * limit).collect()}
+
+
+def _part(hot: dict[int, int]):
+    """Number of the part of its doc_id that a row belongs to; parts ascend with the hash of the text."""
+    if not hot:
+        return F.lit(0).cast("long")
+    parts = F.element_at(F.create_map(*(F.lit(x) for pair in hot.items() for x in pair)), F.col("doc_id"))
+    share = F.xxhash64("text") / float(1 << 64) + 0.5
+    return F.least(F.floor(share * F.coalesce(parts, F.lit(1))), F.coalesce(parts, F.lit(1)) - 1).cast("long")
+
+
 def write_token_files(
     docs: DataFrame, path: str, tokenizer: str | None = None, bucket_mb: float = BUCKET_MB, segment_ids: int = SEGMENT,
     percentile: float = PERCENTILE, end_id: int = END_ID,
@@ -182,7 +201,10 @@ def write_token_files(
     docs = key_and_text(docs)
     buckets = parts_for(docs, bucket_mb)
     bounds = bucket_bounds(docs.select("doc_id"), buckets)
-    dealt = docs.withColumn("bucket", bucket_of("doc_id", bounds).cast("long")).repartition(buckets, "bucket")
+    hot = _hot_ids(docs, bucket_mb)
+    bounds = sorted({*bounds, *hot, *(h + 1 for h in hot if h < BIGGEST)})
+    bucket = bucket_of("doc_id", bounds).cast("long") * PARTS + _part(hot)
+    dealt = docs.withColumn("bucket", bucket).repartition(buckets + sum(hot.values()), "bucket")
     dealt = dealt.sortWithinPartitions("bucket", "doc_id", F.xxhash64("text"))
     work = partial(_encode, path=tokenizer or vocabulary_path(), segment_ids=segment_ids, percentile=percentile, end_id=end_id)
     write_binary(dealt.mapInArrow(work, "bucket long, payload binary"), path)

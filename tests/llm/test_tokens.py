@@ -115,3 +115,12 @@ def test_histogram_of_odd_rows(odd, empty):
     assert got[0] == 2 and sum(got.values()) == odd.count()
     assert limits(length_histogram(empty)).count() == 0
     assert at_limit(limits(length_histogram(empty)), 5).first()["truncated_tokens"] == 0
+
+
+def test_an_id_with_many_rows_fills_several_files(spark, tmp_path):
+    rows = [(None if i % 3 else i, f"text {i} " * (1 + i % 40)) for i in range(1500)] + [(7, f"seven {i} " * 30) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    compare(df, bucket_mb=0.02)
+    write_token_files(df, str(tmp_path / "tokens"), bucket_mb=0.02)
+    sizes = [sum(f.stat().st_size for f in d.iterdir()) for d in (tmp_path / "tokens").iterdir() if d.is_dir()]
+    assert len(sizes) > 20 and max(sizes) < 8 * sorted(sizes)[len(sizes) // 2]
