@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from slotwise.llm.bpe import encoder, vocabulary_path
 from slotwise.llm.text import slices, text_bytes
+from slotwise.session import materialise
 
 RANGE = 64
 
@@ -37,7 +38,7 @@ def length_histogram(docs: DataFrame, tokenizer: str | None = None) -> DataFrame
     """
     text = docs.select(F.col("text").cast("string").alias("text"))
     counted = text.mapInArrow(partial(_count, path=tokenizer or vocabulary_path()), "length long, docs long")
-    return counted.groupBy("length").agg(F.sum("docs").alias("docs"))
+    return materialise(counted.groupBy("length").agg(F.sum("docs").alias("docs")), "lengths")  # read more than once
 
 
 def limits(histogram: DataFrame) -> DataFrame:
