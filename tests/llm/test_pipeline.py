@@ -64,3 +64,18 @@ def test_stages_take_effect(spark, docs):
 def test_empty_table(spark, empty):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_odd_rows_through_all_stages(spark, odd, tmp_path):
+    """Nulls, empty and repeated rows, one very long text and clashing column names: stage by stage, and as a whole."""
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    kept = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = materialise(stage(spark, kept, str(tmp_path)), name)
+        assert sorted(kept.columns) == sorted(odd.columns)
+    last = corpus_pipeline.run(spark, str(tmp_path))
+    assert last.count() == kept.count() > 0
+    starts = sorted((r["start"], r["n_tokens"]) for r in last.collect())
+    assert starts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
