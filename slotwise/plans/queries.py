@@ -844,16 +844,17 @@ def promote_if_better(spark, sf_dir):
 
 
 def _finish(query) -> None:
+    """Waits for a stream. Read its table by the stream's schema: one that kept no row has no file to infer it from."""
     query.awaitTermination()
 
 
 @register
 def stream_ingest(spark, sf_dir):
     """The landed documents through the ingest stream into a table."""
-    stream = cycle.document_stream(spark, _landed(spark, sf_dir), multiline=False)
+    stream = cycle.ingest_stream(cycle.document_stream(spark, _landed(spark, sf_dir), multiline=False))
     table, checkpoint = scratch_dir(spark, "ingested"), scratch_dir(spark, "checkpoint")
-    _finish(cycle.start_table(cycle.ingest_stream(stream), table, checkpoint))
-    return spark.read.parquet(table).drop("dt", "seq")
+    _finish(cycle.start_table(stream, table, checkpoint))
+    return tables.read_table(spark, table, stream.schema).drop("seq")
 
 
 @register
@@ -863,7 +864,7 @@ def stream_dedup(spark, sf_dir):
     stream = cycle.dedup_stream(canonical.snapshots_from_events(events))
     table, checkpoint = scratch_dir(spark, "deduplicated"), scratch_dir(spark, "checkpoint")
     _finish(cycle.start_table(stream, table, checkpoint))
-    return spark.read.parquet(table).select(*KEY)
+    return tables.read_table(spark, table, stream.schema).select(*KEY)
 
 
 @register
@@ -945,7 +946,7 @@ def stream_reconcile(spark, sf_dir):
     )
     _finish(cycle.start_table(matched, paths[2], paths[3], time=None))
     error = F.col("error")
-    df = spark.read.parquet(paths[2]).groupBy("target_time").agg(
+    df = tables.read_table(spark, paths[2], matched.schema).groupBy("target_time").agg(
         F.count("*").alias("n_predictions"),
         metrics.mae(error).alias("mae"),
         metrics.rmse(error).alias("rmse"),
@@ -959,7 +960,7 @@ def _error_stream(spark, sf_dir, **window):
     cycles.write.parquet(paths[0])
     stream = cycle.error_windows(cycle.table_stream(spark, paths[0], cycles.schema), **window)
     _finish(cycle.start_table(stream, paths[1], paths[2], time=None))
-    return rounded(spark.read.parquet(paths[1]), "avg_mae")
+    return rounded(tables.read_table(spark, paths[1], stream.schema), "avg_mae")
 
 
 @register

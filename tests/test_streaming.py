@@ -14,6 +14,7 @@ from slotwise.ml.scoring import score_slots
 from slotwise.operators import features, monitoring, rows
 from slotwise.operators.rows import with_target
 from slotwise.operators.split import temporal_split
+from slotwise.plans.queries import QUERIES
 from slotwise.session import materialise
 from slotwise.sources.snapshots import read_raw_snapshots
 from slotwise.sources import sinks
@@ -213,3 +214,16 @@ def test_stream_table_is_read_after_retention(spark, frame, tmp_path):
     assert sinks.drop_expired(spark, table, date(2024, 1, 6), days=2) == ["dt=2024-01-02", "dt=2024-01-03"]
     assert read_dated(spark, table, data.schema).count() == 4
     assert sinks.drop_expired(spark, table, date(2024, 1, 6), days=2) == []
+
+
+def test_stream_queries_without_a_row(spark, tmp_path):
+    """All documents break the contract (as soon as each has a station that is not available), no window closes, nothing pairs."""
+    at = "CAST('2024-01-15 09:00:00' AS TIMESTAMP_NTZ)"
+    events = spark.range(3).selectExpr("id AS event_id", f"{at} AS ts", "id AS user_id", "'signup' AS event_type", "5.0D AS value", """'{"k": 5}' AS props""")
+    for n, part in enumerate((events, events.limit(0))):
+        part.write.parquet(str(tmp_path / f"{n}/events.parquet"))
+        found = QUERIES["stream_ingest"](spark, str(tmp_path / str(n)))
+        assert found.count() == 0 and {"station_id", "raw_ts", "snapshot_timestamp"} <= set(found.columns)
+        assert not {"dt", "seq"} & set(found.columns)
+        for name in ("stream_reconcile", "stream_error_windows"):
+            assert QUERIES[name](spark, str(tmp_path / str(n))).count() == 0
