@@ -11,7 +11,8 @@ import pyspark
 from slotwise.llm.text import span_hashes
 
 END_ID = 0
-CACHE = 500_000  # distinct pieces a worker remembers; then it starts anew
+CACHE = 1_000_000  # distinct pieces a worker remembers; then it starts anew
+JOINED = 20  # pieces given to the library as one text
 
 
 def _table(bytes_) -> np.ndarray:
@@ -32,6 +33,9 @@ class PieceEncoder:
     reaches from a visible character over a following space, or from a letter over a following
     punctuation mark. So a text may be cut there, and its ids are those of its pieces in turn.
     Texts that hold one of the tokenizer's special tokens are encoded whole.
+
+    A special token ends a part of the text before anything else happens, so new pieces go to the library
+    ``JOINED`` at a time with one between them: a text of its own for each costs more than its merges.
     """
 
     def __init__(self, path: str):
@@ -40,7 +44,10 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.special = [t["content"].encode() for t in spec.get("added_tokens") or []]
+        added = spec.get("added_tokens") or []
+        self.special = [t["content"].encode() for t in added]
+        plain = [t for t in added if t.get("special") and not any(t.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized"))]
+        self.between = (plain[0]["content"], plain[0]["id"]) if plain else None
         split = spec.get("pre_tokenizer") or {}
         self.cuts = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not spec.get("normalizer")
         self._clear()
@@ -52,10 +59,20 @@ class PieceEncoder:
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         out = []  # a part at a time, as the library's encodings take far more room than their ids
-        for at in range(0, len(texts), 5_000):
-            out += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts[at : at + 5_000], add_special_tokens=False)]
+        for at in range(0, len(texts), 1_000):
+            out += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts[at : at + 1_000], add_special_tokens=False)]
         return out
 
+    def _distinct(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces one after the other, and how many each has. No piece holds a special token."""
+        if self.between is None:
+            ids = self._whole(pieces)
+            return np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids))
+        text, mark = self.between
+        flat = np.concatenate(self._whole([text.join([*pieces[a : a + JOINED], ""]) for a in range(0, len(pieces), JOINED)]))
+        ends = flat == mark
+        return flat[~ends], np.diff(np.flatnonzero(ends), prepend=-1) - 1
+
     def _pieces(self, buffer: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         n = int(offsets[-1])
         now = buffer[:n]
@@ -81,9 +98,7 @@ class PieceEncoder:
             if len(self.keys) + len(new) > CACHE and len(self.keys):
                 self._clear()
                 return self._look_up(keys, texts)
-            ids = self._whole(texts(new))
-            count = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.concatenate(ids)
+            flat, count = self._distinct(texts(new))
             begin = len(self.ids) + np.cumsum(count) - count
             self.ids = np.concatenate([self.ids, flat])
             merged = np.concatenate([self.keys, keys[new]])

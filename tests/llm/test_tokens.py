@@ -3,10 +3,12 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from slotwise.llm import bpe
 from slotwise.llm.lengths import at_limit, length_at, length_histogram, limits
+from slotwise.llm.text import text_bytes
 from slotwise.llm.tokens import pack_blocks, read_token_ids, segment, segments, token_digests, unpack_blocks, write_token_files
 
 TOOL = None
@@ -124,3 +126,16 @@ def test_an_id_with_many_rows_fills_several_files(spark, tmp_path):
     write_token_files(df, str(tmp_path / "tokens"), bucket_mb=0.02)
     sizes = [sum(f.stat().st_size for f in d.iterdir()) for d in (tmp_path / "tokens").iterdir() if d.is_dir()]
     assert len(sizes) > 20 and max(sizes) < 8 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_new_pieces_share_calls_of_the_library(monkeypatch):
+    tool, given = bpe.PieceEncoder(bpe.vocabulary_path()), []
+    whole = tool._whole
+    monkeypatch.setattr(tool, "_whole", lambda texts: given.extend(texts) or whole(texts))
+    words = [f"{chr(97 + i % 26)}x{i}é" for i in range(500)]
+    texts = [" ".join(words), "  ", "", "a\n\n b's  c ", "0" * 50]
+    buffer, offsets = text_bytes(pa.array(texts))
+    ids, count = tool.encode(buffer, offsets)
+    assert count.tolist() == [len(ids_of(t)) for t in texts]
+    assert ids.tolist() == [x for t in texts for x in ids_of(t)]
+    assert len(given) <= 1 + 520 // 20
