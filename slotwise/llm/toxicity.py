@@ -38,6 +38,7 @@ LENGTHS = (4, 5, 6, 8)
 WINDOW = 5  # tokens on each side of a telling token
 THRESHOLD = 0.7
 STEPS = 100
+PART_BYTES = 1 << 20  # of the sample's texts read at a time: the fit runs on the driver
 
 # Tokens are runs of letters, digits and bytes beyond ASCII.
 TOKEN = np.zeros(256, bool)
@@ -67,10 +68,16 @@ def tokens(buffer: np.ndarray, offsets: np.ndarray):
     return begin, end, first, lanes[begin] & _MASK[np.minimum(reach - begin, 8)], reach, lowered
 
 
+def feature_lists(head: np.ndarray, whole: np.ndarray):
+    """One hash per token: of each prefix length in turn, then of the whole token."""
+    for k in LENGTHS:
+        yield mixed((head & _MASK[k]) ^ U64(0x9E3779B97F4A7C15 * k % (1 << 64)))
+    yield mixed(whole ^ U64(0x632BE59BD9B4E019))
+
+
 def features(head: np.ndarray, whole: np.ndarray) -> np.ndarray:
-    """One hash per token and prefix length, and one of the whole token: shape (lengths + 1, tokens)."""
-    prefixes = [mixed((head & _MASK[k]) ^ U64(0x9E3779B97F4A7C15 * k % (1 << 64))) for k in LENGTHS]
-    return np.stack([*prefixes, mixed(whole ^ U64(0x632BE59BD9B4E019))])
+    """All of them: shape (lengths + 1, tokens)."""
+    return np.stack(list(feature_lists(head, whole)))
 
 
 def _filter(values: np.ndarray) -> np.ndarray:
@@ -195,33 +202,43 @@ def marginals(places: list[int], energy: list[float], length: int, field: dict)
 
 
 def _lists(texts: list[str]):
-    """Feature hashes (lengths + 1, tokens) and tokens before each text."""
-    buffer, offsets = text_bytes(pa.array(texts, pa.large_string()))
-    begin, _, first, head, reach, lowered = tokens(buffer, offsets)
-    return features(head, span_hashes(lowered, begin, reach)), first
-
-
-def _frequencies(hashes: np.ndarray, first: np.ndarray, toxic: np.ndarray):
-    """Distinct features with the numbers of toxic and of clean texts that have them."""
+    """First eight bytes and hash of every token, and tokens before each text; read a part of the texts at a time."""
+    heads, wholes, before = [], [], [np.zeros(1, np.int64)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"])
+    for piece in slices(batch, "text", PART_BYTES):
+        buffer, offsets = text_bytes(piece.column("text"))
+        begin, _, first, head, reach, lowered = tokens(buffer, offsets)
+        heads.append(head)
+        wholes.append(span_hashes(lowered, begin, reach))
+        before.append(before[-1][-1] + first[1:])
+    return np.concatenate(heads), np.concatenate(wholes), np.concatenate(before)
+
+
+def _frequencies(head: np.ndarray, whole: np.ndarray, first: np.ndarray, toxic: np.ndarray):
+    """Distinct features with the numbers of toxic and of clean texts that have them; a kind of feature at a time."""
     doc = np.repeat(np.arange(len(toxic)), np.diff(first))
-    flat, doc = hashes.ravel(), np.tile(doc, len(hashes))
-    _, once = np.unique(pair_hash(flat, doc.astype(U64)), return_index=True)
-    known, inverse = np.unique(flat[once], return_inverse=True)
-    bad = toxic[doc[once]]
-    return known, np.bincount(inverse, bad, len(known)), np.bincount(inverse, ~bad, len(known))
+    found = []
+    for values in feature_lists(head, whole):
+        _, once = np.unique(pair_hash(values, doc.astype(U64)), return_index=True)
+        known, inverse = np.unique(values[once], return_inverse=True)
+        bad = toxic[doc[once]]
+        found.append((known, np.bincount(inverse, bad, len(known)), np.bincount(inverse, ~bad, len(known))))
+    values, bad, good = (np.concatenate(x) for x in zip(*found))
+    known, inverse = np.unique(values, return_inverse=True)
+    return known, np.bincount(inverse, bad, len(known)), np.bincount(inverse, good, len(known))
 
 
 def _fit_field(texts: list[str], toxic: np.ndarray, most_features: int, most_telling: int, most_other: int) -> dict:
     """Known features, the first hashes of the tokens that have one, and the fitted field."""
-    hashes, first = _lists(texts)
-    known, bad, good = _frequencies(hashes, first, toxic)
+    head, whole, first = _lists(texts)
+    known, bad, good = _frequencies(head, whole, first, toxic)
     odds = np.log((bad + 0.5) / (toxic.sum() + 1)) - np.log((good + 1) / ((~toxic).sum() + 1))
     least = odds - np.sqrt(1 / (bad + 0.5) + 1 / (good + 1))  # lower bound, so that rare chances stay out
     pick = np.flatnonzero((bad >= 3) & (least > 1))
     pick = np.sort(pick[np.lexsort((known[pick], -odds[pick] * np.sqrt(bad[pick])))][:most_features])
     strong, known = odds[pick] > 2.5, known[pick]
     field = _Field(len(known))
-    ids = (np.stack([_find(known, h) for h in hashes]) + 1).T
+    ids = np.stack([(_find(known, h) + 1).astype(np.int32) for h in feature_lists(head, whole)]).T
     has = (ids > 0).any(axis=1)
     telling, rest = np.flatnonzero(has), np.flatnonzero(~has)
     if len(telling):
@@ -234,7 +251,7 @@ def _fit_field(texts: list[str], toxic: np.ndarray, most_features: int, most_tel
         inside = np.take_along_axis(np.clip(span, 0, len(doc) - 1), order, 1)
         here = np.take_along_axis(here, order, 1)
         field.fit(np.where(here[:, :, None], ids[inside], 0), np.where(here, tag[inside], 0).astype(np.int64), here)
-    return {"known": known, "heads": np.unique(hashes[0][telling]), "field": field.plain()}
+    return {"known": known, "heads": np.unique(next(feature_lists(head[telling], whole[telling]))), "field": field.plain()}
 
 
 def fit(
@@ -257,8 +274,9 @@ def fit(
     evidence = np.zeros((len(texts), 2))
     for learn in (half, ~half):
         part = _fit_field([t for t, x in zip(texts, learn) if x], toxic[learn], *bounds)
-        buffer, offsets = text_bytes(pa.array([t for t, x in zip(texts, learn) if not x], pa.large_string()))
-        evidence[~learn] = [e for e, _, _ in _evidence(buffer, offsets, part)]
+        rest = pa.RecordBatch.from_arrays([pa.array([t for t, x in zip(texts, learn) if not x], pa.large_string())], ["text"])
+        pieces = slices(rest, "text", PART_BYTES)
+        evidence[~learn] = [e for piece in pieces for e, _, _ in _evidence(*text_bytes(piece.column("text")), part)]
     return model | _fit_field(texts, toxic, *bounds) | {"curve": _logistic(evidence, toxic, weight)}
 
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -171,3 +172,14 @@ def test_empty_tables(empty, corpus):
     assert toxicity.toxicity(empty, labels).count() == 0
     scores = {r["score"] for r in toxicity.toxicity(docs, labels.limit(0)).collect()}
     assert len(scores) == 1 and max(scores) < 0.7
+
+
+def test_the_fit_keeps_few_numbers_a_token():
+    rng = random.Random(3)
+    words = [f"{rng.choice('abcdefgh')}{i}" for i in range(5_000)] + ["語言文字"]
+    texts = [" ".join(rng.choices(words, k=500)) + (" vilest" if n % 2 else "") for n in range(800)]
+    tracemalloc.start()
+    model = toxicity.fit(texts, [n % 2 for n in range(800)], (1.0, 1.0))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model["known"]) and peak < 150 * 800 * 500
