@@ -38,7 +38,7 @@ LENGTHS = (4, 5, 6, 8)
 WINDOW = 5  # tokens on each side of a telling token
 THRESHOLD = 0.7
 STEPS = 100
-PART_BYTES = 1 << 20  # of the sample's texts read at a time: the fit runs on the driver
+PART_BYTES = 1 << 18  # of the sample's texts read at a time: the fit runs on the driver
 
 # Tokens are runs of letters, digits and bytes beyond ASCII.
 TOKEN = np.zeros(256, bool)
@@ -201,57 +201,74 @@ def marginals(places: list[int], energy: list[float], length: int, field: dict)
 # --- fitting --------------------------------------------------------------------------------------
 
 
-def _lists(texts: list[str]):
-    """First eight bytes and hash of every token, and tokens before each text; read a part of the texts at a time."""
-    heads, wholes, before = [], [], [np.zeros(1, np.int64)]
+def _parts(texts: list[str]):
+    """First eight bytes and hash of every token, and tokens before each text: a part of the texts at a time."""
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"])
     for piece in slices(batch, "text", PART_BYTES):
         buffer, offsets = text_bytes(piece.column("text"))
         begin, _, first, head, reach, lowered = tokens(buffer, offsets)
-        heads.append(head)
-        wholes.append(span_hashes(lowered, begin, reach))
-        before.append(before[-1][-1] + first[1:])
-    return np.concatenate(heads), np.concatenate(wholes), np.concatenate(before)
-
-
-def _frequencies(head: np.ndarray, whole: np.ndarray, first: np.ndarray, toxic: np.ndarray):
-    """Distinct features with the numbers of toxic and of clean texts that have them; a kind of feature at a time."""
-    doc = np.repeat(np.arange(len(toxic)), np.diff(first))
-    found = []
-    for values in feature_lists(head, whole):
-        _, once = np.unique(pair_hash(values, doc.astype(U64)), return_index=True)
-        known, inverse = np.unique(values[once], return_inverse=True)
-        bad = toxic[doc[once]]
-        found.append((known, np.bincount(inverse, bad, len(known)), np.bincount(inverse, ~bad, len(known))))
-    values, bad, good = (np.concatenate(x) for x in zip(*found))
-    known, inverse = np.unique(values, return_inverse=True)
-    return known, np.bincount(inverse, bad, len(known)), np.bincount(inverse, good, len(known))
+        yield head, span_hashes(lowered, begin, reach), first
+
+
+def _frequencies(texts: list[str], toxic: np.ndarray, least: int = 3):
+    """Features that ``least`` toxic texts have, with the numbers of toxic and of clean texts that have them."""
+    known, bad = np.empty(0, U64), np.empty(0)
+    for some in _features_of([t for t, x in zip(texts, toxic) if x]):
+        values, inverse = np.unique(np.concatenate([known, some]), return_inverse=True)
+        bad = np.bincount(inverse, np.concatenate([bad, np.ones(len(some))]), len(values))
+        known = values
+    known, bad = known[bad >= least], bad[bad >= least]
+    good = np.zeros(len(known))
+    for some in _features_of([t for t, x in zip(texts, toxic) if not x]):
+        at = _find(known, some)
+        good += np.bincount(at[at >= 0], minlength=len(known))
+    return known, bad, good
+
+
+def _features_of(texts: list[str]):
+    """The features of the texts, each once a text; a kind of feature of a part at a time."""
+    for head, whole, first in _parts(texts):
+        doc = np.repeat(np.arange(len(first) - 1).astype(U64), np.diff(first))
+        for values in feature_lists(head, whole):
+            yield values[np.unique(pair_hash(values, doc), return_index=True)[1]]
 
 
 def _fit_field(texts: list[str], toxic: np.ndarray, most_features: int, most_telling: int, most_other: int) -> dict:
-    """Known features, the first hashes of the tokens that have one, and the fitted field."""
-    head, whole, first = _lists(texts)
-    known, bad, good = _frequencies(head, whole, first, toxic)
+    """Known features, the first hashes of the tokens that have one, and the fitted field.
+
+    Only tokens that have a known feature keep their numbers; of the others it is known where they are.
+    """
+    known, bad, good = _frequencies(texts, toxic)
     odds = np.log((bad + 0.5) / (toxic.sum() + 1)) - np.log((good + 1) / ((~toxic).sum() + 1))
     least = odds - np.sqrt(1 / (bad + 0.5) + 1 / (good + 1))  # lower bound, so that rare chances stay out
-    pick = np.flatnonzero((bad >= 3) & (least > 1))
+    pick = np.flatnonzero(least > 1)
     pick = np.sort(pick[np.lexsort((known[pick], -odds[pick] * np.sqrt(bad[pick])))][:most_features])
     strong, known = odds[pick] > 2.5, known[pick]
     field = _Field(len(known))
-    ids = np.stack([(_find(known, h) + 1).astype(np.int32) for h in feature_lists(head, whole)]).T
-    has = (ids > 0).any(axis=1)
-    telling, rest = np.flatnonzero(has), np.flatnonzero(~has)
+    ids, heads, row, first = [np.zeros((1, len(LENGTHS) + 1), np.int32)], [np.empty(0, U64)], [], [np.zeros(1, np.int64)]
+    for head, whole, before in _parts(texts):
+        here = np.stack([(_find(known, h) + 1).astype(np.int32) for h in feature_lists(head, whole)], axis=1)
+        has = (here > 0).any(axis=1)
+        ids.append(here[has])
+        heads.append(np.unique(next(feature_lists(head[has], whole[has]))))
+        row.append(has)
+        first.append(first[-1][-1] + before[1:])
+    ids, has, first = np.concatenate(ids), np.concatenate(row), np.concatenate(first)
+    telling, rest = np.flatnonzero(has).astype(np.int32), np.flatnonzero(~has).astype(np.int32)
     if len(telling):
-        doc = np.repeat(np.arange(len(texts)), np.diff(first))
-        tag = np.append(False, strong)[ids].any(axis=1) & toxic[doc]
+        row = np.zeros(len(has), np.int32)  # of ``ids``; the first belongs to all tokens without a feature
+        row[telling] = np.arange(1, len(telling) + 1)
+        tag = np.append(False, strong)[ids].any(axis=1)
+        tag[1:] &= toxic[np.searchsorted(first, telling, "right") - 1]
         centre = np.concatenate([telling[:: -(-len(telling) // most_telling)], rest[:: max(1, -(-len(rest) // most_other))]])
+        doc = np.searchsorted(first, centre, "right") - 1
         span = centre[:, None] + np.arange(-WINDOW, WINDOW + 1)
-        here = (span >= first[doc[centre]][:, None]) & (span < first[doc[centre] + 1][:, None])
+        here = (span >= first[doc][:, None]) & (span < first[doc + 1][:, None])
         order = np.argsort(~here, axis=1, kind="stable")  # tokens that exist come first
-        inside = np.take_along_axis(np.clip(span, 0, len(doc) - 1), order, 1)
+        inside = row[np.take_along_axis(np.clip(span, 0, len(has) - 1), order, 1)]
         here = np.take_along_axis(here, order, 1)
         field.fit(np.where(here[:, :, None], ids[inside], 0), np.where(here, tag[inside], 0).astype(np.int64), here)
-    return {"known": known, "heads": np.unique(next(feature_lists(head[telling], whole[telling]))), "field": field.plain()}
+    return {"known": known, "heads": np.unique(np.concatenate(heads)), "field": field.plain()}
 
 
 def fit(
@@ -378,7 +395,9 @@ def fit_on_labels(
     found = rows.collect()
     seen = {k: max(1, sum(r["label"] == k for r in found)) for k in (0, 1)}
     shares = tuple(counts.get(k, 0) / seen[k] for k in (0, 1))
-    return fit([r["text"] for r in found], [r["label"] for r in found], shares, **bounds)
+    model = fit([r["text"] for r in found], [r["label"] for r in found], shares, **bounds)
+    pa.default_memory_pool().release_unused()  # the driver goes on to other work
+    return model
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **settings) -> DataFrame:

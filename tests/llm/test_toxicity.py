@@ -183,3 +183,28 @@ def test_the_fit_keeps_few_numbers_a_token():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(model["known"]) and peak < 150 * 800 * 500
+
+
+def test_the_fit_keeps_no_number_of_tokens_without_a_feature():
+    """What it holds at once follows a part of the sample and the telling tokens, not all tokens."""
+    rng = random.Random(3)
+    words = [f"{rng.choice('abcdefgh')}{i}" for i in range(5_000)]
+    texts = [" ".join(rng.choices(words, k=1_000)) + (" vilest" if n % 2 else "") for n in range(1_000)]
+    tracemalloc.start()
+    model = toxicity.fit(texts, [n % 2 for n in range(1_000)], (1.0, 1.0))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model["known"]) and peak < 40 * 1_000 * 1_000
+
+
+def test_counts_of_features_are_those_of_whole_texts(monkeypatch):
+    """A part of the sample at a time gives the same numbers; a feature of fewer than three toxic texts is none."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["alpha", "beta", "gamma", "語言文字", "delta"], k=rng.randint(0, 6))) + (" rare" if n == 1 else "") for n in range(60)]
+    toxic = np.arange(60) % 2 == 1
+    wanted = toxicity._frequencies(texts, toxic)
+    monkeypatch.setattr(toxicity, "PART_BYTES", 64)
+    found = toxicity._frequencies(texts, toxic)
+    assert all(np.array_equal(a, b) for a, b in zip(wanted, found)) and wanted[1].min() >= 3
+    at = np.flatnonzero(wanted[0] == next(iter(toxicity._features_of(["alpha"])))[0])
+    assert wanted[1][at] == sum("alpha" in t for t, x in zip(texts, toxic) if x) and wanted[2][at] == sum("alpha" in t for t, x in zip(texts, toxic) if not x)
