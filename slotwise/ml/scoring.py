@@ -29,6 +29,7 @@ from slotwise.operators.rows import (
     only_keys,
     union_history,
 )
+from slotwise.session import materialise
 
 
 def scoring_features(
@@ -41,8 +42,10 @@ def scoring_features(
     """Features of the scorable stations at the slot of ``ts``.
 
     History is cut to those stations, to earlier slots and to ``settings.history_days`` before
-    any window runs. Without history the lag and statistics columns are null. ``options`` go to
-    ``all_features``; give those the model was trained with.
+    any window runs, and written once: as the result of a join by station it would be hashed by
+    station already, so every branch of ``all_features`` would repeat the cut, with all its sorts,
+    in the one stage of the windows. Without history the lag and statistics columns are null.
+    ``options`` go to ``all_features``; give those the model was trained with.
     """
     slot = floor_slot(instant(ts))
     current = active_for_scoring(snapshot)
@@ -51,7 +54,7 @@ def scoring_features(
         if settings.history_days is not None:
             first = F.date_trunc("day", slot) - F.expr(f"INTERVAL '{settings.history_days}' DAY")
             past = past.where(F.col(SERIES.time) >= first)
-        current = union_history(past, current)
+        current = materialise(union_history(past, current), "scoring-rows")
     return at_slot(all_features(current, settings=settings, **options), slot)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from slotwise.ml.scoring import scoring_features
 from slotwise.operators import features, rows
 from slotwise.plans import canonical
 from slotwise.session import build_session, scratch_dir
@@ -62,3 +63,10 @@ def test_user_settings_survive(spark):
 @pytest.mark.parametrize("name", ["spark.sql.session.timeZone"])
 def test_session_is_utc(spark, name):
     assert spark.conf.get(name) == "UTC"
+
+
+def test_scoring_windows_start_from_written_rows(spark):
+    """The cut of the history is not repeated, with its sorts, in each branch of the stage that holds the windows."""
+    flat = canonical.snapshots(spark, SF)
+    plan = plan_of(scoring_features(flat.where("hour(snapshot_timestamp) = 0"), flat, canonical.AS_OF))
+    assert "LeftSemi" not in plan and "Union" not in plan
