@@ -7,6 +7,7 @@ import math
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
 from pyspark.ml import PipelineModel
@@ -14,6 +15,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from slotwise.config import DEFAULTS, SERIES
 from slotwise.operators.metrics import mae
@@ -26,6 +28,10 @@ from slotwise.session import materialise, scratch_dir
 # "missing" on its own side, and no statistic has to be fitted for it.
 MISSING = -1.0e6
 
+# Candidates fitted at the same time. The passes of one fit wait for each other and leave cores idle between
+# them; each fit keeps its own binned rows, so this also bounds the memory.
+PARALLEL = 2
+
 DEFAULT_PARAMS: dict[str, Any] = {
     "maxIter": 100,
     "stepSize": 0.05,
@@ -191,6 +197,27 @@ def validation_mae(model: TreeModel, df: DataFrame) -> float:
     return rows.agg(mae(error).alias("mae")).first()["mae"]
 
 
+def inputs_mae(model: TreeModel, inputs: TreeInputs) -> float:
+    """``validation_mae`` from the written vectors of the validation part, without building them again."""
+    error = rounded_count(F.col("prediction")) - F.col(SERIES.target)
+    return model.stages[-1].transform(inputs.val).agg(mae(error).alias("mae")).first()["mae"]
+
+
+def fit_each(inputs: TreeInputs, candidates: Sequence[dict[str, Any]], parallel: int = PARALLEL) -> list[tuple[float, TreeModel]]:
+    """The error on the validation part and the model of every candidate, in their order, ``parallel`` at a time."""
+
+    def trial(params: dict[str, Any]):
+        def run() -> tuple[float, TreeModel]:
+            model = fit_trees(inputs, params)
+            return inputs_mae(model, inputs), model
+
+        return run
+
+    runs = map(inheritable_thread_target(inputs.train.sparkSession), map(trial, candidates))
+    with ThreadPool(max(1, min(parallel, len(candidates)))) as pool:
+        return pool.map(lambda run: run(), list(runs), chunksize=1)
+
+
 def grid(**choices: Sequence[Any]) -> list[dict[str, Any]]:
     """All combinations of the given parameter values."""
     return [dict(zip(choices, values)) for values in itertools.product(*choices.values())]
@@ -211,9 +238,7 @@ def tune(
         raise ValueError("no parameters to try")
     inputs = tree_inputs(train, val, columns)
     trials, best = [], None
-    for params in candidates:
-        model = fit_trees(inputs, params)
-        error = validation_mae(model, val)
+    for params, (error, model) in zip(candidates, fit_each(inputs, candidates)):
         trials.append((params, error))
         if best is None or error < best[1]:
             best = (params, error, model)

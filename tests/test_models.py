@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import threading
 from datetime import datetime, timedelta
 
 import pytest
@@ -101,6 +102,26 @@ def test_tuning_picks_the_lowest_validation_error(parts):
         trees.tune(parts[0], parts[1], [])
 
 
+@pytest.fixture
+def side_by_side(monkeypatch):
+    """Fits of one tree count that must meet another fit, and how often model inputs were built."""
+    meet, fit, prepare, built = threading.Barrier(2, timeout=60), trees.fit_trees, trees.prepare, []
+
+    def together(inputs, params):
+        if params["maxIter"] == 1:
+            meet.wait()
+        return fit(inputs, params)
+
+    monkeypatch.setattr(trees, "fit_trees", together)
+    monkeypatch.setattr(trees, "prepare", lambda *a: built.append(1) or prepare(*a))
+    return built
+
+
+def test_tuning_fits_side_by_side(parts, side_by_side):
+    _, _, trials = trees.tune(parts[0], parts[1], trees.grid(maxDepth=[1, 5], maxIter=[1], stepSize=[0.3]))
+    assert [p["maxDepth"] for p, _ in trials] == [1, 5] and len(side_by_side) == 2
+
+
 @pytest.mark.parametrize(
     ("errors", "patience", "trees"),
     [([3, 2, 1], 1, 3), ([3, 2, 2, 2, 1], 2, 2), ([3, 2, 2, 2, 1], 3, 5), ([3, 2, 4, 1, 5], None, 4), ([1], 5, 1), ([1, 1, 1], None, 1)],
