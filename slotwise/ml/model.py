@@ -313,10 +313,8 @@ def search(
     steps = math.ceil(math.log(n, keep) - 1e-9) if n > 1 else 0
     for step in range(steps, -1, -1):
         grown = max(1, rounds // keep**step)
-        tried = []
-        for number, params in live:
-            model = fit_trees(inputs, {**(fixed or {}), **params, "maxIter": grown})
-            tried.append((validation_mae(model, val), number, params, model))
+        fits = fit_each(inputs, [{**(fixed or {}), **params, "maxIter": grown} for _, params in live])
+        tried = [(error, number, params, model) for (number, params), (error, model) in zip(live, fits)]
         tried.sort(key=lambda t: t[:2])
         best = tried[0]
         live = [(number, params) for _, number, params, _ in tried[: max(1, -(-len(tried) // keep)) if step else 1]]

@@ -168,6 +168,11 @@ def test_search_drops_worse_candidates_early(parts):
         trees.search(train, val, space, n=0)
 
 
+def test_search_fits_side_by_side(parts, side_by_side):
+    _, _, trials = trees.search(parts[0], parts[1], {"maxDepth": [1, 5]}, n=2, keep=2, rounds=2, seed=1, fixed=QUICK)
+    assert [t.rounds for t in trials] == [1, 1, 2] and len(side_by_side) == 2
+
+
 def test_importance(model, spark):
     got = trees.feature_importance(model, spark)
     rows = {r["feature"]: r for r in got.collect()}
