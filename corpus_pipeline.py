@@ -22,7 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (0.8 of the five-word shingles), the document with the smallest doc_id stays."""
+    """Of each group of near copies (op10's links, and a cosine of 0.8 of the five-word shingles), the document with the
+    smallest doc_id stays."""
     return keep_one_of_similar(docs)
 
 

@@ -1,15 +1,18 @@
-"""Near copies of whole documents: SimHash fingerprints of five-word shingles, linked at a cosine of 0.8 or more.
+"""Near copies of whole documents: the links of ``simhash``, and beyond them a cosine of 0.8 or more of five-word shingles.
 
-Method: a text's fingerprint has 512 bits, each the sign of a sum over its distinct shingles, so two texts
+Method: first come the fingerprints of ``simhash`` with its whole search: pigeonring lookups by a segment and half of the
+next, chains, Hamming check, components; it loses no link within 4 of 64 bits. The wider search goes on from its groups.
+
+There a text's fingerprint has 512 bits, each the sign of a sum over its distinct shingles, so two texts
 differ in a bit with probability acos(cosine) / pi: at a cosine of 0.8 (0.67 of the shingles of both, if they are as
 long) in 104 bits. Fingerprints link at 104 differing bits or fewer. Pigeonring filtering comes before the Hamming
 check: cut into eight segments on a ring, fingerprints that near have a chain of consecutive segments whose
 differences stay within the budget of each of its beginnings; a pair without such a chain of two is passed over.
 
-At that distance equal segments name no candidates, so MinHash bands do: 40 bands of 5 minima, with which a pair at
-the limit meets with probability 0.997. The distance decides, not the band.
+At that distance equal segments name no candidates, so for what the pigeonring lookups leave MinHash bands do: 40 bands of
+5 minima, with which a pair at the limit meets with probability 0.997. The distance decides, not the band.
 
-At scale: texts never move; a text is its fingerprint and 40 keys, equal shingle sets are one row before the search.
+At scale: texts never move; a text is its two fingerprints and 40 keys, equal shingle sets are one row before the search.
 Bands are looked up in three rounds; only fingerprints of a key that holds several groups of the rounds before move
 again, so a large group costs a few rows a member. The fingerprints of a key give a forest of links, never their
 pairs: members are reached from members already reached, each compared with those still unreached. A key with more
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from slotwise.llm.components import components
 from slotwise.llm.frames import key_and_text, shuffle_parts
-from slotwise.llm.simhash import pick_rows
+from slotwise.llm.simhash import fingerprint, near_links, pick_rows
 from slotwise.llm.text import LOWER, U64, mixed, slices, span_hashes, text_bytes, window_hashes, word_spans
 from slotwise.session import materialise
 
@@ -104,8 +107,9 @@ def _signatures(batches, shingle: int):
                     pa.array(np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], U64).view(np.int64)),
                     pa.array([fingerprint_of(s).tobytes() for s in sets], pa.binary()),
                     pa.array([keys[i].view(np.int64) if i >= 0 else [] for i in number], pa.list_(pa.int64())),
+                    pa.array(np.array([fingerprint(t.as_py()) for t in piece.column("text")], U64).view(np.int64)),
                 ],
-                ["doc_id", "text_hash", "kind", "fp", "bands"],
+                ["doc_id", "text_hash", "kind", "fp", "bands", "close"],
             )
 
 
@@ -183,10 +187,19 @@ def _dealt(rows: DataFrame, kinds: DataFrame, chunk: int) -> DataFrame:
     return dealt.join(kinds.select("kind", "fp"), "kind")
 
 
-def similar_roots(kinds: DataFrame, distance: int, chunk: int = CHUNK) -> DataFrame | None:
-    """``v, root``: ``kinds`` (kind, fp, bands) joined into the components of all fingerprints that share a band and
-    lie within ``distance``; kinds without a link, or their own root, have no row."""
-    links = roots = None
+def close_links(made: DataFrame) -> DataFrame:
+    """Links ``a, b`` that join the kinds of texts whose ``simhash`` fingerprints ``close`` are of one component: a star each."""
+    pairs = materialise(made.select("kind", "close").distinct(), "close")
+    roots = components(near_links(pairs.select(F.col("close").alias("fp")).distinct()))
+    rooted = pairs.join(roots.withColumnRenamed("v", "close"), "close", "left").select("kind", F.coalesce("root", "close").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("kind").alias("b"))
+    return rooted.join(least, "root").where("kind <> b").select(F.col("kind").alias("a"), "b")
+
+
+def similar_roots(kinds: DataFrame, distance: int, chunk: int = CHUNK, *, links: DataFrame | None = None) -> DataFrame | None:
+    """``v, root``: ``kinds`` (kind, fp, bands) joined into the components of ``links`` and of all fingerprints that share
+    a band and lie within ``distance``; kinds without a link, or their own root, have no row."""
+    roots = None if links is None or links.isEmpty() else materialise(components(links), "roots")
     for first, last in ROUNDS:
         rows = kinds.select("kind", F.explode(F.slice("bands", first + 1, last - first)).alias("key"))
         if roots is None:
@@ -203,16 +216,17 @@ def similar_roots(kinds: DataFrame, distance: int, chunk: int = CHUNK) -> DataFr
 
 
 def similar_groups(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id, text_hash, group`` for every row of ``docs``: rows of one group are joined by near fingerprints.
+    """``doc_id, text_hash, group`` for every row of ``docs``: rows of one group are joined by near fingerprints, those of
+    ``simhash`` or the wider ones.
 
     Texts without words are alike. Null text counts as empty, a null doc_id is larger than all others. Repeated rows
     are one text, and get a row each. An empty table gives no rows.
     """
     keyed = key_and_text(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    made = keyed.mapInArrow(partial(_signatures, shingle=shingle), "doc_id long, text_hash long, kind long, fp binary, bands array<long>")
+    made = keyed.mapInArrow(partial(_signatures, shingle=shingle), "doc_id long, text_hash long, kind long, fp binary, bands array<long>, close long")
     made = materialise(made, "signatures")
     kinds = materialise(made.groupBy("kind").agg(F.min("fp").alias("fp"), F.min("bands").alias("bands")), "kinds")
-    roots = similar_roots(kinds, distance_at(similarity))
+    roots = similar_roots(kinds, distance_at(similarity), links=materialise(close_links(made), "close-links"))
     rows = made.select("doc_id", "text_hash", "kind")
     if roots is None:
         return rows.withColumnRenamed("kind", "group")

@@ -10,7 +10,7 @@ import pytest
 import corpus_pipeline
 from slotwise.llm import nearcopies
 from slotwise.llm.nearcopies import _forest, _near, distance_at, fingerprint_of, keep_one_of_similar, shingle_hashes, similar_groups
-from slotwise.llm.simhash import fingerprint
+from slotwise.llm.simhash import fingerprint, simhash_groups
 
 
 def shingles(text):
@@ -118,6 +118,34 @@ def test_stage_drops_near_copies_beyond_four_bits(spark):
     assert sorted(r[0] for r in stage(spark, docs, "").select("doc_id").collect()) == list(range(0, 80, 2))
 
 
+def test_stage_drops_what_op10_links(spark, docs):
+    """Texts of one passage over and over and different ends: op10 links them, their sets of shingles are far apart."""
+    rng, rows = random.Random(11), []
+    passage = " ".join(f"p{i}" for i in range(7))
+    for i in range(6):
+        rows.append((i, " ".join([passage] * 60 + text_of(rng, 60))))
+    rows += [(10 + i, " ".join(text_of(rng))) for i in range(6)]
+    fps = [fingerprint(t) for _, t in rows]
+    assert all((a ^ b).bit_count() <= 4 for a, b in itertools.combinations(fps[:6], 2))
+    assert by_distance(rows) == [i for i, _ in rows]
+    given = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    assert sorted(r[0] for r in stage(spark, given, "").select("doc_id").collect()) == [0, *range(10, 16)]
+    group = {(r["doc_id"], r["text_hash"]): r["group"] for r in similar_groups(docs).collect()}
+    for r in simhash_groups(docs).collect():
+        assert group[r["doc_id"], r["text_hash"]] in {g for (i, _), g in group.items() if i == r["component_id"]}
+
+
+def test_links_that_share_no_band(spark):
+    """Kinds linked before the wider search are joined, and so is what the bands hang on them."""
+    fp = [np.full(nearcopies.LANES, x, np.uint64) for x in (0, 0, (1 << 64) - 1, 0xAAAAAAAAAAAAAAAA)]
+    rows = [(k, bytearray(f.tobytes()), [100 * b + (0 if k < 3 else k) for b in range(nearcopies.BANDS)]) for k, f in zip((1, 2, 3, 4), fp)]
+    kinds = spark.createDataFrame(rows, "kind long, fp binary, bands array<long>")
+    found = lambda links: None if (r := nearcopies.similar_roots(kinds, 104, links=links)) is None else sorted(map(tuple, r.collect()))
+    assert found(None) == [(2, 1)]
+    assert found(spark.createDataFrame([(3, 2)], "a long, b long")) == [(2, 1), (3, 1)]
+
+
 def test_recall_of_pairs_at_0_85(spark):
     """Pairs at a cosine of 0.85 (0.74 of their shingles): nine of ten are found, and none below 0.7."""
     rng, rows = random.Random(5), []
